@@ -1 +1,298 @@
-"""Queries (placeholder)."""
+"""Queries: projections, predicates and scalar column functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions import codec, columns as C, dates as D, jsonfn as J
+from tessera.plans.registry import query
+from tessera.plans.views import view
+from tessera.sources.tables import table
+
+# A test key for the encryption round trip (any 16/24/32-byte text works).
+ROUND_TRIP_KEY = "k3y-for-r0und-tr1p-0f-aes-gcm!!!"
+
+
+@query("f1_is_numeric", views=("rating_lines",), oracle="""
+SELECT "value", coalesce(regexp_full_match(split_part("value", ',', 3), '\\p{Nd}+'), false) AS third_numeric
+FROM rating_lines""")
+def f1_is_numeric(spark, sf):
+    lines = view(spark, sf, "rating_lines")
+    third = F.get(F.split("value", ","), 2)
+    return lines.select("value", C.is_numeric(F.coalesce(third, F.lit(""))).alias("third_numeric"))
+
+
+@query("f2_case_flag", oracle="""
+SELECT event_id, CASE WHEN "value" / 100 > 0.5 THEN 1 ELSE 0 END AS flag FROM events""")
+def f2_case_flag(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", C.case_flag(F.col("value") / 100).alias("flag"))
+
+
+@query("f3_cast_numeric_double", oracle="""
+SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey,
+       CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""")
+def f3_cast_numeric_double(spark, sf):
+    return C.cast_numeric_double(table(spark, sf, "customer"))
+
+
+@query("f4_hash_bucket")
+def f4_hash_bucket(spark, sf):
+    """Murmur3 buckets of document sources (no DuckDB twin: rows-only check)."""
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", C.hash_bucket("text", C.HASH_BUCKETS).alias("bucket"))
+
+
+@query("f5_mod_label", oracle="""
+SELECT c_custkey, CAST(c_custkey AS BIGINT) % 2 AS label FROM customer""")
+def f5_mod_label(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", C.mod_label(F.col("c_custkey").cast("string")).alias("label"))
+
+
+@query("f6_md5_hex", oracle="""
+SELECT doc_id, coalesce(nullif(regexp_replace(md5("text"), '^0+', ''), ''), '0') AS md5_hex
+FROM documents""")
+def f6_md5_hex(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", codec.md5_hex("text").alias("md5_hex"))
+
+
+@query("f7_hex_encode", oracle="""
+SELECT p_partkey, lower(hex(p_name)) AS name_hex FROM part""")
+def f7_hex_encode(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", codec.hex_encode(F.col("p_name").cast("binary")).alias("name_hex"))
+
+
+_HEX_INPUT_SQL = """
+SELECT p_partkey, CASE p_size % 3
+    WHEN 0 THEN substr(hex(p_name), 2)
+    WHEN 1 THEN ' ' || lower(hex(p_name)) || ' '
+    ELSE 'zz' || hex(p_name) END AS h
+FROM part"""
+
+
+def _hex_input(spark, sf):
+    p = table(spark, sf, "part")
+    h = F.hex(F.col("p_name").cast("binary"))
+    return p.select("p_partkey", F.when(F.col("p_size") % 3 == 0, F.substring(h, 2, 1 << 20))
+                    .when(F.col("p_size") % 3 == 1, F.concat(F.lit(" "), F.lower(h), F.lit(" ")))
+                    .otherwise(F.concat(F.lit("zz"), h)).alias("h"))
+
+
+@query("f8_hex_decode", oracle=f"""
+WITH x AS ({_HEX_INPUT_SQL})
+SELECT p_partkey, CASE WHEN regexp_full_match(trim(h), '([0-9a-fA-F]{{2}})*')
+                       THEN decode(unhex(trim(h))) END AS name
+FROM x""")
+def f8_hex_decode(spark, sf):
+    x = _hex_input(spark, sf)
+    return x.select("p_partkey", F.decode(codec.hex_decode("h"), "UTF-8").alias("name"))
+
+
+@query("f9_encrypt_round_trip", oracle="SELECT p_partkey, p_name FROM part")
+def f9_encrypt_round_trip(spark, sf):
+    p = table(spark, sf, "part")
+    enc = p.select("p_partkey", codec.encrypt_column("p_name", ROUND_TRIP_KEY).alias("x"))
+    return enc.select("p_partkey", codec.decrypt_column("x", ROUND_TRIP_KEY).alias("p_name"))
+
+
+@query("f10_gzip_round_trip", oracle="""
+SELECT doc_id, "text", length("text") > 0 AS shrunk_or_empty FROM documents""")
+def f10_gzip_round_trip(spark, sf):
+    d = table(spark, sf, "documents")
+    z = d.select("doc_id", codec.gzip_column("text").alias("z"))
+    return z.select("doc_id", codec.gunzip_column("z").alias("text"),
+                    (F.length("z") > 0).alias("shrunk_or_empty"))
+
+
+@query("f11_plus_days", oracle="""
+SELECT o_orderkey, o_orderdate + INTERVAL 7 DAY AS plus_week,
+       o_orderdate - INTERVAL 30 DAY AS minus_month FROM orders""")
+def f11_plus_days(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", D.plus_days("o_orderdate", 7).alias("plus_week"),
+                    D.plus_days("o_orderdate", -30).alias("minus_month"))
+
+
+@query("f12_format_day", oracle="""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_dash,
+       strftime(o_orderdate, '%Y/%m/%d') AS day_slash FROM orders""")
+def f12_format_day(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", D.format_day("o_orderdate", D.DAY_DASH).alias("day_dash"),
+                    D.format_day("o_orderdate", D.DAY_SLASH).alias("day_slash"))
+
+
+@query("f13_parse_time", oracle="""
+SELECT o_orderkey, CAST(epoch(strptime('[' || strftime(o_orderdate, '%d/%b/%Y:%H:%M:%S') || ' +0800]',
+                                       '[%d/%b/%Y:%H:%M:%S %z]')) AS BIGINT) AS epoch_s
+FROM orders""")
+def f13_parse_time(spark, sf):
+    o = table(spark, sf, "orders")
+    text = F.concat(F.lit("["), F.date_format("o_orderdate", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0800]"))
+    return o.select("o_orderkey", F.unix_seconds(D.parse_time(text)).alias("epoch_s"))
+
+
+_JSON_INPUT_SQL = """
+SELECT event_id, ts, CASE WHEN event_type = 'error' THEN props
+                          ELSE '[' || props || ', ' || props || ']' END AS txt FROM events"""
+
+
+def _json_input(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", "ts", F.when(F.col("event_type") == "error", F.col("props"))
+                    .otherwise(F.concat(F.lit("["), "props", F.lit(", "), "props", F.lit("]"))).alias("txt"))
+
+
+@query("f14_json_array_rows", oracle=f"""
+WITH x AS ({_JSON_INPUT_SQL}),
+objs AS (SELECT DISTINCT event_id, ts, CAST(unnest(from_json(txt, '["JSON"]')) AS VARCHAR) AS obj
+         FROM x WHERE json_type(txt) = 'ARRAY'),
+kv AS (SELECT event_id, ts, obj, unnest(json_keys(obj)) AS k FROM objs)
+SELECT event_id, ts AS access_time, k AS "key", json_extract_string(obj, k) AS "value",
+       TRY_CAST(json_extract_string(obj, k) AS DOUBLE) AS value_num
+FROM kv""")
+def f14_json_array_rows(spark, sf):
+    return J.json_array_rows(_json_input(spark, sf), "txt", "ts", keep=("event_id",))
+
+
+@query("f15_to_json_text", oracle="""
+SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey})
+                  AS VARCHAR) AS js
+FROM customer""")
+def f15_to_json_text(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", J.to_json_text("c_custkey", "c_name", "c_nationkey").alias("js"))
+
+
+_TXN_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       '(' || l_partkey || ':' || l_linenumber || ',' || l_suppkey || ':' || CAST(l_quantity AS BIGINT)
+           || ',' || l_returnflag || ':' || l_linestatus || ')' AS line
+FROM lineitem"""
+
+
+def _txn_lines(spark, sf):
+    li = table(spark, sf, "lineitem")
+    line = F.concat(F.lit("("), F.col("l_partkey").cast("string"), F.lit(":"), F.col("l_linenumber").cast("string"),
+                    F.lit(","), F.col("l_suppkey").cast("string"), F.lit(":"),
+                    F.col("l_quantity").cast("bigint").cast("string"), F.lit(","), "l_returnflag", F.lit(":"),
+                    "l_linestatus", F.lit(")"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", line.alias("line"))
+
+
+_CLEAN_SQL = """regexp_replace(regexp_replace(regexp_replace(line, '[()]', '', 'g'), ',', ' ', 'g'),
+                               ':[0-9]{1,10} ', ' ', 'g')"""
+
+
+@query("f16_clean_transaction", oracle=f"""
+WITH t AS ({_TXN_SQL})
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_CLEAN_SQL} AS txn FROM t""")
+def f16_clean_transaction(spark, sf):
+    t = _txn_lines(spark, sf)
+    return t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", C.clean_transaction("line").alias("txn"))
+
+
+@query("f17_filter_unique_tokens", oracle=f"""
+WITH t AS ({_TXN_SQL}), c AS (SELECT l_orderkey, l_linenumber, {_CLEAN_SQL} AS txn FROM t)
+SELECT l_orderkey, l_linenumber, txn FROM c
+WHERE len(list_distinct(string_split(txn, ' '))) = len(string_split(txn, ' '))""")
+def f17_filter_unique_tokens(spark, sf):
+    t = _txn_lines(spark, sf).select("l_orderkey", "l_linenumber", C.clean_transaction("line").alias("txn"))
+    return t.where(C.tokens_unique("txn"))
+
+
+_FILES_SQL = """
+SELECT source || '/' || CAST(doc_id AS VARCHAR) AS fname,
+       CASE lang WHEN 'de' THEN "text" || chr(10) || 'BindException while binding port'
+                 WHEN 'fr' THEN "text" || chr(10) || 'java.lang.IllegalStateException: closed'
+                 WHEN 'es' THEN 'Error: ' || "text"
+                 ELSE "text" END AS content
+FROM documents"""
+
+
+def log_files(spark, sf):
+    """Documents as log files with injected error lines (by language)."""
+    d = table(spark, sf, "documents")
+    nl = F.lit("\n")
+    content = (F.when(F.col("lang") == "de", F.concat("text", nl, F.lit("BindException while binding port")))
+               .when(F.col("lang") == "fr", F.concat("text", nl, F.lit("java.lang.IllegalStateException: closed")))
+               .when(F.col("lang") == "es", F.concat(F.lit("Error: "), "text"))
+               .otherwise(F.col("text")))
+    return d.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("fname"),
+                    content.alias("content"))
+
+
+@query("f18_error_filter", oracle=f"""
+WITH f AS ({_FILES_SQL})
+SELECT fname || ':' || chr(10) || content AS report FROM f
+WHERE upper(replace(content, 'BindException', '')) LIKE '%ERROR%'
+   OR upper(replace(content, 'BindException', '')) LIKE '%EXCEPTION%'""")
+def f18_error_filter(spark, sf):
+    return C.error_filter(log_files(spark, sf), "fname", "content")
+
+
+@query("f19_trunc4", oracle="""
+SELECT c_custkey, trunc(c_acctbal / 7 * 10000) / 10000 AS t4 FROM customer""")
+def f19_trunc4(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", C.trunc4(F.col("c_acctbal") / 7).alias("t4"))
+
+
+@query("f20_string_pick", oracle="""
+SELECT p_partkey, substr(p_name, 1, 1) AS first, substr(p_name, 3) AS rest FROM part""")
+def f20_string_pick(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", C.first_char("p_name").alias("first"), C.from_third_char("p_name").alias("rest"))
+
+
+@query("f21_reshape_columns", oracle="""
+SELECT n_name AS "key", n_nationkey AS "value", n_regionkey AS region FROM nation""")
+def f21_reshape_columns(spark, sf):
+    n = table(spark, sf, "nation")
+    swapped = n.select(F.col("n_name").alias("key"), F.col("n_nationkey").alias("value"), "n_regionkey")
+    return swapped.withColumnRenamed("n_regionkey", "region")
+
+
+@query("f22_rand_column")
+def f22_rand_column(spark, sf):
+    """Seeded uniform column (no twin: Spark's generator; rows-only check)."""
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", C.rand_column(10).alias("a"), C.rand_column(27).alias("b"))
+
+
+_DOC_LABELS_SQL = """
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+def _doc_labels(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    lab = table(spark, sf, "labels")
+    return d.join(lab, "doc_id", "left")
+
+
+@query("f23_drop_nulls", oracle=f"""
+WITH x AS ({_DOC_LABELS_SQL})
+SELECT * FROM x WHERE doc_id IS NOT NULL AND lang IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL""")
+def f23_drop_nulls(spark, sf):
+    return C.drop_nulls(_doc_labels(spark, sf))
+
+
+@query("f24_fill_default", oracle=f"""
+WITH x AS ({_DOC_LABELS_SQL})
+SELECT doc_id, lang, coalesce(quality, -1) AS quality, coalesce(toxic, 0) AS toxic FROM x""")
+def f24_fill_default(spark, sf):
+    x = _doc_labels(spark, sf)
+    return x.select("doc_id", "lang", C.fill_default("quality", -1).alias("quality"),
+                    C.fill_default("toxic", 0).alias("toxic"))
+
+
+@query("s14_sql_view", oracle="""
+SELECT event_id, CASE WHEN "value" / 100 > 0.5 THEN 1 ELSE 0 END AS flag, event_type FROM events""")
+def s14_sql_view(spark, sf):
+    """Register a view and run SQL text on it (the flag of F2 written as SQL)."""
+    table(spark, sf, "events").createOrReplaceTempView("tessera_events")
+    return spark.sql("SELECT event_id, CASE WHEN value / 100 > 0.5 THEN 1 ELSE 0 END AS flag, event_type "
+                     "FROM tessera_events")
