@@ -72,3 +72,50 @@ def position_in_key(df: DataFrame, key, order, name: str = "pos",
     out = local.join(F.broadcast(offsets), on=["_pid"] + key_cols, how="left")
     return (out.withColumn(name, F.col("_local_pos") + F.coalesce(F.col("_offset"), F.lit(0)))
             .drop("_pid", "_local_pos", "_n_in_part", "_edge", "_offset"))
+
+
+def _local_sums(value_cols: list[str]):
+    def run(batches):
+        frames = list(batches)
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        for v in value_cols:
+            run_total = pdf[v].cumsum()
+            pdf[f"_before_{v}"] = (run_total - pdf[v]).astype("float64")
+            pdf[f"_ptotal_{v}"] = float(pdf[v].sum())
+        yield pdf
+    return run
+
+
+def exclusive_prefix_sums(df: DataFrame, order, values, partitions: int | None = None) -> DataFrame:
+    """Add ``<v>_before``: the sum of ``v`` over all rows earlier in ``order``.
+
+    ``order`` must be a total order (e.g. distinct scores).  Range
+    partitioning spreads the rows; each partition sums locally, and the
+    per-partition totals (one row per partition: a proven bound) are
+    prefix-summed and broadcast back.  No global window, no single task.
+    """
+    order_cols = [order] if isinstance(order, str) else list(order)
+    value_cols = [values] if isinstance(values, str) else list(values)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("_pid", F.spark_partition_id()))
+    extra = []
+    for v in value_cols:
+        extra += [T.StructField(f"_before_{v}", T.DoubleType()), T.StructField(f"_ptotal_{v}", T.DoubleType())]
+    local = ranged.mapInPandas(_local_sums(value_cols), T.StructType(ranged.schema.fields + extra))
+    # Totals come from the same mapInPandas output (not re-derived from
+    # ``ranged``): both branches then share one range exchange (planned
+    # once, reused), so every row sees the partition bounds its totals
+    # were computed with.
+    totals = local.groupBy("_pid").agg(*[F.max(f"_ptotal_{v}").alias(f"_t_{v}") for v in value_cols])
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # <= n rows
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0.0)).alias(f"_o_{v}")
+                                      for v in value_cols])
+    out = local.join(F.broadcast(offsets), "_pid", "left")
+    for v in value_cols:
+        out = out.withColumn(f"{v}_before", F.col(f"_before_{v}") + F.coalesce(F.col(f"_o_{v}"), F.lit(0.0)))
+    drop = (["_pid"] + [f"_before_{v}" for v in value_cols] + [f"_o_{v}" for v in value_cols]
+            + [f"_ptotal_{v}" for v in value_cols])
+    return out.drop(*drop)
