@@ -155,18 +155,23 @@ def example_lines(spark, sf):
 @query("s10_to_examples", oracle=f"""
 WITH l AS ({_EX_LINES_SQL}),
 t AS (SELECT c_custkey, string_split(trim("value"), ' ') AS toks FROM l),
-e AS (SELECT c_custkey, 'label' AS name, TRY_CAST(toks[1] AS BIGINT) AS int_value, CAST(NULL AS DOUBLE) AS float_value FROM t
+e AS (SELECT c_custkey, 'label' AS name, 'int64' AS kind, CAST(TRY_CAST(toks[1] AS BIGINT) AS DOUBLE) AS "value" FROM t
       UNION ALL
       SELECT c_custkey, split_part(tok, ':', 1),
-             CASE WHEN regexp_full_match(split_part(tok, ':', 2), '\\p{{Nd}}+') THEN CAST(split_part(tok, ':', 2) AS BIGINT) END,
-             CASE WHEN NOT regexp_full_match(split_part(tok, ':', 2), '\\p{{Nd}}+') THEN CAST(TRY_CAST(split_part(tok, ':', 2) AS FLOAT) AS DOUBLE) END
+             CASE WHEN regexp_full_match(split_part(tok, ':', 2), '\\p{{Nd}}+') THEN 'int64' ELSE 'float' END,
+             CASE WHEN regexp_full_match(split_part(tok, ':', 2), '\\p{{Nd}}+')
+                  THEN CAST(CAST(split_part(tok, ':', 2) AS BIGINT) AS DOUBLE)
+                  ELSE CAST(TRY_CAST(split_part(tok, ':', 2) AS FLOAT) AS DOUBLE) END
       FROM (SELECT c_custkey, unnest(toks[2:]) AS tok FROM t))
-SELECT c_custkey, name, int_value, float_value FROM e""")
+SELECT c_custkey, name, kind, "value" FROM e""")
 def s10_to_examples(spark, sf):
+    """Typed example maps, one row per feature: kind int64 or float, value as double."""
     ex = LS.to_examples(example_lines(spark, sf))
     kv = ex.select("c_custkey", F.explode("example").alias("name", "v"))
-    return kv.select("c_custkey", "name", F.try_element_at(F.col("v.i"), F.lit(1)).alias("int_value"),
-                     F.try_element_at(F.col("v.f"), F.lit(1)).cast("double").alias("float_value"))
+    is_int = F.size("v.i") > 0
+    return kv.select("c_custkey", "name", F.when(is_int, F.lit("int64")).otherwise(F.lit("float")).alias("kind"),
+                     F.when(is_int, F.col("v.i")[0].cast("double"))
+                     .otherwise(F.col("v.f")[0].cast("double")).alias("value"))
 
 
 @query("s12_daily_path", oracle="""
