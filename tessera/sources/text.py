@@ -67,7 +67,7 @@ def read_similarity(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def scan_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file ``(filename, content)``."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("filename"), F.col("value").alias("content")))
 
 
