@@ -2,7 +2,9 @@
 
 Each round: ``contributions = edges JOIN ranks ON src`` then
 ``new ranks = sum(rank / out_degree) GROUP BY dst``.  The edge table with
-its out-degrees is hash-partitioned on ``src`` once and cached; the ranks
+its out-degrees is hash-partitioned on ``src`` once and cached, so a round
+shuffles only the partially aggregated contributions; the join is a
+shuffled hash join on the ranks side (no per-round sort of the edges).  The ranks
 are reliably checkpointed (to the cluster's ``spark.checkpoint.dir``)
 every few rounds so neither the lineage nor the plan grows with the
 number of rounds, and a lost executor recomputes at most a few rounds.
@@ -38,8 +40,11 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
     ranks = links.select("node").distinct().withColumn("rank", F.lit(START_RANK))
     try:
         for r in range(1, rounds + 1):
-            contrib = links.join(ranks, "node").select(F.col("dst").alias("node"),
-                                                       (F.col("rank") / F.col("deg")).alias("c"))
+            # ranks (one row per node, already hash-partitioned on node by the
+            # previous aggregate) is the hash-table side; the cached links
+            # stream through without a sort and without a new exchange
+            contrib = links.join(ranks.hint("shuffle_hash"), "node").select(
+                F.col("dst").alias("node"), (F.col("rank") / F.col("deg")).alias("c"))
             summed = F.sum("c")
             new_rank = summed if damping is None else F.lit(1.0 - damping) + F.lit(damping) * summed
             ranks = contrib.groupBy("node").agg(new_rank.alias("rank"))

@@ -2,10 +2,9 @@
 
 ``predict`` is one DataFrame plan:
 
-    top-k neighbours per item  (window with WindowGroupLimit)
+    top-k neighbours per item (window with WindowGroupLimit) + item mean
       JOIN rating deviations on the neighbour item
-      -> per (user, item) sums of 4-decimal-truncated terms
-      JOIN item means          -> score
+      -> per (user, item) sums of 4-decimal-truncated terms -> score
 
 Truncated terms are summed as integer counts of 1e-4 (``trunc4_units``):
 the sum is then exact, so the score does not depend on how Spark splits
@@ -66,21 +65,22 @@ def predict(ratings: DataFrame, sim: DataFrame, k: int = DEFAULT_NEIGHBOURS,
     r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).alias("rating"))
     means = item_mean(r)
     diff = rating_deviation(r, means, default_mean).select(F.col("item").alias("j"), "user", "diff")
-    nb = top_neighbours(sim, k)
+    # the item mean rides along from the (small) neighbour table, so the
+    # large per-(user, item) result needs no join of its own afterwards
+    m = means.select(F.col("item").alias("i"), F.col("mean"))
+    nb = (top_neighbours(sim, k).join(m, "i", "left")
+          .withColumn("mean", F.coalesce(F.col("mean"), F.lit(default_mean))))
     if skew_split > 1:
         heavy = heavy_keys(diff, "j", top=16)
         joined = salted_join(diff, nb, "j", heavy, left_split=skew_split, right_split=1)
     else:
         joined = nb.join(diff, "j")
-    terms = joined.select("user", "i",
+    terms = joined.select("user", "i", "mean",
                           trunc4_units(F.col("sim") * F.col("diff")).alias("num"),
                           trunc4_units(F.col("sim")).alias("den"))
-    sums = terms.groupBy("user", "i").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
-    m = means.select(F.col("item").alias("i"), F.coalesce(F.col("mean"), F.lit(default_mean)).alias("mean"))
-    return (sums.join(m, "i", "left")
-            .select("user", F.col("i").alias("item"),
-                    (F.coalesce(F.col("mean"), F.lit(default_mean))
-                     + F.coalesce(F.try_divide(F.col("num"), F.col("den")), F.lit(0.0))).alias("score")))
+    sums = terms.groupBy("user", "i", "mean").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
+    return sums.select("user", F.col("i").alias("item"),
+                       (F.col("mean") + F.coalesce(F.try_divide(F.col("num"), F.col("den")), F.lit(0.0))).alias("score"))
 
 
 def score_test_pairs(pairs: DataFrame, predictions: DataFrame, default: float = DEFAULT_MEAN,
