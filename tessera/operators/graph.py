@@ -6,7 +6,7 @@ its out-degrees is hash-partitioned on ``src`` once and cached, so a round
 shuffles only the partially aggregated contributions; the join is a
 shuffled hash join on the ranks side (no per-round sort of the edges).  The ranks
 are reliably checkpointed (to the cluster's ``spark.checkpoint.dir``)
-every few rounds so neither the lineage nor the plan grows with the
+every ten rounds so neither the lineage nor the plan grows with the
 number of rounds, and a lost executor recomputes at most a few rounds.
 """
 
@@ -20,30 +20,68 @@ from tessera.session import checkpoint_dir
 # Fixed values of the reference run: 100 rounds, start rank 1.0, no damping.
 DEFAULT_ROUNDS = 100
 START_RANK = 1.0
+# Edges per partition of the iterated join (sizes the loop's partitions).
+EDGES_PER_PARTITION = 100_000
 
 
 def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | None = None,
-             checkpoint_every: int = 5, partitions: int | None = None) -> DataFrame:
+             checkpoint_every: int = 10, partitions: int | None = None) -> DataFrame:
     """Ranks after ``rounds`` rounds -> ``(node, rank)``.
 
     Without ``damping`` (the reference's rule) a new rank is the plain sum
     of contributions: a node without in-links drops out after round 1, and
     mass sent to a node without out-links is lost.  With ``damping`` d the
     new rank is ``(1 - d) + d * sum``.
+
+    Partitions are sized from the edge count (``EDGES_PER_PARTITION``), and
+    a source node with more out-edges than one partition holds is split:
+    its edges get a salt ``hash(dst) % pieces`` and its rank is copied to
+    every piece, so no task carries a hot node's whole fan-out.  The heavy
+    node table has at most ``partitions`` rows (proven bound) and is
+    broadcast.  Inside the loop the partitioning is fixed by hand, so AQE is
+    switched off there (it only adds re-planning per round) and restored.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = edges.select(F.col("src").alias("node"), "dst").distinct()
-    deg = e.groupBy("node").agg(F.count(F.lit(1)).cast("double").alias("deg"))
-    links = e.join(deg, "node").repartition(n, "node").cache()
-    ranks = links.select("node").distinct().withColumn("rank", F.lit(START_RANK))
+    e = edges.select(F.col("src").alias("node"), "dst").distinct().cache()
+    cap = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one count (it also fills the cache) sizes the loop: a round costs a
+    # task per partition, so tiny partitions would make 100 rounds slow
+    n = max(min(2, cap), min(cap, -(-e.count() // EDGES_PER_PARTITION)))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))    # every job below runs eagerly here
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    links = None
     try:
+        deg = e.groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
+        heavy = (deg.where(F.col("deg") > EDGES_PER_PARTITION)
+                 .select("node", F.ceil(F.col("deg") / EDGES_PER_PARTITION).cast("int").alias("pieces")))
+        salted = heavy.limit(1).count() > 0
+        links = e.join(deg.withColumn("deg", F.col("deg").cast("double")), "node")
+        if salted:
+            hb = F.broadcast(heavy)
+            links = (links.join(hb, "node", "left")
+                     .withColumn("salt", F.when(F.col("pieces").isNull(), F.lit(0))
+                                 .otherwise(F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int")))
+                     .drop("pieces"))
+            keys = ["node", "salt"]
+        else:
+            keys = ["node"]
+        links = links.repartition(n, *keys).cache()
+        links.count()
+        e.unpersist()
+        ranks = links.select("node").distinct().withColumn("rank", F.lit(START_RANK))
         for r in range(1, rounds + 1):
-            # ranks (one row per node, already hash-partitioned on node by the
-            # previous aggregate) is the hash-table side; the cached links
-            # stream through without a sort and without a new exchange
-            contrib = links.join(ranks.hint("shuffle_hash"), "node").select(
+            if salted:
+                rk = (ranks.join(hb, "node", "left")
+                      .withColumn("salt", F.explode(F.when(F.col("pieces").isNull(), F.array(F.lit(0)))
+                                                    .otherwise(F.sequence(F.lit(0), F.col("pieces") - 1))))
+                      .drop("pieces"))
+            else:
+                rk = ranks
+            # ranks (one row per node or node piece) is the hash-table side;
+            # the cached links stream through without a sort
+            contrib = links.join(rk.hint("shuffle_hash"), keys).select(
                 F.col("dst").alias("node"), (F.col("rank") / F.col("deg")).alias("c"))
             summed = F.sum("c")
             new_rank = summed if damping is None else F.lit(1.0 - damping) + F.lit(damping) * summed
@@ -52,4 +90,8 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
                 ranks = ranks.checkpoint(eager=True)
         return ranks.checkpoint(eager=True)
     finally:
-        links.unpersist()
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+        e.unpersist()
+        if links is not None:
+            links.unpersist()

@@ -152,3 +152,20 @@ def test_cosine_similarity_small(spark):
     got = {(x.i, x.j): x.sim for x in M.cosine_similarity(r).collect()}
     want = (1 * 2 + 3 * 4) / math.sqrt((1 + 9) * (4 + 16))
     assert abs(got[(10, 11)] - want) < 1e-15 and got[(11, 10)] == got[(10, 11)]
+
+
+def test_pagerank_salts_hot_source(spark):
+    # node 0 links to 600 targets; with 200 edges per partition it is split into pieces
+    import tessera.operators.graph as G2
+    rows = [(0, d) for d in range(1, 601)] + [(d, 0) for d in range(1, 601)] + [(d, d % 600 + 1) for d in range(1, 601)]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    old = G2.EDGES_PER_PARTITION
+    try:
+        G2.EDGES_PER_PARTITION = 200
+        salted = {r.node: r.rank for r in G2.pagerank(edges, rounds=7).collect()}
+        G2.EDGES_PER_PARTITION = 10 ** 9
+        plain = {r.node: r.rank for r in G2.pagerank(edges, rounds=7).collect()}
+    finally:
+        G2.EDGES_PER_PARTITION = old
+    assert salted.keys() == plain.keys()
+    assert all(abs(salted[k] - plain[k]) < 1e-9 for k in plain)
