@@ -30,12 +30,22 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    """(src, dst): parts bought together in one order, earlier line -> later line."""
+    """(src, dst): parts bought together in one order, earlier line -> later line.
+
+    An edge (a, b) exists iff in some order the first line of part a comes
+    before the last line of part b, so each order is first reduced to one
+    row per distinct part (min and max line number; a partial hash
+    aggregate) and only those rows are self-joined.  The same edges as
+    joining the raw lines, with a hot order's repeated parts removed
+    before the join.
+    """
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    x, y = li.alias("x"), li.alias("y")
+    per_part = li.groupBy("l_orderkey", "l_partkey").agg(F.min("l_linenumber").alias("first_ln"),
+                                                          F.max("l_linenumber").alias("last_ln"))
+    x, y = per_part.alias("x"), per_part.alias("y")
     return (x.join(y, (F.col("x.l_orderkey") == F.col("y.l_orderkey"))
-                   & (F.col("x.l_linenumber") < F.col("y.l_linenumber")))
-            .where(F.col("x.l_partkey") != F.col("y.l_partkey"))
+                   & (F.col("x.first_ln") < F.col("y.last_ln"))
+                   & (F.col("x.l_partkey") != F.col("y.l_partkey")))
             .select(F.col("x.l_partkey").alias("src"), F.col("y.l_partkey").alias("dst"))
             .distinct())
 
