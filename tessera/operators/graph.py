@@ -36,9 +36,10 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
     Partitions are sized from the edge count (``EDGES_PER_PARTITION``), and
     a source node with more out-edges than one partition holds is split:
     its edges get a salt ``hash(dst) % pieces`` and its rank is copied to
-    every piece, so no task carries a hot node's whole fan-out.  The heavy
-    node table has at most ``partitions`` rows (proven bound) and is
-    broadcast.  Inside the loop the partitioning is fixed by hand, so AQE is
+    every piece, so no task carries a hot node's whole fan-out.  Heavy
+    means more edges than one partition's share, so the heavy node table
+    has at most ``partitions`` rows (out-degrees sum to the edge count): a
+    proven bound, and it is broadcast.  Inside the loop the partitioning is fixed by hand, so AQE is
     switched off there (it only adds re-planning per round) and restored.
     """
     spark = edges.sparkSession
@@ -47,15 +48,19 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
     cap = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # one count (it also fills the cache) sizes the loop: a round costs a
     # task per partition, so tiny partitions would make 100 rounds slow
-    n = max(min(2, cap), min(cap, -(-e.count() // EDGES_PER_PARTITION)))
+    n_edges = e.count()
+    n = max(min(2, cap), min(cap, -(-n_edges // EDGES_PER_PARTITION)))
+    # a source is heavy when it has more edges than one partition's share;
+    # the out-degrees sum to n_edges, so at most n nodes can be heavy
+    heavy_at = max(EDGES_PER_PARTITION, -(-n_edges // n))
     saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", str(n))    # every job below runs eagerly here
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     links = None
     try:
         deg = e.groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
-        heavy = (deg.where(F.col("deg") > EDGES_PER_PARTITION)
-                 .select("node", F.ceil(F.col("deg") / EDGES_PER_PARTITION).cast("int").alias("pieces")))
+        heavy = (deg.where(F.col("deg") > heavy_at)
+                 .select("node", F.ceil(F.col("deg") / heavy_at).cast("int").alias("pieces")))
         salted = heavy.limit(1).count() > 0
         links = e.join(deg.withColumn("deg", F.col("deg").cast("double")), "node")
         if salted:
