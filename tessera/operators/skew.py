@@ -40,6 +40,19 @@ def heavy_keys(df: DataFrame, key, fraction: float = DEFAULT_SAMPLE, top: int =
     return counts.orderBy(F.desc("sample_n"), *ks).limit(top)
 
 
+def heavy_by_share(df: DataFrame, key, partitions: int) -> DataFrame:
+    """Keys holding more than ``1 / partitions`` of the rows (exact counts).
+
+    The total is a scalar subquery of the same plan (no driver action, no
+    cross join).  Counts sum to the total, so at most ``partitions`` keys
+    qualify: a proven bound for the broadcast in ``salted_join``.
+    """
+    ks = _keys(key)
+    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_cnt"))
+    total = counts.select(F.sum("_cnt")).scalar()
+    return counts.where(F.col("_cnt") * F.lit(int(partitions)) > total).select(*ks)
+
+
 def salted_join(left: DataFrame, right: DataFrame, key, heavy: DataFrame | None,
                 left_split: int, right_split: int = 1, how: str = "inner",
                 heavy_all: bool = False) -> DataFrame:
@@ -84,6 +97,23 @@ def salted_join(left: DataFrame, right: DataFrame, key, heavy: DataFrame | None,
     return l.join(r, ks + ["_a", "_b"], how).drop("_a", "_b")
 
 
+def split_heavy_join(left: DataFrame, right: DataFrame, key, heavy: DataFrame,
+                     left_split: int, right_split: int) -> DataFrame:
+    """Inner join where only rows of ``heavy`` keys take the salted path.
+
+    Rows of other keys are joined as usual (both sides filtered by the same
+    broadcast anti join, so a self-join still reads one shuffle); rows of
+    heavy keys are joined by ``salted_join`` on a grid of tasks; the two
+    results are unioned.  With no heavy key the salted branch is empty.
+    """
+    ks = _keys(key)
+    h = F.broadcast(heavy.select(*ks).distinct())
+    light = left.join(h, ks, "left_anti").join(right.join(h, ks, "left_anti"), ks)
+    hot = salted_join(left.join(h, ks, "left_semi"), right.join(h, ks, "left_semi"), ks, None,
+                      left_split, right_split, heavy_all=True)
+    return light.unionByName(hot)
+
+
 def skew_split_join(big: DataFrame, small: DataFrame, key, copies: int = DEFAULT_COPIES,
                     fraction: float = DEFAULT_SAMPLE, top: int = 1, seed: int = 7) -> DataFrame:
     """Detect the heaviest keys in a sample of ``big``, salt them over

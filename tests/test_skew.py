@@ -54,3 +54,27 @@ def test_salted_count_equals_count(spark):
     want = {r.k: r["count"] for r in big.groupBy("k").count().collect()}
     got = {r.k: r.n for r in S.salted_count(big, "k", salts=10).collect()}
     assert got == want
+
+
+def test_self_join_splits_hot_user(spark):
+    """A user holding a third of the ratings is found exactly and its pairs take
+    the salted grid; gram and cosine equal the plain self-join."""
+    from tessera.operators import matrix as M
+    n = 6000
+    ratings = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 400 + 1).alias("user"),
+        (F.col("id") % 997).alias("item"), (F.col("id") % 5 + 1).cast("double").alias("rating")
+    ).dropDuplicates(["user", "item"])
+    heavy = [r.user for r in S.heavy_by_share(ratings, "user", 8).collect()]
+    assert heavy == [0]
+    auto = sorted(map(tuple, M.item_gram(ratings).collect()))
+    plain = sorted(map(tuple, M.item_gram(ratings, skew_split=1).collect()))
+    assert auto == plain
+    c_auto = sorted(map(tuple, M.cosine_similarity(ratings, min_common=2).collect()))
+    c_plain = sorted(map(tuple, M.cosine_similarity(ratings, min_common=2, skew_split=1).collect()))
+    assert c_auto == c_plain
+    # the heavy rows really take the salted path: 16 (a, b) cells for user 0
+    a = ratings.select(F.col("user").alias("k"), "item")
+    cells = S.salted_join(a.where("k = 0"), a.where("k = 0").withColumnRenamed("item", "item2"), "k", None,
+                          4, 4, heavy_all=True)
+    assert cells.count() == a.where("k = 0").count() ** 2
