@@ -46,3 +46,13 @@ def test_predict_stays_in_codegen(spark):
     df = registry.QUERIES["r3_predict"](spark, SF_SMALL)
     p = plan(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    bad = {}
+    for name, fn in sorted(registry.QUERIES.items()):
+        p = plan(fn(spark, SF_SMALL))
+        hits = [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in p]
+        if hits:
+            bad[name] = hits
+    assert bad == {}
