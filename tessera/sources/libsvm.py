@@ -152,17 +152,22 @@ try:
 
         def write(self, iterator):
             from pyspark import TaskContext
+            from pyarrow import fs as pafs
             part = TaskContext.get().partitionId() if TaskContext.get() else 0
-            os.makedirs(self.path, exist_ok=True)
-            tmp = os.path.join(self.path, f"_tmp-part-{part:05d}-{uuid.uuid4().hex}")
-            n = 0
-            with open(tmp, "wb") as fh:
+            uri = self.path if "://" in self.path else "file://" + os.path.abspath(self.path)
+            filesystem, root = pafs.FileSystem.from_uri(uri)     # local, HDFS, S3, GCS ...
+            filesystem.create_dir(root, recursive=True)
+            tmp = f"{root}/_tmp-part-{part:05d}-{uuid.uuid4().hex}"
+            with filesystem.open_output_stream(tmp) as fh:
                 for row in iterator:
                     ex = row[self.column] or {}
                     fh.write(frame_record(encode_example({k: (v["i"], v["f"]) for k, v in ex.items()})))
-                    n += 1
-            final = os.path.join(self.path, f"part-{part:05d}.tfrecord")
-            os.replace(tmp, final)      # a retried task overwrites its own part file
+            final = f"{root}/part-{part:05d}.tfrecord"
+            try:
+                filesystem.delete_file(final)    # a retried task replaces its own part file
+            except (FileNotFoundError, OSError):
+                pass
+            filesystem.move(tmp, final)
             return WriterCommitMessage()
 
     class TFRecordDataSource(DataSource):
@@ -184,7 +189,8 @@ except ImportError:  # pragma: no cover
 
 
 def write_tfrecords(df: DataFrame, path: str, column: str = "example") -> None:
-    """S10 sink: one TFRecord file per partition under ``path``."""
+    """S10 sink: one TFRecord file per partition under ``path`` (a local
+    folder or any URI pyarrow's file systems open: ``hdfs://``, ``s3://``)."""
     if not HAVE_DATASOURCE:
         raise RuntimeError("Python data sources need pyspark >= 4.0")
     df.sparkSession.dataSource.register(TFRecordDataSource)
