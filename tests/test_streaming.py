@@ -87,3 +87,27 @@ def test_state_expires_after_ttl(spark):
     assert list(upd((1,), [pd.DataFrame([later])], st))[0]["cnt"][0] == 7.0
     much_later = dict(row, ts_us=5_000_000, id=3, rating=1.0)      # 4.5 s idle > 1 s TTL
     assert list(upd((1,), [pd.DataFrame([much_later])], st))[0]["cnt"][0] == 1.0
+
+
+def test_stream_through_similarity_sink(spark, scratch):
+    ev = item_events(spark, SF_SMALL)
+    pe = pair_events(spark, SF_SMALL)
+    src = os.path.join(scratch, "in2")
+    rows = SIM.stream_rows(ev, pe)
+    rows.where("kind = 'rating'").write.parquet(os.path.join(src, "r"))
+    rows.where("kind = 'pair'").write.parquet(os.path.join(src, "p"))
+    stream = spark.readStream.schema(SIM.STREAM_INPUT).option("maxFilesPerTrigger", 8).parquet(src + "/*")
+    root = os.path.join(scratch, "sink2")
+    q = (SIM.item_state_stream(stream).writeStream.outputMode("update")
+         .foreachBatch(SIM.SimilaritySink(root))
+         .option("checkpointLocation", os.path.join(scratch, "ck2")).trigger(availableNow=True).start())
+    assert q.awaitTermination(300)
+    versions = sorted(int(d.split("=")[1]) for d in os.listdir(os.path.join(root, "lists")) if d.startswith("v="))
+    assert versions and versions == list(range(versions[-1] + 1))
+    lists = spark.read.parquet(os.path.join(root, "lists", f"v={versions[-1]}"))
+    assert lists.count() > 0
+    assert lists.groupBy("item").count().agg(F.max("count")).collect()[0][0] <= SIM.NEIGHBOURS
+    # every listed neighbour is a partner the item's state holds
+    items = spark.read.parquet(os.path.join(root, "items", f"v={versions[-1]}"))
+    partners = items.select("item", F.explode("partners").alias("neighbour"))
+    assert lists.join(partners, ["item", "neighbour"], "left_anti").count() == 0
