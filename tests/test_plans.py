@@ -29,10 +29,8 @@ def test_copartitioned_join_has_two_exchanges(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = registry.QUERIES["j10_copartitioned_join"](spark, SF_SMALL)
-        p = df._jdf.queryExecution().sparkPlan().toString()
-        import re
-        ex = plan(df).count("Exchange hashpartitioning")
-        assert ex == 2, p
+        p = plan(df)
+        assert p.count("Exchange hashpartitioning") == 2, p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
