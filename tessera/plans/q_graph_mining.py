@@ -101,7 +101,11 @@ def svm_scores(spark, sf):
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"))
     data = L.assemble(li, SVM_FEATURES)
     train, test = random_split(data, (L.TRAIN_FRACTION, 1 - L.TRAIN_FRACTION), key="l_orderkey")
-    model = L.train_svm(train.cache(), L.SVM_ITERATIONS)
+    train = train.cache()          # the solver passes over it once per iteration
+    try:
+        model = L.train_svm(train, L.SVM_ITERATIONS)     # fit() runs eagerly
+    finally:
+        train.unpersist()
     return L.raw_scores(model, test, keep=("l_orderkey", "l_linenumber"))
 
 
