@@ -5,9 +5,10 @@ Discretizer plan (``discretize``):
 1. one aggregate profiles every string column (distinct counts), one count;
 2. the continuous columns of a Bernoulli sample are unpivoted to
    ``(column, value)`` and counted per distinct value (partial hash agg);
-3. per column, a Spark ``aggregate`` fold walks the sorted (value, count)
-   pairs and emits split points.  The sample holds about
-   ``max(maxBins^2, 10000)`` rows, so each column's array is bounded by
+3. per column, the stride walk over the sorted (value, count) pairs is
+   evaluated in closed form with running window aggregates (``_walk``):
+   streamed and spillable, no in-memory fold.  The sample holds about
+   ``max(maxBins^2, 10000)`` rows, so a column's histogram is bounded by
    that, never by the table size;
 4. the split arrays (at most ~maxBins values per column) are read to the
    driver and inlined as literal arrays in one projection over the table.
@@ -15,7 +16,7 @@ Discretizer plan (``discretize``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import HASH_BUCKETS, hash_bucket
@@ -88,25 +89,52 @@ def find_splits(df: DataFrame, columns, max_bins: int = DEFAULT_MAX_BINS, n: int
     else:
         s = df.sample(withReplacement=False, fraction=frac, seed=seed)
     hist = (_unpivot(s, columns).groupBy("column", "value").agg(F.count(F.lit(1)).cast("double").alias("cnt")))
-    per_col = hist.groupBy("column").agg(
-        F.array_sort(F.collect_list(F.struct("value", "cnt"))).alias("vc"))
-    k = F.size("vc")
-    steps = F.arrays_zip(F.slice("vc", 1, k - 1).alias("prev"), F.slice("vc", 2, k).alias("cur"))
-    init = F.struct(F.col("vc")[0]["cnt"].alias("count"), F.lit(stride).alias("target"),
-                    F.array().cast("array<double>").alias("splits"))
-
-    def step(acc, x):
-        prev_count = acc["count"]
-        cur_count = prev_count + x["cur"]["cnt"]
-        move = F.abs(prev_count - acc["target"]) < F.abs(cur_count - acc["target"])
-        mid = (x["prev"]["value"] + x["cur"]["value"]) / 2.0
-        return F.struct(cur_count.alias("count"),
-                        F.when(move, acc["target"] + F.lit(stride)).otherwise(acc["target"]).alias("target"),
-                        F.when(move, F.array_append(acc["splits"], mid)).otherwise(acc["splits"]).alias("splits"))
-
-    walked = F.aggregate(steps, init, step)["splits"]
-    splits = F.when(k <= max_bins, F.transform("vc", lambda x: x["value"])).otherwise(walked)
-    return per_col.select("column", splits.alias("splits"))
+    return _walk(hist, max_bins, num_samples, stride)
+
+
+def _targets(stride: float, num_samples: int, max_bins: int) -> list[float]:
+    """The walk's targets t_1 = stride, t_{k+1} = t_k + stride, by repeated
+    addition (as the fold adds them), far enough to pass any midpoint."""
+    out, t = [], stride
+    limit = 2 * max(num_samples, 1) + 2 * stride
+    while t <= limit and len(out) < 4 * (max_bins + 2):
+        out.append(t)
+        t += stride
+    return out
+
+
+def _walk(hist: DataFrame, max_bins: int, num_samples: int, stride: float) -> DataFrame:
+    """Split points of every column from its (value, cnt) histogram.
+
+    The fold "split when the target is nearer the previous running count
+    than the current one, then move the target one stride on" has a closed
+    form.  With m_i the midpoint of the running counts before and after
+    value i, a split happens at step i exactly when the current target is
+    below m_i.  If q_i is the number of targets below m_i (non-decreasing),
+    the split count after step i is s_i = min(q_i, s_{i-1} + 1), i.e.
+    s_i = i + min(0, min_{j<=i}(q_j - j)).  So the walk is running window
+    aggregates per column (streamed and spillable, no array fold), and value
+    i yields the split (v_{i-1} + v_i) / 2 when s_i > s_{i-1}.
+    """
+    targets = _targets(stride, num_samples, max_bins)
+    tarr = F.array(*[F.lit(float(x)) for x in targets])
+    w = Window.partitionBy("column").orderBy("value")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = (hist.withColumn("idx", F.row_number().over(w) - 1)
+         .withColumn("cum", F.sum("cnt").over(run))
+         .withColumn("prev_value", F.lag("value").over(w))
+         .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("column"))))
+    m = (F.col("cum") - F.col("cnt") + F.col("cum")) / 2.0
+    c0 = F.greatest(F.floor(m / F.lit(stride)).cast("int"), F.lit(1))
+    below = lambda pos: F.when(F.coalesce(F.try_element_at(tarr, pos), F.lit(float("inf"))) < m, 1).otherwise(0)
+    q = c0 - 1 + below(c0) + below(c0 + 1)
+    a = F.when(F.col("idx") == 0, F.lit(0)).otherwise(q - F.col("idx"))
+    h = h.withColumn("a", a).withColumn("s", F.col("idx") + F.least(F.lit(0), F.min("a").over(run)))
+    h = h.withColumn("split_here", (F.col("idx") > 0) & (F.col("s") > F.lag("s", 1, 0).over(w)))
+    point = (F.when(F.col("k") <= max_bins, F.col("value"))
+             .when(F.col("split_here"), (F.col("prev_value") + F.col("value")) / 2.0))
+    pts = h.select("column", point.alias("p")).where(F.col("p").isNotNull())
+    return pts.groupBy("column").agg(F.array_sort(F.collect_list("p")).alias("splits"))
 
 
 def assign_upper(value, splits):

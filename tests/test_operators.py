@@ -169,3 +169,32 @@ def test_pagerank_salts_hot_source(spark):
         G2.EDGES_PER_PARTITION = old
     assert salted.keys() == plain.keys()
     assert all(abs(salted[k] - plain[k]) < 1e-9 for k in plain)
+
+
+def _fold_splits(values, counts, max_bins, num_samples):
+    """The stride walk written as the plain sequential fold (test oracle)."""
+    if len(values) <= max_bins:
+        return list(values)
+    stride = num_samples / (max_bins + 1)
+    out, cur, target = [], counts[0], stride
+    for i in range(1, len(values)):
+        prev = cur
+        cur += counts[i]
+        if abs(prev - target) < abs(cur - target):
+            out.append((values[i - 1] + values[i]) / 2.0)
+            target += stride
+    return out
+
+
+def test_walk_closed_form_matches_fold_with_heavy_values(spark):
+    rnd = random.Random(11)
+    for trial in range(6):
+        k = rnd.randint(40, 400)
+        values = sorted(rnd.sample(range(100000), k))
+        counts = [rnd.choice([1, 1, 2, 3, 500, 2000]) if rnd.random() < 0.1 else rnd.randint(1, 5) for _ in values]
+        max_bins = rnd.choice([8, 16, 32])
+        n = sum(counts)
+        rows = [("x", float(v), float(c)) for v, c in zip(values, counts)]
+        hist = spark.createDataFrame(rows, "column string, value double, cnt double")
+        got = X._walk(hist, max_bins, n, n / (max_bins + 1)).collect()[0]["splits"]
+        assert list(got) == _fold_splits([float(v) for v in values], counts, max_bins, n), trial
