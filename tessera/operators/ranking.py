@@ -54,7 +54,10 @@ def position_in_key(df: DataFrame, key, order, name: str = "pos",
     order_cols = [order] if isinstance(order, str) else list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = key_cols + order_cols
+    # a per-row id as the last sort column lets the range bounds split even a
+    # hot key whose order values are all equal (tied rows are interchangeable)
+    df = df.withColumn("_tb", F.monotonically_increasing_id())
+    sort_cols = key_cols + order_cols + ["_tb"]
     ranged = (df.repartitionByRange(n, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id()))
@@ -71,7 +74,7 @@ def position_in_key(df: DataFrame, key, order, name: str = "pos",
                            F.coalesce(F.sum("_n_in_part").over(w), F.lit(0)).alias("_offset"))
     out = local.join(F.broadcast(offsets), on=["_pid"] + key_cols, how="left")
     return (out.withColumn(name, F.col("_local_pos") + F.coalesce(F.col("_offset"), F.lit(0)))
-            .drop("_pid", "_local_pos", "_n_in_part", "_edge", "_offset"))
+            .drop("_pid", "_local_pos", "_n_in_part", "_edge", "_offset", "_tb"))
 
 
 def _local_sums(value_cols: list[str]):

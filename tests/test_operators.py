@@ -198,3 +198,14 @@ def test_walk_closed_form_matches_fold_with_heavy_values(spark):
         hist = spark.createDataFrame(rows, "column string, value double, cnt double")
         got = X._walk(hist, max_bins, n, n / (max_bins + 1)).collect()[0]["splits"]
         assert list(got) == _fold_splits([float(v) for v in values], counts, max_bins, n), trial
+
+
+def test_position_in_key_splits_identical_hot_rows(spark):
+    # a third of the rows share key 0 and the same value: they must still spread
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                  F.lit(7).alias("v"))
+    out = position_in_key(df, "k", ["v"], partitions=6)
+    hot = out.where("k = 0")
+    assert sorted(r.pos for r in hot.select("pos").collect()) == list(range(1, 3001))
+    parts = hot.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
