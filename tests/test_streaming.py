@@ -49,6 +49,10 @@ def test_sink_replay_is_idempotent(spark, scratch):
     sink(state_out, 1)
     v1 = spark.read.parquet(os.path.join(scratch, "sink", "lists", "v=1"))
     assert v1.groupBy("item").count().agg(F.max("count")).collect()[0][0] <= SIM.NEIGHBOURS
+    # a gap in batch ids: batch 4 builds on version 1, not on an empty state
+    sink(state_out, 4)
+    v4 = sorted(tuple(r) for r in spark.read.parquet(os.path.join(scratch, "sink", "lists", "v=4")).collect())
+    assert v4 == sorted(tuple(r) for r in v1.collect())
 
 
 def test_prune_rule(spark):
