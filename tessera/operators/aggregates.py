@@ -104,13 +104,15 @@ def collect_groups(df: DataFrame, key: str, value: str, chunk: int = 10000,
     """A10: all values of a key as sorted lists, in chunks of at most ``chunk``.
 
     A plain ``collect_list`` per key would put a hot key's whole group into
-    one array in one task; numbering the values inside the key and grouping
-    by (key, chunk) keeps every array bounded while keeping all values.
+    one array in one task; numbering the values inside the key (with
+    ``position_in_key``, which spreads a hot key over range partitions
+    instead of one window task) and grouping by (key, chunk) keeps every
+    array bounded while keeping all values.
     Output: ``(key, chunk, values)`` with chunk 0, 1, ...
     """
-    w = Window.partitionBy(key).orderBy(F.col(value))
-    numbered = df.select(key, value).withColumn(
-        "chunk", ((F.row_number().over(w) - 1) / F.lit(chunk)).cast("bigint"))
+    from tessera.operators.ranking import position_in_key
+    numbered = (position_in_key(df.select(key, value), key, value)
+                .withColumn("chunk", ((F.col("pos") - 1) / F.lit(chunk)).cast("bigint")))
     return (numbered.groupBy(key, "chunk")
             .agg(F.array_sort(F.collect_list(value)).alias(name)))
 
