@@ -54,3 +54,10 @@ def test_no_registered_query_plans_a_cross_join(spark):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+def test_bounded_grouping_uses_range_partitioned_numbering(spark):
+    for name in ("a10_collect_groups", "j2_cogroup_lists"):
+        p = plan(registry.QUERIES[name](spark, SF_SMALL))
+        assert "MapInPandas" in p and "rangepartitioning" in p, name
+        assert "row_number()" not in p, name
