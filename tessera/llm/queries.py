@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash
+from tessera.llm import exact_dedup, mixing, packing, sharding, simhash
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,57 @@ def query(name: str, oracle: str | None = None):
 @query("op1_simhash_near_dedup")
 def op1(spark, sf_dir):
     return simhash.near_dup_components(table(spark, sf_dir, "documents"))
+
+
+@query("op5_karmarkar_karp_shards")
+def op5(spark, sf_dir):
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM s),
+-- water level num / den after the first i sources (by size per weight) are topped at twice their size
+o AS (SELECT *, row_number() OVER (ORDER BY source_size / w, source NULLS LAST) AS i FROM w),
+lv AS (SELECT i, source_size, w,
+         3 * sum(source_size) OVER () - 4 * coalesce(sum(source_size) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
+         2 * sum(w) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS den FROM o),
+l AS (SELECT num, den FROM lv WHERE w * num <= 2 * source_size * den ORDER BY i LIMIT 1),
+t AS (SELECT source, source_size,
+         CASE WHEN w * num > 2 * source_size * den THEN CAST(2 * source_size AS DOUBLE) ELSE CAST(w * num AS DOUBLE) / CAST(den AS DOUBLE) END AS target,
+         CAST(CASE WHEN w * num > 2 * source_size * den THEN 2 * source_size ELSE (w * num) // den END AS BIGINT) AS budget
+      FROM w, l),
+p AS (SELECT doc_id, d.size, source_size, target, budget,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+            + greatest(0, least(size, budget % source_size - before)) END AS BIGINT) AS taken
+FROM p
+"""
+
+
+@query("op7_source_mix", OP7_SQL)
+def op7(spark, sf_dir):
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """
+WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g ON n.t = g.t
+"""
+
+
+@query("op8_exact_dedup", OP8_SQL)
+def op8(spark, sf_dir):
+    return exact_dedup.exact_dedup_report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pack_powers_of_two")
+def op9(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
