@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, mixing, packing, sharding, simhash
+from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,26 @@ def op1(spark, sf_dir):
     return simhash.near_dup_components(table(spark, sf_dir, "documents"))
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, l, len(l) AS n, unnest(range(1, len(l) + 1)) AS i FROM d WHERE text IS NOT NULL),
+c AS (SELECT *, len(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS c1,
+             len(regexp_extract_all(coalesce(l[i + 1], ''), '[^\x20\x09-\x0D]+')) AS c2 FROM x),
+w AS (SELECT doc_id, l, i, CASE WHEN c1 >= 50 THEN 1 WHEN i + 1 <= n AND c1 + c2 >= 50 THEN 2 WHEN i + 2 <= n THEN 3 WHEN i = 1 THEN n END AS sz FROM c),
+r AS (SELECT doc_id, i, sz, row_number() OVER (PARTITION BY l[i:i + sz - 1] ORDER BY doc_id, i) AS rn FROM w WHERE sz IS NOT NULL),
+g AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + sz)) AS j FROM r WHERE rn > 1) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS deleted,
+       sha256(coalesce(CASE WHEN gone IS NULL THEN text
+                            ELSE array_to_string(list_filter(l, lambda x, k: NOT list_contains(gone, k)), chr(10)) END, '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 @query("op5_karmarkar_karp_shards")
 def op5(spark, sf_dir):
     return sharding.shard_report(table(spark, sf_dir, "documents"))
