@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash
+from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, url_filter
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,34 @@ def op8(spark, sf_dir):
 @query("op9_pack_powers_of_two")
 def op9(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def _op10_sql(rounds: int) -> str:
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+    step = """,
+s{i} AS (SELECT host, kind, sum(mass) AS mass FROM (
+  SELECT * FROM s0 UNION ALL
+  SELECT f.dst, f.kind, s.mass * f.part FROM s{j} s JOIN f ON s.host = f.src AND s.kind = f.kind) GROUP BY host, kind)"""
+    return """
+WITH p AS (SELECT *, row_number() OVER () AS n, position('://' IN url) AS at FROM pages),
+c AS (SELECT n, page_id, html, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM p),
+h AS (SELECT n, page_id, html, """ + low("regexp_extract(rest, '^[^/?#]*')") + """ AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM c),
+rules(v, rh, rp) AS (VALUES """ + ", ".join(str(r) for r in url_filter.RULES) + """),
+m AS (SELECT n, rh || rp AS rule, v, row_number() OVER (PARTITION BY n ORDER BY length(rh || rp) DESC, length(rh) DESC) AS rn
+      FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+j AS (SELECT h.*, rule, v FROM h LEFT JOIN m ON h.n = m.n AND rn = 1),
+l AS (SELECT host AS src, unnest(regexp_extract_all(html, '""" + url_filter.LINK.replace("'", "''") + """', 1)) AS link FROM j),
+e AS (SELECT src, dst, count(*) AS links FROM (SELECT src, """ + low("regexp_extract(link, '//([^/?#]*)', 1)") + """ AS dst FROM l)
+      WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+f AS (SELECT src, dst, 0 AS kind, links * 0.85 / sum(links) OVER (PARTITION BY src) AS part FROM e UNION ALL
+      SELECT dst, src, 1, links * 0.85 / sum(links) OVER (PARTITION BY dst) FROM e),
+s0 AS (SELECT host, CASE WHEN v = 'allow' THEN 0 ELSE 1 END AS kind, CAST(count(*) AS DOUBLE) * 0.15 AS mass
+       FROM j WHERE v IS NOT NULL AND host <> '' GROUP BY ALL)""" + "".join(step.format(i=i, j=i - 1) for i in range(1, rounds + 1)) + """,
+b AS (SELECT host FROM s{r} GROUP BY host HAVING coalesce(sum(mass) FILTER (kind = 1), 0) > coalesce(sum(mass) FILTER (kind = 0), 0) * (1 + 1e-9))
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN host IN (SELECT host FROM b) THEN 'block' ELSE 'allow' END) AS verdict FROM j
+""".replace("{r}", str(rounds))
+
+
+@query("op10_link_graph_url_filter", _op10_sql(url_filter.ROUNDS))
+def op10(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
