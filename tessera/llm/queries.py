@@ -112,8 +112,8 @@ s{i} AS (SELECT host, kind, sum(mass) AS mass FROM (
   SELECT * FROM s0 UNION ALL
   SELECT f.dst, f.kind, s.mass * f.part FROM s{j} s JOIN f ON s.host = f.src AND s.kind = f.kind) GROUP BY host, kind)"""
     return """
-WITH p AS (SELECT *, row_number() OVER () AS n, position('://' IN url) AS at FROM pages),
-c AS (SELECT n, page_id, html, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM p),
+WITH p AS (SELECT *, row_number() OVER () AS n, position('://' IN url) AS cut FROM pages),
+c AS (SELECT n, page_id, html, CASE WHEN cut > 0 THEN substr(url, cut + 3) ELSE '' END AS rest FROM p),
 h AS (SELECT n, page_id, html, """ + low("regexp_extract(rest, '^[^/?#]*')") + """ AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM c),
 rules(v, rh, rp) AS (VALUES """ + ", ".join(str(r) for r in url_filter.RULES) + """),
 m AS (SELECT n, rh || rp AS rule, v, row_number() OVER (PARTITION BY n ORDER BY length(rh || rp) DESC, length(rh) DESC) AS rn
