@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, url_filter
+from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, url_filter
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,21 @@ def op3(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op4_uniform_threshold_topk", OP4_SQL)
+def op4(spark, sf_dir):
+    return topk.topk_every(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_karmarkar_karp_shards")
 def op5(spark, sf_dir):
     return sharding.shard_report(table(spark, sf_dir, "documents"))
