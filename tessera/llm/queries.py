@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, url_filter
+from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, url_filter
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op5(spark, sf_dir):
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+@query("op6_pu_toxicity")
+def op6(spark, sf_dir):
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
