@@ -8,17 +8,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash
+from tessera.llm import exact_dedup, mixing, packing, simhash
+from tessera.llm import toxicity as pu
 from tessera.llm.shared import shared_path
 from tessera.sources.tables import table
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id."""
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the positive-unlabelled classifier scores below one half stay."""
+    return pu.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z lower-cased) the row with the largest doc_id stays."""
+    return exact_dedup.exact_dedup(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays, the one with the smallest doc_id."""
     return simhash.near_dedup(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's word budget takes them, the last one cut at the budget."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per power-of-two piece, a sequence of its own, with its ids."""
+    return packing.pack(docs, with_ids=True)
+
+
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("packing", pack)]
 
 #: Model training, tokenizer ids and XXH64 have no SQL; tests compare with a brute-force version.
 ORACLE_SQL = None

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, url_filter
+from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, url_filter, warczip
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,21 @@ def op1(spark, sf_dir):
     return simhash.near_dup_components(table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+g AS (SELECT page_id, t, octet_length(encode(t)) AS n, max(page_id) OVER (PARTITION BY t) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to
+FROM g
+"""
+
+
+@query("op2_warc_zip_archive", OP2_SQL)
+def op2(spark, sf_dir):
+    return warczip.archive_report(table(spark, sf_dir, "pages"))
+
+
 OP3_SQL = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 x AS (SELECT doc_id, l, len(l) AS n, unnest(range(1, len(l) + 1)) AS i FROM d WHERE text IS NOT NULL),
