@@ -2,16 +2,15 @@
 
 Discretizer plan (``discretize``):
 
-1. one aggregate profiles every string column (distinct counts), one count;
-2. the continuous columns of a Bernoulli sample are unpivoted to
-   ``(column, value)`` and counted per distinct value (partial hash agg);
-3. per column, the stride walk over the sorted (value, count) pairs is
-   evaluated in closed form with running window aggregates (``_walk``):
-   streamed and spillable, no in-memory fold.  The sample holds about
-   ``max(maxBins^2, 10000)`` rows, so a column's histogram is bounded by
-   that, never by the table size;
-4. the split arrays (at most ~maxBins values per column) are read to the
-   driver and inlined as literal arrays in one projection over the table.
+1. the continuous columns of the whole table are unpivoted to
+   ``(column, value)`` and counted per distinct value (partial hash agg); a
+   sample is read only if the caller asks for a fraction;
+2. the stride walk over the sorted (value, count) pairs is evaluated in closed
+   form (``_walk``) with running aggregates inside ranges of (column, value),
+   carried over range bounds, so no column meets in one task;
+3. the split arrays (at most ``max_bins + 1`` values per column) become
+   constants of one projection over the table; each value finds its bin by
+   binary search.
 """
 
 from __future__ import annotations
@@ -21,13 +20,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import HASH_BUCKETS, hash_bucket
 from tessera.operators.ordering import hash_fraction
+from tessera.operators.ranking import RANGE, before_range, join_before, ranged_table
 
 # Fixed values of the discretizer: default bins, minimum sample, seed, limits.
 DEFAULT_MAX_BINS = 32
 MIN_SAMPLES = 10000
 SAMPLE_SEED = 888
 MAX_BINS_LIMIT = 100000
-CATEGORY_HASH_LIMIT = 10000
 
 
 def corr_matrix(df: DataFrame, columns=None) -> DataFrame:
@@ -66,41 +65,27 @@ def _unpivot(df: DataFrame, columns) -> DataFrame:
 
 
 def find_splits(df: DataFrame, columns, max_bins: int = DEFAULT_MAX_BINS, n: int | None = None,
-                seed: int = SAMPLE_SEED, sample_key=None) -> DataFrame:
+                fraction: float | None = None, seed: int = SAMPLE_SEED, sample_key=None) -> DataFrame:
     """Split points per continuous column -> ``(column, splits array<double>)``.
 
-    ``n`` is the row count (computed when not given).  With ``sample_key``
-    the sample is a hash of that column (repeatable in any engine),
-    otherwise Spark's seeded Bernoulli sampler.  Columns with at most
-    ``max_bins`` distinct sampled values split at the values themselves;
-    others follow the stride walk: after each value, if the running count
-    moved away from the target, the midpoint of the previous and the
-    current value is a split and the target moves on by one stride.
+    Counts the whole table.  A caller who wants the sampled form passes
+    ``fraction`` (``sample_fraction`` gives the usual one); with ``sample_key``
+    the sample is a hash of that column (repeatable in any engine), otherwise
+    Spark's seeded Bernoulli sampler.  ``n`` is the row count (computed when not
+    given).  Columns with at most ``max_bins`` distinct values split at
+    the values themselves; others follow the stride walk: after each value, if
+    the running count moved away from the target, the midpoint of the previous
+    and the current value is a split and the target moves on by one stride.
     """
     if n is None:
         n = df.count()
-    frac = sample_fraction(max_bins, n)
-    num_samples = int(frac * n)
-    stride = num_samples / (max_bins + 1)
-    if frac >= 1.0:
-        s = df
-    elif sample_key is not None:
-        s = df.where(hash_fraction(sample_key) < F.lit(frac))
-    else:
-        s = df.sample(withReplacement=False, fraction=frac, seed=seed)
+    s, num_samples = df, n
+    if fraction is not None and fraction < 1.0:
+        num_samples = int(fraction * n)
+        s = (df.where(hash_fraction(sample_key) < F.lit(fraction)) if sample_key is not None
+             else df.sample(withReplacement=False, fraction=fraction, seed=seed))
     hist = (_unpivot(s, columns).groupBy("column", "value").agg(F.count(F.lit(1)).cast("double").alias("cnt")))
-    return _walk(hist, max_bins, num_samples, stride)
-
-
-def _targets(stride: float, num_samples: int, max_bins: int) -> list[float]:
-    """The walk's targets t_1 = stride, t_{k+1} = t_k + stride, by repeated
-    addition (as the fold adds them), far enough to pass any midpoint."""
-    out, t = [], stride
-    limit = 2 * max(num_samples, 1) + 2 * stride
-    while t <= limit and len(out) < 4 * (max_bins + 2):
-        out.append(t)
-        t += stride
-    return out
+    return _walk(hist, max_bins, num_samples, num_samples / (max_bins + 1))
 
 
 def _walk(hist: DataFrame, max_bins: int, num_samples: int, stride: float) -> DataFrame:
@@ -110,27 +95,41 @@ def _walk(hist: DataFrame, max_bins: int, num_samples: int, stride: float) -> Da
     than the current one, then move the target one stride on" has a closed
     form.  With m_i the midpoint of the running counts before and after
     value i, a split happens at step i exactly when the current target is
-    below m_i.  If q_i is the number of targets below m_i (non-decreasing),
-    the split count after step i is s_i = min(q_i, s_{i-1} + 1), i.e.
-    s_i = i + min(0, min_{j<=i}(q_j - j)).  So the walk is running window
-    aggregates per column (streamed and spillable, no array fold), and value
-    i yields the split (v_{i-1} + v_i) / 2 when s_i > s_{i-1}.
+    below m_i.  If q_i is the number of targets k * stride below m_i
+    (non-decreasing), the split count after step i is
+    s_i = min(q_i, s_{i-1} + 1), i.e. s_i = i + min(0, min_{j<=i}(q_j - j)),
+    and value i yields the split (v_{i-1} + v_i) / 2 when s_i > s_{i-1}.
+    So the walk needs, per value, its place, the running count and the running
+    minimum of q_j - j: aggregates inside a range of (column, value) plus
+    those of the column's earlier ranges (at most one row per range).
     """
-    targets = _targets(stride, num_samples, max_bins)
-    tarr = F.array(*[F.lit(float(x)) for x in targets])
-    w = Window.partitionBy("column").orderBy("value")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = (hist.withColumn("idx", F.row_number().over(w) - 1)
-         .withColumn("cum", F.sum("cnt").over(run))
-         .withColumn("prev_value", F.lag("value").over(w))
-         .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("column"))))
-    m = (F.col("cum") - F.col("cnt") + F.col("cum")) / 2.0
-    c0 = F.greatest(F.floor(m / F.lit(stride)).cast("int"), F.lit(1))
-    below = lambda pos: F.when(F.coalesce(F.try_element_at(tarr, pos), F.lit(float("inf"))) < m, 1).otherwise(0)
-    q = c0 - 1 + below(c0) + below(c0 + 1)
-    a = F.when(F.col("idx") == 0, F.lit(0)).otherwise(q - F.col("idx"))
-    h = h.withColumn("a", a).withColumn("s", F.col("idx") + F.least(F.lit(0), F.min("a").over(run)))
-    h = h.withColumn("split_here", (F.col("idx") > 0) & (F.col("s") > F.lag("s", 1, 0).over(w)))
+    rows = ranged_table(hist, ["column", "value"])
+    one = Window.partitionBy(RANGE, "column").orderBy("value")
+    run = one.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = rows.groupBy(RANGE, "column").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("c"), F.max("value").alias("last"))
+    by_range = Window.partitionBy("column").orderBy(RANGE)
+    before = before_range(totals, ["column"], {"n": "n0", "c": "c0"}).join(
+        totals.select(RANGE, "column", F.lag("last").over(by_range).alias("v0")), [RANGE, "column"])
+    sizes = totals.groupBy("column").agg(F.sum("n").alias("k"))  # one row per column of the table
+    h = join_before(rows, before, ["column"]).join(F.broadcast(sizes), "column")
+    idx = F.coalesce("n0", F.lit(0)) + F.row_number().over(one) - 1
+    cum = F.coalesce("c0", F.lit(0.0)) + F.sum("cnt").over(run)
+    h = h.select(RANGE, "column", "value", "k", idx.alias("idx"), (cum - F.col("cnt") / 2.0).alias("m"),
+                 F.coalesce(F.lag("value").over(one), F.col("v0")).alias("prev_value"))
+    if stride > 0:
+        near = F.greatest(F.floor(F.col("m") / F.lit(stride)), F.lit(1))
+        below = lambda k: F.when(k * F.lit(stride) < F.col("m"), 1).otherwise(0)
+        q = near - 1 + below(near) + below(near + 1)
+    else:
+        q = F.lit(0)
+    h = h.withColumn("a", F.when(F.col("idx") == 0, F.lit(0)).otherwise(q - F.col("idx")))
+    lows = h.groupBy(RANGE, "column").agg(F.min("a").alias("low"))
+    low0 = lows.select(RANGE, "column", F.min("low").over(by_range.rowsBetween(Window.unboundedPreceding, -1)).alias("low0"))
+    h = join_before(h, low0.where("low0 is not null"), ["column"])
+    lowest = lambda w: F.least(F.lit(0), F.coalesce("low0", F.lit(0)), F.coalesce(F.min("a").over(w), F.lit(0)))
+    s_here = F.col("idx") + lowest(run)
+    s_prev = F.col("idx") - 1 + lowest(one.rowsBetween(Window.unboundedPreceding, -1))
+    h = h.select("column", "value", "k", "prev_value", ((F.col("idx") > 0) & (s_here > s_prev)).alias("split_here"))
     point = (F.when(F.col("k") <= max_bins, F.col("value"))
              .when(F.col("split_here"), (F.col("prev_value") + F.col("value")) / 2.0))
     pts = h.select("column", point.alias("p")).where(F.col("p").isNotNull())
@@ -140,11 +139,36 @@ def _walk(hist: DataFrame, max_bins: int, num_samples: int, stride: float) -> Da
 def assign_upper(value, splits):
     """The smallest split greater than ``value``; at or above the last -> the last.
 
-    ``splits`` is a Column (array<double>) or a Python list of floats.
+    ``splits`` is a sorted array<double> Column or a Python list of floats; a
+    value finds its place by binary search.  No splits or a null value: null.
     """
-    arr = F.array(*[F.lit(float(x)) for x in splits]) if isinstance(splits, (list, tuple)) else splits
+    arr = constant_array(splits) if isinstance(splits, (list, tuple)) else splits
     v = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(F.try_element_at(F.filter(arr, lambda s: s > v), F.lit(1)), F.try_element_at(arr, F.lit(-1)))
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size(arr) + F.lit(1))).cast("int") + 1))
+
+    def halve(s, _):
+        mid = ((s["lo"] + s["hi"]) / 2).cast("int")
+        return (F.when(s["lo"] >= s["hi"], s)
+                .when(F.get(arr, mid) > v, F.struct(s["lo"].alias("lo"), mid.alias("hi")))
+                .otherwise(F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi")), halve, lambda s: s["lo"])
+    return F.when(v.isNotNull(), F.coalesce(F.get(arr, found), F.try_element_at(arr, F.lit(-1))))
+
+
+def split_arrays(splits: DataFrame) -> dict:
+    """(column, splits) -> a constant array Column per column.
+
+    At most ``max_bins + 1`` numbers per column come to the driver, a bound set
+    by the caller's parameter; each array is one folded constant in the plan.
+    """
+    return {r["column"]: constant_array(r["splits"]) for r in splits.collect()}
+
+
+def constant_array(values):
+    """A constant array<double> Column from one text literal (exact: shortest round-trip digits)."""
+    if not len(values):
+        return F.array().cast("array<double>")
+    return F.split(F.lit(",".join(repr(float(x)) for x in values)), ",").cast("array<double>")
 
 
 def category_values(df: DataFrame, columns=None) -> DataFrame:
@@ -154,46 +178,39 @@ def category_values(df: DataFrame, columns=None) -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
 
 
-def discretize(df: DataFrame, max_bins: int = DEFAULT_MAX_BINS, passthrough_short: bool = True,
-               seed: int = SAMPLE_SEED, sample_key=None) -> DataFrame:
+def discretize(df: DataFrame, max_bins: int = DEFAULT_MAX_BINS, passthrough_short: bool = False,
+               hash_columns=(), fraction: float | None = None, seed: int = SAMPLE_SEED, sample_key=None) -> DataFrame:
     """Replace every continuous value by the upper edge of its bin.
 
-    * string columns are categories and stay text; one with more than
-      10,000 distinct values is hashed into 10,000 buckets first;
-    * other columns are cast to double and binned with ``find_splits``;
-      a column with fewer than ``max_bins`` splits is passed through raw
-      (as the reference does) unless ``passthrough_short=False``;
+    * string columns are categories and stay text; those the caller names in
+      ``hash_columns`` are hashed into 10,000 buckets first;
+    * other columns are cast to double and binned with ``find_splits`` over the
+      whole table (or over a sample, if the caller gives ``fraction``); with
+      ``passthrough_short`` a column with fewer than ``max_bins`` splits is
+      passed through raw;
     * nulls stay null.
     Raises when ``max_bins`` is below the largest category count or above
     100,000.
     """
     str_cols = [c for c, t in df.dtypes if t == "string"]
     num_cols = [c for c, t in df.dtypes if t != "string"]
+    if max_bins > MAX_BINS_LIMIT:
+        raise ValueError(f"maxBins {max_bins} is above {MAX_BINS_LIMIT}")
     prof = df.agg(F.count(F.lit(1)).alias("_n"),
                   *[F.countDistinct(c).alias(c) for c in str_cols]).collect()[0]
-    n = prof["_n"]
-    distinct = {c: prof[c] for c in str_cols}
-    hashed = {c for c, d in distinct.items() if d > CATEGORY_HASH_LIMIT}
-    largest = max([min(d, HASH_BUCKETS) for d in distinct.values()], default=0)
+    largest = max([min(prof[c], HASH_BUCKETS) if c in hash_columns else prof[c] for c in str_cols], default=0)
     if max_bins < largest:
         raise ValueError(f"maxBins {max_bins} is below the largest category count {largest}")
-    if max_bins > MAX_BINS_LIMIT:
-        raise ValueError(f"maxBins {max_bins} is above {MAX_BINS_LIMIT}")
-    splits = {}
-    if num_cols:
-        rows = find_splits(df, num_cols, max_bins, n=n, seed=seed, sample_key=sample_key).collect()
-        splits = {r["column"]: list(r["splits"]) for r in rows}
+    found = split_arrays(find_splits(df, num_cols, max_bins, n=prof["_n"], fraction=fraction, seed=seed,
+                                     sample_key=sample_key)) if num_cols else {}
     out = []
     for c, t in df.dtypes:
-        if c in hashed:
+        if c in hash_columns:
             out.append(hash_bucket(c).alias(c))
         elif t == "string":
             out.append(F.col(c))
         else:
-            sp = splits.get(c, [])
-            v = F.col(c).cast("double")
-            if not sp or (passthrough_short and len(sp) < max_bins):
-                out.append(v.alias(c))
-            else:
-                out.append(F.when(v.isNull(), F.lit(None).cast("double")).otherwise(assign_upper(v, sp)).alias(c))
+            v, arr = F.col(c).cast("double"), found.get(c, constant_array(()))
+            raw = F.size(arr) < F.lit(max_bins if passthrough_short else 1)
+            out.append(F.when(raw, v).otherwise(assign_upper(v, arr)).alias(c))
     return df.select(*out)

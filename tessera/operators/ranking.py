@@ -1,124 +1,93 @@
-"""Position of each row inside its key, without giving a key to one task.
+"""Positions and running sums inside a key, without giving a key to one task.
 
 ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one
 task; with a key that holds a third of the table that task does a third of
-the work.  ``position_in_key`` instead
-
-1. range-partitions on (key, order...) -- the sampled range bounds split a
-   hot key over many partitions,
-2. sorts inside each partition and numbers rows per key locally
-   (Arrow batches through ``mapInPandas``),
-3. builds the offsets of keys that cross a partition edge.  Only the first
-   and the last key of a partition can cross an edge, so that table has at
-   most ``2 * partitions`` rows: a proven bound, safe to broadcast,
-4. adds the offset back.
-
-The result is the exact 1-based position of each row in the (key, order)
-sort, as ``row_number()`` would give.
+the work.  Here
+
+1. rows are range-partitioned on (key, order, row id) -- the sampled range
+   bounds split a hot key over many ranges -- and written once, with the number
+   of their range, as a table in the shared folder, so that every later step
+   (and every retry) sees the same ranges;
+2. a window over (range, key) numbers or sums the rows of one range, with
+   Spark's own window functions;
+3. per (range, key) totals, summed over the ranges before, carry a key over range
+   bounds.  Only keys that cross a bound need them: at most one row per
+   range, a proven bound, safe to broadcast.
+
+Null keys are a key like any other (null-safe comparisons throughout).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _local_positions(key_cols: list[str]):
-    def run(batches):
-        # one partition arrives as several Arrow batches, in sort order
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        keys = pdf[key_cols]
-        first = keys.iloc[[0]].to_numpy()[0]
-        last = keys.iloc[[-1]].to_numpy()[0]
-        local = pdf.groupby(key_cols, sort=False, dropna=False).cumcount().to_numpy() + 1
-        size = pdf.groupby(key_cols, sort=False, dropna=False)[key_cols[0]].transform("size").to_numpy()
-        is_first = np.all(keys.to_numpy() == first, axis=1)
-        is_last = np.all(keys.to_numpy() == last, axis=1)
-        pdf["_local_pos"] = local.astype("int64")
-        pdf["_n_in_part"] = size.astype("int64")
-        pdf["_edge"] = is_first | is_last
-        yield pdf
-    return run
+
+from tessera.session import shared_table
+
+RANGE = "_range"
+
+
+def _names(x) -> list[str]:
+    return [x] if isinstance(x, str) else list(x)
+
+
+def ranged_table(df: DataFrame, sort_cols, partitions: int | None = None) -> DataFrame:
+    """``df`` in ranges of ``sort_cols``, written to the shared folder, with the number of the range."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return shared_table(df.repartitionByRange(n, *sort_cols).withColumn(RANGE, F.spark_partition_id()), "ranges")
+
+
+def before_range(totals: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
+    """totals (range, keys, values) -> per key and range the sums of the key's earlier ranges.
+
+    Rows of a key's first range have nothing before them and are left out, so
+    at most one row per range remains.
+    """
+    w = Window.partitionBy(*keys).orderBy(RANGE) if keys else Window.orderBy(RANGE)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    return (totals.withColumn("_nth", F.row_number().over(w))
+            .select(RANGE, *keys, "_nth", *[F.sum(v).over(earlier).alias(name) for v, name in sums.items()])
+            .where("_nth > 1").drop("_nth"))
+
+
+def join_before(rows: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach ``before`` (at most one row per range) to rows by range and key, nulls being equal."""
+    names = {c: f"_b_{c}" for c in [RANGE, *keys]}
+    small = before.withColumnsRenamed(names)
+    on = F.col(RANGE) == F.col(names[RANGE])
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(names[k]))
+    return rows.join(F.broadcast(small), on, "left").drop(*names.values())
 
 
 def position_in_key(df: DataFrame, key, order, name: str = "pos",
                     partitions: int | None = None) -> DataFrame:
-    """Add ``name``: 1-based position of the row inside ``key`` by ``order``."""
-    key_cols = [key] if isinstance(key, str) else list(key)
-    order_cols = [order] if isinstance(order, str) else list(order)
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a per-row id as the last sort column lets the range bounds split even a
-    # hot key whose order values are all equal (tied rows are interchangeable)
-    df = df.withColumn("_tb", F.monotonically_increasing_id())
-    sort_cols = key_cols + order_cols + ["_tb"]
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_local_pos", T.LongType()),
-        T.StructField("_n_in_part", T.LongType()),
-        T.StructField("_edge", T.BooleanType()),
-    ])
-    local = ranged.mapInPandas(_local_positions(key_cols), schema)
-    # keys that touch a partition edge: at most two per partition
-    edges = local.where("_edge").select("_pid", *key_cols, "_n_in_part").distinct()
-    w = Window.partitionBy(*key_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = edges.select("_pid", *key_cols,
-                           F.coalesce(F.sum("_n_in_part").over(w), F.lit(0)).alias("_offset"))
-    out = local.join(F.broadcast(offsets), on=["_pid"] + key_cols, how="left")
-    return (out.withColumn(name, F.col("_local_pos") + F.coalesce(F.col("_offset"), F.lit(0)))
-            .drop("_pid", "_local_pos", "_n_in_part", "_edge", "_offset", "_tb"))
-
-
-def _local_sums(value_cols: list[str]):
-    def run(batches):
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        for v in value_cols:
-            run_total = pdf[v].cumsum()
-            pdf[f"_before_{v}"] = (run_total - pdf[v]).astype("float64")
-            pdf[f"_ptotal_{v}"] = float(pdf[v].sum())
-        yield pdf
-    return run
+    """Add ``name``: 1-based position of the row inside ``key`` by ``order``.
+
+    Tied rows are interchangeable; a per-row id as the last sort column lets
+    the range bounds split even a hot key whose order values are all equal.
+    """
+    keys, orders = _names(key), _names(order)
+    sort_cols = keys + orders + ["_tb"]
+    rows = ranged_table(df.withColumn("_tb", F.monotonically_increasing_id()), sort_cols, partitions)
+    totals = rows.groupBy(RANGE, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    local = F.row_number().over(Window.partitionBy(RANGE, *keys).orderBy(*orders, "_tb"))
+    out = join_before(rows.withColumn(name, local), before_range(totals, keys, {"_n": "_offset"}), keys)
+    return (out.withColumn(name, F.col(name) + F.coalesce(F.col("_offset"), F.lit(0)))
+            .drop(RANGE, "_offset", "_tb"))
 
 
 def exclusive_prefix_sums(df: DataFrame, order, values, partitions: int | None = None) -> DataFrame:
     """Add ``<v>_before``: the sum of ``v`` over all rows earlier in ``order``.
 
-    ``order`` must be a total order (e.g. distinct scores).  Range
-    partitioning spreads the rows; each partition sums locally, and the
-    per-partition totals (one row per partition: a proven bound) are
-    prefix-summed and broadcast back.  No global window, no single task.
+    ``order`` must be a total order (e.g. distinct scores).
     """
-    order_cols = [order] if isinstance(order, str) else list(order)
-    value_cols = [values] if isinstance(values, str) else list(values)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    extra = []
-    for v in value_cols:
-        extra += [T.StructField(f"_before_{v}", T.DoubleType()), T.StructField(f"_ptotal_{v}", T.DoubleType())]
-    local = ranged.mapInPandas(_local_sums(value_cols), T.StructType(ranged.schema.fields + extra))
-    # Totals come from the same mapInPandas output (not re-derived from
-    # ``ranged``): both branches then share one range exchange (planned
-    # once, reused), so every row sees the partition bounds its totals
-    # were computed with.
-    totals = local.groupBy("_pid").agg(*[F.max(f"_ptotal_{v}").alias(f"_t_{v}") for v in value_cols])
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # <= n rows
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0.0)).alias(f"_o_{v}")
-                                      for v in value_cols])
-    out = local.join(F.broadcast(offsets), "_pid", "left")
-    for v in value_cols:
-        out = out.withColumn(f"{v}_before", F.col(f"_before_{v}") + F.coalesce(F.col(f"_o_{v}"), F.lit(0.0)))
-    drop = (["_pid"] + [f"_before_{v}" for v in value_cols] + [f"_o_{v}" for v in value_cols]
-            + [f"_ptotal_{v}" for v in value_cols])
-    return out.drop(*drop)
+    orders, vals = _names(order), _names(values)
+    rows = ranged_table(df, orders, partitions)
+    totals = rows.groupBy(RANGE).agg(*[F.sum(v).alias(f"_t_{v}") for v in vals])
+    before = before_range(totals, [], {f"_t_{v}": f"_o_{v}" for v in vals})   # one row per range
+    w = Window.partitionBy(RANGE).orderBy(*orders).rowsBetween(Window.unboundedPreceding, -1)
+    out = join_before(rows.select("*", *[F.sum(v).over(w).alias(f"_l_{v}") for v in vals]), before, [])
+    for v in vals:
+        out = out.withColumn(f"{v}_before", F.coalesce(F.col(f"_l_{v}"), F.lit(0.0)) + F.coalesce(F.col(f"_o_{v}"), F.lit(0.0)))
+    return out.drop(RANGE, *[f"_{x}_{v}" for v in vals for x in "lo"])

@@ -27,15 +27,16 @@ def x1_corr_matrix(spark, sf):
     return m.select("column", *[F.round(c, 6).alias(c) for c in CORR_COLS])
 
 
-def splits_sql(tbl: str, cols, max_bins: int = MAX_BINS, sample_where: str = "") -> str:
-    """Recursive-CTE twin of ``find_splits``: ``(column, idx, split)``."""
+def splits_sql(tbl: str, cols, max_bins: int = MAX_BINS, sample_where: str = "", fraction_sql: str = "1.0") -> str:
+    """Recursive-CTE twin of ``find_splits``: ``(column, idx, split)``.
+
+    ``fraction_sql`` is the sampled form's fraction in terms of the row count n.
+    """
     longs = "\n  UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM src" for c in cols)
-    req = max(max_bins * max_bins, X.MIN_SAMPLES)
     return f"""
 WITH RECURSIVE
 src AS (SELECT * FROM {tbl} {sample_where}),
-frac AS (SELECT CASE WHEN {req} < n THEN {req} / n ELSE 1.0 END AS f, n
-         FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM {tbl})),
+frac AS (SELECT {fraction_sql} AS f, n FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM {tbl})),
 ns AS (SELECT CAST(trunc(f * n) AS BIGINT) / {max_bins + 1}.0 AS stride FROM frac),
 long AS ({longs}),
 hist AS (SELECT col, v, CAST(count(*) AS DOUBLE) AS c, row_number() OVER (PARTITION BY col ORDER BY v) AS idx
@@ -71,15 +72,20 @@ def x3_find_splits(spark, sf):
 _LINE_HASH = "CAST(('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0"
 
 
+_FRACTION = f"CASE WHEN {X.MIN_SAMPLES} < n THEN {X.MIN_SAMPLES} / n ELSE 1.0 END"
+
+
 @query("x3_find_splits_sampled",
-       oracle=splits_sql("lineitem", ("l_extendedprice", "l_quantity"), MAX_BINS,
+       oracle=splits_sql("lineitem", ("l_extendedprice", "l_quantity"), MAX_BINS, fraction_sql=_FRACTION,
                          sample_where="WHERE " + _LINE_HASH + " < (SELECT CASE WHEN 10000 < count(*) "
                                        "THEN 10000 / count(*) ELSE 1.0 END FROM lineitem)")
        + "SELECT * FROM numbered")
 def x3_find_splits_sampled(spark, sf):
     """Split finding on a hash-keyed sample of line items (same sample in any engine)."""
     li = table(spark, sf, "lineitem")
-    return _splits_long(X.find_splits(li, ["l_extendedprice", "l_quantity"], MAX_BINS, sample_key="l_orderkey"))
+    n = li.count()
+    return _splits_long(X.find_splits(li, ["l_extendedprice", "l_quantity"], MAX_BINS, n=n,
+                                      fraction=X.sample_fraction(MAX_BINS, n), sample_key="l_orderkey"))
 
 
 @query("x4_assign_upper", oracle=splits_sql("customer", ("c_acctbal",)) + """
@@ -88,8 +94,8 @@ SELECT c_custkey, coalesce((SELECT min(split) FROM numbered WHERE split > c_acct
 FROM customer""")
 def x4_assign_upper(spark, sf):
     c = table(spark, sf, "customer")
-    sp = X.find_splits(c, ["c_acctbal"], MAX_BINS).collect()[0]["splits"]
-    return c.select("c_custkey", X.assign_upper("c_acctbal", list(sp)).alias("upper"))
+    found = X.split_arrays(X.find_splits(c, ["c_acctbal"], MAX_BINS))
+    return c.select("c_custkey", X.assign_upper("c_acctbal", found["c_acctbal"]).alias("upper"))
 
 
 def _discretize_sql() -> str:
@@ -107,7 +113,7 @@ def _discretize_sql() -> str:
 @query("x5_discretize", oracle=_discretize_sql())
 def x5_discretize(spark, sf):
     c = table(spark, sf, "customer").select(*CUSTOMER_NUM, "c_mktsegment")
-    return X.discretize(c, MAX_BINS)
+    return X.discretize(c, MAX_BINS, passthrough_short=True)
 
 
 @query("x6_category_values", oracle="""

@@ -1,13 +1,15 @@
 """Session helpers: a local session for tests and benches, and the
-checkpoint directory rule used by iterative jobs (PageRank, streaming).
+checkpoint directory rule used by iterative jobs (PageRank, streaming)
+and by tables that several steps share.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "tessera", shuffle_partitions: int | None = None,
@@ -62,7 +64,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder under the checkpoint directory for intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the checkpoint folder and read it back.
+
+    Cuts lineage: all readers, and any retried task, see the same rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_shared(df: DataFrame) -> None:
+    """Delete the files behind a table of ``shared_table``."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

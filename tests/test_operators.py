@@ -209,3 +209,59 @@ def test_position_in_key_splits_identical_hot_rows(spark):
     assert sorted(r.pos for r in hot.select("pos").collect()) == list(range(1, 3001))
     parts = hot.select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_position_in_key_numbers_a_null_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("k"), F.col("id").alias("v"))
+    out = position_in_key(df, "k", ["v"], partitions=4).collect()
+    want = {}
+    for r in sorted(out, key=lambda r: r.v):
+        want[r.k] = want.get(r.k, 0) + 1
+        assert r.pos == want[r.k]
+    groups = A.collect_groups(df, "k", "v", chunk=10).collect()
+    assert max(len(r["values"]) for r in groups) == 10 and sum(len(r["values"]) for r in groups) == 4000
+
+
+def test_ranking_runs_in_the_jvm(spark):
+    df = spark.createDataFrame([(1, 2.0)], "k long, v double")
+    for out in (position_in_key(df, "k", "v"), exclusive_prefix_sums(df, "k", ["v"])):
+        plan = out._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_walk_is_the_fold_over_many_ranges_and_targets(spark):
+    rnd = random.Random(2)
+    rows, want = [], {}
+    for c, k in (("a", 900), ("b", 700), ("c", 12)):
+        values = sorted(rnd.sample(range(10 ** 6), k))
+        counts = [rnd.randint(1, 9) for _ in values]
+        rows += [(c, float(v), float(n)) for v, n in zip(values, counts)]
+        # more rows than the expected sample: the targets go on past it
+        want[c] = _fold_splits([float(v) for v in values], counts, 40, 1000)
+    hist = spark.createDataFrame(rows, "column string, value double, cnt double")
+    got = {r["column"]: list(r["splits"]) for r in X._walk(hist, 40, 1000, 1000 / 41).collect()}
+    assert got == want
+
+
+def test_discretize_reads_the_whole_table_unless_asked(spark):
+    df = spark.range(30000).select((F.col("id") % 12000).cast("string").alias("s"), F.col("id").cast("double").alias("x"))
+    with pytest.raises(ValueError):
+        X.discretize(df, 9000, hash_columns=())
+    got = X.discretize(df.select("x"), 32).agg(F.countDistinct("x"), F.max("x")).first()
+    assert got[0] == 33 or got[0] == 32
+    sampled = X.find_splits(df, ["x"], 32, fraction=0.1, sample_key="s").collect()[0]["splits"]
+    whole = X.find_splits(df, ["x"], 32).collect()[0]["splits"]
+    assert list(sampled) != list(whole)
+    hashed = X.discretize(df, 10_000, hash_columns=("s",))
+    assert hashed.select("s").distinct().count() <= 10_000
+
+
+def test_assign_upper_searches_like_a_scan(spark):
+    rnd = random.Random(8)
+    splits = sorted(rnd.sample(range(100000), 5000))
+    vals = [rnd.uniform(-10, 100010) for _ in range(500)] + [float(s) for s in splits[:50]] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.u for r in df.select(X.assign_upper("v", splits).alias("u")).collect()]
+    want = [None if v is None else float(next((s for s in splits if s > v), splits[-1])) for v in vals]
+    assert got == want
+    assert df.select(X.assign_upper("v", []).alias("u")).where("u is not null").count() == 0
