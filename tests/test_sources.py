@@ -70,3 +70,58 @@ def test_whole_files_and_day_partitions(spark, scratch):
     assert day.count() == 1
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "dt" in plan
+
+
+def test_crc32c_known_values():
+    assert LS.crc32c(b"123456789") == 0xE3069283
+    items = [b"", b"a", b"123456789", bytes(range(256)) * 3]
+
+    def slow(data):
+        c = 0xFFFFFFFF
+        for b in data:
+            c ^= b
+            for _ in range(8):
+                c = c >> 1 ^ (0x82F63B78 if c & 1 else 0)
+        return c ^ 0xFFFFFFFF
+    assert LS.crc32c_many(items) == [slow(x) for x in items]
+
+
+def _records(path):
+    return sorted(p for f in glob.glob(os.path.join(path, "*.tfrecord")) for p in LS.read_tfrecord_file(f))
+
+
+def test_tfrecord_append_overwrite_and_failed_job(spark, scratch):
+    path = os.path.join(scratch, "tfr2")
+    one = LS.to_examples(lines(spark, ["1 3:5 4:5.5", "0 3:2"])).repartition(2)
+    two = LS.to_examples(lines(spark, ["1 9:9"])).coalesce(1)
+    LS.write_tfrecords(one, path)
+    LS.write_tfrecords(two, path)
+    LS.write_tfrecords(two, path)
+    assert len(_records(path)) == 4
+    before = _records(path)
+    hit = F.map_contains_key("example", "4") & F.raise_error(F.lit("boom")).isNull()
+    broken = one.coalesce(1).select(F.when(hit, F.lit(None)).otherwise(F.col("example")).alias("example"))
+    try:
+        LS.write_tfrecords(broken, path)
+        raise AssertionError("the job should fail")
+    except Exception as e:  # noqa: BLE001
+        assert "boom" in str(e)
+    assert _records(path) == before
+    assert [d for d in os.listdir(path) if d.startswith("_job-")] == []
+    LS.write_tfrecords(two, path, mode="overwrite")
+    assert len(_records(path)) == 1
+
+
+def test_tfrecord_path_is_of_sparks_default_file_system(spark, scratch):
+    conf = spark._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://store/")
+    conf.set("fs.viewfs.mounttable.store.link./data", f"file://{scratch}")
+    try:
+        assert LS.qualified_uri(spark, "/data/x").startswith("viewfs://store/data/x")
+    finally:
+        conf.set("fs.defaultFS", old or "file:///")
+    assert LS.qualified_uri(spark, f"{scratch}/x") == f"file://{scratch}/x"
+    import pytest
+    with pytest.raises(ValueError):
+        LS._file_system("relative/path")

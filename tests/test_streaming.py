@@ -1,7 +1,10 @@
 """Streaming job: state = batch twin, replay changes nothing, sink writes versions."""
 
 import os
+import random
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans.views import item_events, pair_events
@@ -9,24 +12,86 @@ from tessera.streaming import similarity as SIM
 from tests.conftest import SF_SMALL
 
 
-def test_stream_state_equals_batch_twin(spark, scratch):
-    ev = item_events(spark, SF_SMALL)
-    pe = pair_events(spark, SF_SMALL)
-    rows = SIM.stream_rows(ev, pe)
-    src = os.path.join(scratch, "in")
-    # two input files, arriving as two micro-batches
-    rows.where("item % 2 = 0 OR kind = 'pair'").write.parquet(os.path.join(src, "a"))
-    rows.where("item % 2 = 1 AND kind = 'rating'").write.parquet(os.path.join(src, "b"))
-    stream = spark.readStream.schema(SIM.STREAM_INPUT).option("maxFilesPerTrigger", 4).parquet(src + "/*")
-    out = SIM.item_state_stream(stream)
-    q = (out.writeStream.outputMode("update").format("memory").queryName("item_state")
-         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
-    assert q.awaitTermination(300)
-    latest = spark.sql("SELECT item, cnt FROM item_state").groupBy("item").agg(F.max("cnt").alias("cnt"))
-    # per item the last emitted count is its max here (counts only grow when ratings arrive)
-    twin = {r.item: r.cnt for r in SIM.recent_item_counts(ev).collect()}
-    got = {r.item: r.cnt for r in latest.collect() if r.item in twin}
-    assert got == twin
+def _newest(spark, root, what):
+    v = max(int(d.split("=")[1]) for d in os.listdir(os.path.join(root, what)) if d.startswith("v="))
+    return v, spark.read.parquet(os.path.join(root, what, f"v={v}"))
+
+
+def test_stream_equals_batch_twins_over_several_batches(spark, scratch):
+    """T1, T2, T3 and T5 after four micro-batches = the batch twins (no item has more than 30 partners here)."""
+    rnd = random.Random(3)
+    ratings = [(i, f"2024-01-01 00:{m:02d}:00", m, float(rnd.randint(1, 5))) for i in range(40) for m in range(rnd.randint(1, 50))]
+    pairs = [(i, j, float(rnd.randint(1, 9)), rnd.randint(1, 4)) for i in range(40) for j in range(i + 1, 40) if rnd.random() < 0.5]
+    ev = spark.createDataFrame(ratings, "item long, ts string, id long, rating double").withColumn("ts", F.col("ts").cast("timestamp"))
+    pe = spark.createDataFrame(pairs, "item_i long, item_j long, rating double, n_ij long")
+    src, root = os.path.join(scratch, "in"), os.path.join(scratch, "sink")
+    rows = SIM.stream_rows(ev, pe).persist()
+    unordered = (F.least("item", "partner") * 41 + F.greatest("item", "partner")) % 2
+    for part in (rows.where("kind = 'rating' AND item % 2 = 0"), rows.where("kind = 'rating' AND item % 2 = 1"),
+                 rows.where((F.col("kind") == "pair") & (unordered == 0)), rows.where((F.col("kind") == "pair") & (unordered == 1))):
+        part.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(SIM.STREAM_INPUT).parquet(src)
+        q = (SIM.item_state_stream(stream).writeStream.outputMode("update").foreachBatch(SIM.SimilaritySink(root, delta=0.5))
+             .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+        assert q.awaitTermination(300)
+    v, items = _newest(spark, root, "items")
+    assert v == 3
+    counts, partners = SIM.recent_item_counts(ev), SIM.recent_partner_scores(pe)
+    state = items.collect()
+    assert {r.item: r.cnt for r in state} == {r.item: r.cnt for r in counts.collect()}
+    assert sorted((r.item, p, s, n) for r in state for p, s, n in zip(r.partners, r.scores, r.ns)) == sorted(
+        (r.item, r.partner, r.score, r.n) for r in partners.collect())
+    twin = SIM.top_similar(SIM.pair_similarity(SIM.listed_pairs(partners), counts))
+    _, lists = _newest(spark, root, "lists")
+    assert sorted(map(tuple, lists.select("item", "neighbour", "sim").collect())) == sorted(map(tuple, twin.collect()))
+    left = [d for d in os.listdir(os.path.join(root, "lists")) if d.startswith("v=")]
+    assert sorted(left) == ["v=2", "v=3"]   # older versions are removed
+
+
+def test_kept_pair_enters_both_lists_and_lost_state_raises(spark, scratch):
+    schema = "item long, cnt double, partners array<long>, scores array<double>, ns array<long>"
+    sink = SIM.SimilaritySink(os.path.join(scratch, "s"))
+    sink(spark.createDataFrame([(1, 9.0, [], [], []), (2, 4.0, [], [], [])], schema), 0)
+    sink(spark.createDataFrame([(1, 9.0, [2], [3.0], [1])], schema), 1)     # only item 1 is touched
+    got = sorted(map(tuple, spark.read.parquet(os.path.join(scratch, "s", "lists", "v=1")).collect()))
+    assert got == [(1, 2, 0.5), (2, 1, 0.5)]
+    with pytest.raises(FileNotFoundError):
+        SIM.SimilaritySink(os.path.join(scratch, "elsewhere"))(spark.createDataFrame([], schema), 7)
+
+
+class _State:
+    def __init__(self):
+        self.value = None
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+
+def test_pair_writes_renew_an_item_and_chunks_do_not_matter():
+    upd = SIM._make_update(3, 2, ttl_ms=1000)
+    base = {"item": 1, "id": 1, "rating": None, "partner": None, "score": None, "n": None}
+    rate = lambda us, r, i=1: dict(base, kind="rating", ts_us=us, rating=r, id=i)
+    pair = lambda us, p, s: dict(base, kind="pair", ts_us=us, partner=p, score=s, n=1)
+    st = _State()
+    list(upd((1,), [pd.DataFrame([rate(0, 5.0)])], st))
+    for us in (900_000, 1_800_000, 2_700_000):                # pair traffic only
+        list(upd((1,), [pd.DataFrame([pair(us, 7, 1.0)])], st))
+    out = list(upd((1,), [pd.DataFrame([rate(3_500_000, 2.0)])], st))[0]
+    assert out["cnt"][0] == 7.0 and out["partners"][0] == [7] and out["scores"][0] == [3.0]
+    assert list(upd((1,), [pd.DataFrame([rate(9_000_000, 1.0)])], st))[0]["partners"][0] == []
+    rows = [rate(k, float(k), k) for k in range(9)] + [pair(5, k % 4, float(k)) for k in range(9)]
+    whole, split = _State(), _State()
+    a = list(upd((1,), [pd.DataFrame(rows)], whole))[0]
+    b = list(upd((1,), [pd.DataFrame([r]) for r in rows], split))[0]
+    assert a.equals(b) and a["cnt"][0] == 21.0 and a["partners"][0] == [0, 3]
 
 
 def test_sink_replay_is_idempotent(spark, scratch):
@@ -64,26 +129,10 @@ def test_prune_rule(spark):
     assert kept == {(4, 5)}
 
 
-def test_state_expires_after_ttl(spark):
-    import pandas as pd
+def test_state_expires_after_ttl():
     upd = SIM._make_update(30, 30, ttl_ms=1000)
 
-    class State:
-        def __init__(self):
-            self.value = None
-
-        @property
-        def exists(self):
-            return self.value is not None
-
-        @property
-        def get(self):
-            return self.value
-
-        def update(self, v):
-            self.value = v
-
-    st = State()
+    st = _State()
     row = {"item": 1, "kind": "rating", "ts_us": 0, "id": 1, "rating": 5.0, "partner": None, "score": None, "n": None}
     out = list(upd((1,), [pd.DataFrame([row])], st))
     assert out[0]["cnt"][0] == 5.0
@@ -107,11 +156,12 @@ def test_stream_through_similarity_sink(spark, scratch):
          .option("checkpointLocation", os.path.join(scratch, "ck2")).trigger(availableNow=True).start())
     assert q.awaitTermination(300)
     versions = sorted(int(d.split("=")[1]) for d in os.listdir(os.path.join(root, "lists")) if d.startswith("v="))
-    assert versions and versions == list(range(versions[-1] + 1))
+    assert versions and len(versions) <= 2
     lists = spark.read.parquet(os.path.join(root, "lists", f"v={versions[-1]}"))
     assert lists.count() > 0
     assert lists.groupBy("item").count().agg(F.max("count")).collect()[0][0] <= SIM.NEIGHBOURS
-    # every listed neighbour is a partner the item's state holds
+    # every listed pair is one that either item's state holds
     items = spark.read.parquet(os.path.join(root, "items", f"v={versions[-1]}"))
-    partners = items.select("item", F.explode("partners").alias("neighbour"))
+    listed = items.select("item", F.explode("partners").alias("neighbour"))
+    partners = listed.union(listed.select("neighbour", "item"))
     assert lists.join(partners, ["item", "neighbour"], "left_anti").count() == 0
