@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import mean_per_key, top_k_per_key, trunc4_units
-from tessera.operators.skew import heavy_keys, salted_join
+from tessera.operators.skew import sized_join
 
 # Fixed values of the reference recommender: default item mean, neighbours.
 DEFAULT_MEAN = 3.4952
@@ -52,15 +52,15 @@ def top_neighbours(sim: DataFrame, k: int = DEFAULT_NEIGHBOURS) -> DataFrame:
 
 def predict(ratings: DataFrame, sim: DataFrame, k: int = DEFAULT_NEIGHBOURS,
             default_mean: float = DEFAULT_MEAN, user: str = "user", item: str = "item",
-            rating: str = "rating", skew_split: int = 1) -> DataFrame:
+            rating: str = "rating") -> DataFrame:
     """``score(u, i) = mean_i + sum_j t(sim_ij * diff_uj) / sum_j t(sim_ij)``
 
     over the k nearest neighbours j of i that u rated; ``t`` truncates to 4
     decimals per term.  A zero weight sum gives the item mean (the
     reference divides by zero).  Output ``(user, item, score)``.
 
-    ``skew_split > 1`` spreads neighbour items rated by very many users
-    over a grid of tasks (heavy keys from a 10 % sample).
+    Neighbour items rated by very many users are cut into cells by their
+    number of raters (``sized_join``).
     """
     r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).alias("rating"))
     means = item_mean(r)
@@ -70,11 +70,7 @@ def predict(ratings: DataFrame, sim: DataFrame, k: int = DEFAULT_NEIGHBOURS,
     m = means.select(F.col("item").alias("i"), F.col("mean"))
     nb = (top_neighbours(sim, k).join(m, "i", "left")
           .withColumn("mean", F.coalesce(F.col("mean"), F.lit(default_mean))))
-    if skew_split > 1:
-        heavy = heavy_keys(diff, "j", top=16)
-        joined = salted_join(diff, nb, "j", heavy, left_split=skew_split, right_split=1)
-    else:
-        joined = nb.join(diff, "j")
+    joined = sized_join(diff, nb, "j", count="left")
     terms = joined.select("user", "i", "mean",
                           trunc4_units(F.col("sim") * F.col("diff")).alias("num"),
                           trunc4_units(F.col("sim")).alias("den"))
@@ -83,6 +79,31 @@ def predict(ratings: DataFrame, sim: DataFrame, k: int = DEFAULT_NEIGHBOURS,
                        (F.col("mean") + F.coalesce(F.try_divide(F.col("num"), F.col("den")), F.lit(0.0))).alias("score"))
 
 
+def predict_pairs(pairs: DataFrame, ratings: DataFrame, sim: DataFrame, k: int = DEFAULT_NEIGHBOURS,
+                  default_mean: float = DEFAULT_MEAN, user: str = "user", item: str = "item",
+                  rating: str = "rating") -> DataFrame:
+    """``predict`` for the asked (user, item) pairs only; a pair without terms -> ``default_mean``.
+
+    Each pair meets its item's at most ``k`` neighbours and then the asked
+    user's rating of that neighbour, so nothing outside the asked pairs is
+    shuffled and the work is at most ``k`` rows per pair.
+    """
+    asked = pairs.select(F.col(user).alias("user"), F.col(item).alias("i")).distinct()
+    r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).alias("rating"))
+    means = item_mean(r)
+    near = top_neighbours(sim, k).join(asked.select("i").distinct(), "i", "left_semi")
+    diff = (rating_deviation(r.join(asked.select("user").distinct(), "user", "left_semi"), means, default_mean)
+            .select(F.col("item").alias("j"), "user", "diff"))
+    terms = asked.join(near, "i").join(diff, ["user", "j"]).select(
+        "user", "i", trunc4_units(F.col("sim") * F.col("diff")).alias("num"), trunc4_units(F.col("sim")).alias("den"))
+    sums = terms.groupBy("user", "i").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
+    scored = sums.join(means.select(F.col("item").alias("i"), "mean"), "i", "left").select(
+        "user", F.col("i").alias("item"),
+        (F.coalesce(F.col("mean"), F.lit(default_mean))
+         + F.coalesce(F.try_divide(F.col("num"), F.col("den")), F.lit(0.0))).alias("score"))
+    return score_test_pairs(pairs, scored, default_mean, user, item)
+
+
 def score_test_pairs(pairs: DataFrame, predictions: DataFrame, default: float = DEFAULT_MEAN,
                      user: str = "user", item: str = "item") -> DataFrame:
     """Test pairs left-joined with predictions; missing -> default.

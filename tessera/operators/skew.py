@@ -10,18 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import shared_table
+
 # Fixed values from the reference's recipes: 100 copies, 10 % sample.
 DEFAULT_COPIES = 100
 DEFAULT_SAMPLE = 0.1
+#: Rows of one side that meet in one cell of a sized join: at most this squared pairs.
+PIECE_ROWS = 4096
 
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def row_salt(df: DataFrame, n: int, seed: int = 17) -> Column:
-    """Deterministic salt in [0, n) from the whole row's content."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(n)).cast("int")
+def row_salt(df: DataFrame, n, seed: int = 17) -> Column:
+    """Salt in [0, n) from the row's content and its partition.
+
+    Repeatable when a task is retried (no row counter, no random number); the
+    partition spreads identical rows, which would otherwise share one salt.
+    """
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.pmod(F.xxhash64(F.lit(seed), F.spark_partition_id(), *[F.col(c) for c in df.columns]), n).cast("int")
 
 
 def heavy_keys(df: DataFrame, key, fraction: float = DEFAULT_SAMPLE, top: int = 1,
@@ -40,17 +49,19 @@ def heavy_keys(df: DataFrame, key, fraction: float = DEFAULT_SAMPLE, top: int =
     return counts.orderBy(F.desc("sample_n"), *ks).limit(top)
 
 
-def heavy_by_share(df: DataFrame, key, partitions: int) -> DataFrame:
-    """Keys holding more than ``1 / partitions`` of the rows (exact counts).
+def heavy_by_share(df: DataFrame, key, share: int, fraction: float = DEFAULT_SAMPLE, seed: int = 7) -> DataFrame:
+    """Keys holding more than ``1 / share`` of a Bernoulli sample (of all rows at ``fraction`` 1).
 
     The total is a scalar subquery of the same plan (no driver action, no
-    cross join).  Counts sum to the total, so at most ``partitions`` keys
+    cross join).  Counts sum to the total, so fewer than ``share`` keys
     qualify: a proven bound for the broadcast in ``salted_join``.
     """
     ks = _keys(key)
-    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_cnt"))
+    rows = df.select(*ks)
+    rows = rows if fraction >= 1 else rows.sample(withReplacement=False, fraction=fraction, seed=seed)
+    counts = rows.groupBy(*ks).agg(F.count(F.lit(1)).alias("_cnt"))
     total = counts.select(F.sum("_cnt")).scalar()
-    return counts.where(F.col("_cnt") * F.lit(int(partitions)) > total).select(*ks)
+    return counts.where(F.col("_cnt") * F.lit(int(share)) > total).select(*ks)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key, heavy: DataFrame | None,
@@ -97,30 +108,44 @@ def salted_join(left: DataFrame, right: DataFrame, key, heavy: DataFrame | None,
     return l.join(r, ks + ["_a", "_b"], how).drop("_a", "_b")
 
 
-def split_heavy_join(left: DataFrame, right: DataFrame, key, heavy: DataFrame,
-                     left_split: int, right_split: int) -> DataFrame:
-    """Inner join where only rows of ``heavy`` keys take the salted path.
+def sized_join(left: DataFrame, right: DataFrame, key, piece_rows: int = PIECE_ROWS, count: str = "both") -> DataFrame:
+    """Inner equi-join in cells sized by their work: every cell holds at most about
+    ``piece_rows`` rows of a counted side.
 
-    Rows of other keys are joined as usual (both sides filtered by the same
-    broadcast anti join, so a self-join still reads one shuffle); rows of
-    heavy keys are joined by ``salted_join`` on a grid of tasks; the two
-    results are unioned.  With no heavy key the salted branch is empty.
+    A key with n rows on a side is cut into ceil(n / piece_rows) pieces of that
+    side, and the other side's rows of the key go to each of them, so a hot
+    key takes as many cells as its pairs need; an ordinary key has one cell.
+    One join serves all keys.  ``count``: 'both', 'left' (only that side is cut)
+    or 'self' (both sides have the same keys, counted once).  The table of cut
+    keys is written first, so the planner knows its size when it chooses
+    between broadcasting and shuffling it.
     """
     ks = _keys(key)
-    h = F.broadcast(heavy.select(*ks).distinct())
-    light = left.join(h, ks, "left_anti").join(right.join(h, ks, "left_anti"), ks)
-    hot = salted_join(left.join(h, ks, "left_semi"), right.join(h, ks, "left_semi"), ks, None,
-                      left_split, right_split, heavy_all=True)
-    return light.unionByName(hot)
+
+    def cut(df, name):
+        return (df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > piece_rows)
+                .select(*ks, F.ceil(F.col("_n") / piece_rows).cast("int").alias(name)))
+    cuts = cut(left, "_pl")
+    if count == "both":
+        cuts = cuts.join(cut(right, "_pr"), ks, "full")
+    else:
+        cuts = cuts.withColumn("_pr", F.col("_pl") if count == "self" else F.lit(1))
+    cuts = shared_table(cuts, "cut-keys")
+    pl, pr = F.coalesce("_pl", F.lit(1)), F.coalesce("_pr", F.lit(1))
+    l = (left.withColumns({"_sl": row_salt(left, 1 << 30)}).join(cuts, ks, "left")
+         .withColumn("_a", F.pmod("_sl", pl)).withColumn("_b", F.explode(F.sequence(F.lit(0), pr - 1))).drop("_sl", "_pl", "_pr"))
+    r = (right.withColumns({"_sr": row_salt(right, 1 << 30, seed=18)}).join(cuts, ks, "left")
+         .withColumn("_b", F.pmod("_sr", pr)).withColumn("_a", F.explode(F.sequence(F.lit(0), pl - 1))).drop("_sr", "_pl", "_pr"))
+    return l.join(r, ks + ["_a", "_b"]).drop("_a", "_b")
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, key, copies: int = DEFAULT_COPIES,
-                    fraction: float = DEFAULT_SAMPLE, top: int = 1, seed: int = 7) -> DataFrame:
-    """Detect the heaviest keys in a sample of ``big``, salt them over
-    ``copies`` tasks (small side copied exactly ``copies`` times), join the
-    rest normally.  Result equals ``big.join(small, key)``.
+                    fraction: float = DEFAULT_SAMPLE, seed: int = 7) -> DataFrame:
+    """Detect the heavy keys (more than 1/copies of the rows) in a sample of
+    ``big``, salt them over ``copies`` tasks (small side copied exactly ``copies``
+    times), join the rest normally.  Result equals ``big.join(small, key)``.
     """
-    heavy = heavy_keys(big, key, fraction=fraction, top=top, seed=seed)
+    heavy = heavy_by_share(big, key, copies, fraction=fraction, seed=seed)
     return salted_join(big, small, key, heavy, left_split=copies, right_split=1)
 
 

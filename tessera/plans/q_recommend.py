@@ -133,8 +133,16 @@ def m4_item_gram(spark, sf):
 @query("m5_split_diagonal", views=("ratings",), oracle="""
 SELECT item AS i, item AS j, sum(rating * rating) AS v FROM ratings GROUP BY item""")
 def m5_split_diagonal(spark, sf):
-    diag, _ = M.split_diagonal(M.item_gram(ratings(spark, sf)))
-    return diag
+    return M.gram_diagonal(ratings(spark, sf)).drop("n")
+
+
+@query("m5_off_diagonal", views=("ratings",), oracle="""
+WITH up AS (SELECT a.item AS i, b.item AS j, sum(a.rating * b.rating) AS v
+            FROM ratings a JOIN ratings b ON a."user" = b."user" AND a.item < b.item
+            GROUP BY a.item, b.item)
+SELECT i, j, v FROM up UNION ALL SELECT j AS i, i AS j, v FROM up""")
+def m5_off_diagonal(spark, sf):
+    return M.gram_off_diagonal(ratings(spark, sf)).drop("n")
 
 
 @query("m6_cosine_similarity", views=("ratings",), oracle=f"WITH {_SIM_SQL} SELECT i, j, sim FROM sim")
@@ -172,8 +180,7 @@ WITH {_SIM_SQL}, {_PREDICT_SQL}, {_TEST_PAIRS_SQL}
 SELECT t."user", t.item, coalesce(p.score, 3.4952) AS score
 FROM test_pairs t LEFT JOIN pred p ON t."user" = p."user" AND t.item = p.item""")
 def r4_score_test_pairs(spark, sf):
-    pred = R.predict(ratings(spark, sf), similarity(spark, sf), k=NEIGHBOURS)
-    return R.score_test_pairs(test_pairs(spark, sf), pred)
+    return R.predict_pairs(test_pairs(spark, sf), ratings(spark, sf), similarity(spark, sf), k=NEIGHBOURS)
 
 
 @query("a5_sum_pair_per_key", views=("ratings",), oracle=f"""
@@ -182,9 +189,10 @@ SELECT "user", i, num, den FROM sums""")
 def a5_sum_pair_per_key(spark, sf):
     """The (numerator, denominator) sums of ``predict`` in 1e-4 units."""
     from tessera.operators.aggregates import sum_pair_per_key, trunc4_units
+    from tessera.operators.skew import sized_join
     r = ratings(spark, sf)
     diff = R.rating_deviation(r, R.item_mean(r)).select(F.col("item").alias("j"), "user", "diff")
-    terms = (R.top_neighbours(similarity(spark, sf), NEIGHBOURS).join(diff, "j")
+    terms = (sized_join(diff, R.top_neighbours(similarity(spark, sf), NEIGHBOURS), "j", count="left")
              .select("user", "i", trunc4_units(F.col("sim") * F.col("diff")).alias("num"),
                      trunc4_units(F.col("sim")).alias("den")))
     return sum_pair_per_key(terms, ["user", "i"], "num", "den", names=("num", "den"))

@@ -10,19 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.skew import heavy_by_share, split_heavy_join
+from tessera.operators.skew import sized_join
+from tessera.session import shared_table
 from tessera.sources.tables import table
 
-# Grid side for a hot user or order in the self-joins below.
-SELF_JOIN_GRID = 4
-
-
-def _self_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Equi self-join in which a user/order holding more than 1/partitions of
-    the rows is spread over a salted grid (see ``split_heavy_join``)."""
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return split_heavy_join(left, right, key, heavy_by_share(left, key, parts), SELF_JOIN_GRID, SELF_JOIN_GRID)
-
 # --------------------------------------------------------------------------
 # DataFrame builders
 # --------------------------------------------------------------------------
@@ -53,9 +44,10 @@ def edges(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     per_part = li.groupBy("l_orderkey", "l_partkey").agg(F.min("l_linenumber").alias("first_ln"),
                                                           F.max("l_linenumber").alias("last_ln"))
+    per_part = shared_table(per_part, "order-parts")   # both sides and the key counts read it
     x = per_part.select("l_orderkey", F.col("l_partkey").alias("src"), "first_ln")
     y = per_part.select("l_orderkey", F.col("l_partkey").alias("dst"), "last_ln")
-    return (_self_join(x, y, "l_orderkey")
+    return (sized_join(x, y, "l_orderkey", count="self")
             .where((F.col("first_ln") < F.col("last_ln")) & (F.col("src") != F.col("dst")))
             .select("src", "dst").distinct())
 
@@ -81,10 +73,10 @@ def item_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def pair_events(spark: SparkSession, sf: str) -> DataFrame:
     """(item_i, item_j, rating, n_ij): co-rating strength of two items over users."""
-    r = ratings(spark, sf)
+    r = shared_table(ratings(spark, sf), "ratings")
     a = r.select("user", F.col("item").alias("item_i"), F.col("rating").alias("ra"))
     b = r.select("user", F.col("item").alias("item_j"), F.col("rating").alias("rb"))
-    return (_self_join(a, b, "user").where(F.col("item_i") < F.col("item_j"))
+    return (sized_join(a, b, "user", count="self").where(F.col("item_i") < F.col("item_j"))
             .groupBy("item_i", "item_j")
             .agg(F.sum(F.least("ra", "rb")).alias("rating"), F.count(F.lit(1)).alias("n_ij")))
 

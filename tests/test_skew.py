@@ -58,28 +58,38 @@ def test_salted_count_equals_count(spark):
     assert got == want
 
 
-def test_self_join_splits_hot_user(spark):
-    """A user holding a third of the ratings is found exactly and its pairs take
-    the salted grid; gram and cosine equal the plain self-join."""
+def test_identical_rows_are_spread(spark):
+    keys = spark.range(1000).select(F.lit(1).alias("k")).repartition(8)
+    assert keys.select(S.row_salt(keys, 100).alias("s")).distinct().count() > 1
+
+
+def test_sized_join_equals_plain_join_and_evens_the_cells(spark):
+    """A user holding a third of the ratings: cells within 2x of piece_rows squared, results as the plain join."""
     from tessera.operators import matrix as M
     n = 6000
     ratings = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 400 + 1).alias("user"),
         (F.col("id") % 997).alias("item"), (F.col("id") % 5 + 1).cast("double").alias("rating")
     ).dropDuplicates(["user", "item"])
-    heavy = [r.user for r in S.heavy_by_share(ratings, "user", 8).collect()]
-    assert heavy == [0]
-    auto = sorted(map(tuple, M.item_gram(ratings).collect()))
-    plain = sorted(map(tuple, M.item_gram(ratings, skew_split=1).collect()))
-    assert auto == plain
-    c_auto = sorted(map(tuple, M.cosine_similarity(ratings, min_common=2).collect()))
-    c_plain = sorted(map(tuple, M.cosine_similarity(ratings, min_common=2, skew_split=1).collect()))
-    assert c_auto == c_plain
-    # the heavy rows really take the salted path: 16 (a, b) cells for user 0
-    a = ratings.select(F.col("user").alias("k"), "item")
-    cells = S.salted_join(a.where("k = 0"), a.where("k = 0").withColumnRenamed("item", "item2"), "k", None,
-                          4, 4, heavy_all=True)
-    assert cells.count() == a.where("k = 0").count() ** 2
+    hot = ratings.where("user = 0").count()
+    a = ratings.select("user", F.col("item").alias("x"))
+    b = ratings.select("user", F.col("item").alias("y"))
+    plain = as_set(a.join(b, "user"))
+    for count, rows in (("self", 100), ("both", 100), ("left", 50), ("self", 10 ** 6)):
+        assert as_set(S.sized_join(a, b, "user", rows, count)) == plain
+    pieces = -(-hot // 100)
+    sides = a.where("user = 0").select(F.pmod(S.row_salt(a, 1 << 30), F.lit(pieces)).alias("a")).groupBy("a").count().collect()
+    assert len(sides) == pieces and max(r["count"] for r in sides) <= 2 * hot / pieces
+    whole = sorted(map(tuple, M.item_gram(ratings).collect()))
+    assert sorted(map(tuple, M.item_gram(ratings, piece_rows=64).collect())) == whole
+    c = sorted(map(tuple, M.cosine_similarity(ratings, min_common=2).collect()))
+    assert sorted(map(tuple, M.cosine_similarity(ratings, min_common=2, piece_rows=64).collect())) == c
+
+
+def test_cosine_of_an_all_zero_item_is_null(spark):
+    from tessera.operators import matrix as M
+    r = spark.createDataFrame([(1, 10, 0.0), (1, 11, 2.0), (2, 10, 0.0), (2, 11, 4.0)], "user long, item long, rating double")
+    assert {(x.i, x.j): x.sim for x in M.cosine_similarity(r).collect()} == {(10, 11): None, (11, 10): None}
 
 
 def test_views_with_hot_order_and_customer(spark, scratch):
@@ -100,7 +110,7 @@ def test_views_with_hot_order_and_customer(spark, scratch):
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(os.path.join(sf, "orders.parquet"))
 
     assert [r.l_orderkey for r in S.heavy_by_share(spark.read.parquet(os.path.join(sf, "lineitem.parquet")),
-                                                     "l_orderkey", 8).collect()] == [0]
+                                                     "l_orderkey", 8, fraction=1.0).collect()] == [0]
     li = spark.read.parquet(os.path.join(sf, "lineitem.parquet"))
     x, y = li.alias("x"), li.alias("y")
     plain_edges = (x.join(y, (F.col("x.l_orderkey") == F.col("y.l_orderkey"))
