@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.shared import fresh, materialize, utf8, word_blocks
+from tessera.llm.shared import fresh, materialize, text_groups, utf8, word_blocks
 from tessera.operators.ranking import position_in_key
 
 WEIGHTS = (5, 2, 1)
@@ -38,7 +38,7 @@ RANGE_ROWS = 1 << 16
 @F.arrow_udf(T.LongType())
 def word_count(texts: pa.Array) -> pa.Array:
     """Number of [^\\x20\\x09-\\x0D]+ words."""
-    return pa.array([sum(len(b.split()) for b in word_blocks(t or b"")) for t in utf8(texts)], pa.int64())
+    return pa.array([sum(len(b.split()) for b in word_blocks(t)) for _, g in text_groups(texts) for t in g], pa.int64())
 
 
 def _first_words(data: bytes, n: int) -> bytes:

@@ -4,13 +4,13 @@ A document of n ids (its text's, then id 2) is cut into floor(n / 4096) pieces o
 4096 and one piece for each bit of the rest, the longest first.  Every piece is a
 sequence of its own length, a power of two, so there is no padding and no
 sequence crosses documents.  Sequences are numbered bucket by bucket (equal
-lengths together): the number is a piece's place in its length's bucket after
-the counts of the longer ones, from counts per (length, hash range); no bucket
-meets in one task.
+lengths together, the longest first): a task counts its own pieces of each length
+as it cuts them, and the counts per (length, input partition), prefix-summed, say
+where its numbers begin.  Pieces are written once and never shuffled.
 
 Ids come from a public tokenizer file whose rule cuts at white space, so a
 text's ids are the ids of its white-space chunks in order.  A worker keeps the
-ids of chunks it has met (bounded, and dropped whole when full) and asks the
+ids of words it has met (a bounded number, the frequent ones) and asks the
 tokenizer only for new ones: the text is never split anywhere else.  Chunks of
 plain Latin letters with trailing punctuation are asked for as letters and marks,
 which the tokenizer's own rule separates.
@@ -23,6 +23,7 @@ each give their pieces.  Null ids are allowed.  Empty table: no rows.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,12 +33,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, partitions, spread, utf8, word_blocks
+from tessera.llm.shared import materialize, text_groups, word_blocks
 
 LONGEST = 4096
 END_ID = 2
-RANGE_ROWS = 1 << 17
-CACHE_CHUNKS = 400_000
+CACHE_WORDS = 150_000   # words a worker remembers: about 30 MB
+OUT_BYTES = 4 << 20
 
 #: Letters that the tokenizer keeps in one word and lower-cases one by one, then marks it keeps apart from them.
 _PLAIN = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,]*)$"
@@ -49,9 +50,9 @@ def tokenizer_path() -> str:
 
 
 class ChunkTokenizer:
-    """Ids of texts by white-space chunk, with a bounded memory of chunks."""
+    """Ids of texts by white-space chunk, with a bounded memory of words."""
 
-    def __init__(self, path: str, limit: int = CACHE_CHUNKS):
+    def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tok, self.limit = Tokenizer.from_file(path), limit
         vocab = self.tok.get_vocab()
@@ -76,6 +77,22 @@ class ChunkTokenizer:
         self.used += len(ids)
         self.place.update(zip(words, range(n, n + m)))
 
+    def _bound(self, known: int, used: int, met: int) -> None:
+        """A full memory keeps what it had: words new in the last look-up go again.
+
+        The words met first are mostly the frequent ones.  If most words of a
+        look-up were new, the texts have changed and all is learned afresh.
+        """
+        new = len(self.place) - known
+        if len(self.place) <= self.limit or known < self.limit:
+            return
+        if 2 * new > met:
+            self._forget()
+            return
+        for _ in range(new):
+            self.place.popitem()
+        self.used = used
+
     def _learn(self, plain: list[str], odd: list[str]) -> None:
         """plain: letters only or marks only, one token word each, so many go through the tokenizer as one text."""
         for i in range(0, len(plain), 5000):
@@ -103,8 +120,7 @@ class ChunkTokenizer:
         """Ids of all texts in a row, and where each text's end."""
         split = pc.ascii_split_whitespace(texts)
         chunks = split.flatten().dictionary_encode()
-        if len(chunks.dictionary) + len(self.place) > self.limit:
-            self._forget()
+        known = len(self.place), self.used
         parts = pc.extract_regex(chunks.dictionary, pattern=_PLAIN)
         plain = parts.is_valid().to_numpy(zero_copy_only=False)
         word = pc.if_else(parts.is_valid(), pc.utf8_lower(pc.struct_field(parts, "word")), chunks.dictionary)
@@ -116,10 +132,11 @@ class ChunkTokenizer:
         total = int(after[-1]) if len(after) else 0
         ids = self.pool[np.repeat(self.start[seg] - (after - size), size) + np.arange(total)]
         ends = np.concatenate([[0], after])[2 * split.offsets.to_numpy()[1:]]
+        self._bound(*known, len(chunks.dictionary))
         return ids, ends
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text; texts are looked up together, about 4 MB at a time."""
+        """Ids of each text; texts are looked up together, about 2 MB at a time."""
         out: list[list[np.ndarray]] = [[] for _ in texts]
         held, n = [], 0
         for at, block in chain(((i, b) for i, t in enumerate(texts) for b in word_blocks(t)), [(None, b"")]):
@@ -149,54 +166,55 @@ def piece_lengths(n: int, longest: int = LONGEST) -> list[int]:
 
 
 def _pieces(path: str, longest: int, with_ids: bool):
+    names = ["doc_id", "part", "local", "start", "length", "ids_crc32", "doc_tokens"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = worker_tokenizer(path)
+        tok, seen = worker_tokenizer(path), Counter()   # of each length, in this partition
         for batch in batches:
-            ids_of, rids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            cols: list[list] = [[] for _ in range(7)]
-            texts = [t or b"" for t in utf8(batch.column(2))]
-            groups = (zip(ids_of[i:i + 500], rids[i:i + 500], tok.ids(texts[i:i + 500])) for i in range(0, len(texts), 500))
-            for doc, rid, ids in chain.from_iterable(groups):
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                at = 0
-                for n in piece_lengths(len(ids), longest):
-                    raw = ids[at:at + n].tobytes()
-                    for c, x in zip(cols, (doc, rid, at, n, zlib.crc32(raw), len(ids), raw)):
-                        c.append(x)
-                    at += n
-                    if len(cols[0]) >= 20_000:
-                        yield out(cols)
-                        cols = [[] for _ in range(7)]
-            yield out(cols)
-
-    def out(cols):
-        names = ["doc_id", "rid", "start", "length", "ids_crc32", "doc_tokens"]
-        arrays = [pa.array(c, pa.int64()) for c in cols[:6]]
-        if with_ids:
-            values = np.frombuffer(b"".join(cols[6]), "<u4").astype(np.int32)
-            offsets = np.concatenate([[0], np.cumsum(cols[3], dtype=np.int64)]).astype(np.int32)
-            names, arrays = names + ["ids"], arrays + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
-        return pa.RecordBatch.from_arrays(arrays, names)
+            for at, texts in text_groups(batch.column(2)):
+                docs, rids = (batch.column(i).slice(at, len(texts)).to_pylist() for i in (0, 1))
+                rows, raw, held = [], [], 0
+                for doc, rid, ids in zip(docs, rids, tok.ids(texts)):
+                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                    start = 0
+                    for n in piece_lengths(len(ids), longest):
+                        piece = ids[start:start + n].tobytes()
+                        rows.append((doc, rid >> 33, seen[n], start, n, zlib.crc32(piece), len(ids)))
+                        seen[n] += 1
+                        start, held = start + n, held + len(piece) * with_ids + 48
+                        if with_ids:
+                            raw.append(piece)
+                        if held > OUT_BYTES:
+                            yield out(rows, raw)
+                            rows, raw, held = [], [], 0
+                if rows:
+                    yield out(rows, raw)
+
+    def out(rows, raw):
+        arrays = [pa.array(c, pa.int64()) for c in zip(*rows)]
+        if not with_ids:
+            return pa.RecordBatch.from_arrays(arrays, names)
+        values = pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32))
+        offsets = np.concatenate([[0], np.cumsum([r[4] for r in rows])]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(arrays + [pa.ListArray.from_arrays(pa.array(offsets), values)], names + ["ids"])
     return run
 
 
 def pack(docs: DataFrame, path: str | None = None, longest: int = LONGEST, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
-    spark = docs.sparkSession
-    schema = "doc_id long, rid long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), "text")
+    schema = ("doc_id long, part long, local long, start long, length long, ids_crc32 long, doc_tokens long"
+              + ", ids array<int>" * with_ids)
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), "text")  # the partition is in its upper bits
     pieces = materialize(rows.mapInArrow(_pieces(path or tokenizer_path(), longest, with_ids), schema), "pieces")
-    ranges = max(partitions(spark), -(-pieces.count() // RANGE_ROWS))
-    pieces = pieces.withColumn("range", spread(F.struct("rid", "start"), ranges))
-    counts = pieces.groupBy("length", "range").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = counts.groupBy("length").agg(F.sum("n").alias("n"))
     longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)  # one row per length: 13
     first = sizes.select("length", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("first"))
-    start = counts.join(F.broadcast(first), "length").select(
-        "length", "range", (F.col("first") + F.coalesce(F.sum("n").over(order), F.lit(0))).alias("before"))
-    local = F.row_number().over(Window.partitionBy("length", "range").orderBy("rid", "start")) - 1
-    return (pieces.withColumn("local", local).join(start, ["length", "range"])
-            .select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                    (F.col("before") + F.col("local")).cast("long").alias("sequence_id"),
-                    F.lit(0).cast("long").alias("offset"), *(["ids"] if with_ids else [])))
+    # written, so that its size decides how it is joined: at most 13 rows per input partition
+    start = materialize(counts.join(F.broadcast(first), "length").select(
+        "length", "part", (F.col("first") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("before")), "starts")
+    return pieces.join(start, ["length", "part"]).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
+        (F.col("before") + F.col("local")).cast("long").alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"), *(["ids"] if with_ids else []))

@@ -77,6 +77,17 @@ def utf8(arr) -> list:
     return arr.cast(kind).to_pylist()
 
 
+def text_groups(arr, rows: int = 250) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of a string array, a few rows at a time; null as empty.
+
+    Only one group is held as Python objects, and Arrow's unused memory goes
+    back after each, so a worker stays small however long it lives.
+    """
+    for at in range(0, len(arr), rows):
+        yield at, [t or b"" for t in utf8(arr.slice(at, rows))]
+        pa.default_memory_pool().release_unused()
+
+
 def spread(rid, buckets):
     """Bucket of a row id: an even, repeatable split of any group of rows."""
     return F.pmod(F.xxhash64(rid), F.lit(buckets) if isinstance(buckets, int) else buckets)

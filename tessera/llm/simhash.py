@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tessera.llm.components import components
-from tessera.llm.shared import fresh, materialize, partitions, utf8, word_blocks
+from tessera.llm.shared import fresh, materialize, partitions, text_groups, word_blocks
 
 SHINGLE, RADIUS = 4, 4
 TILE = 1 << 16
@@ -71,7 +71,7 @@ def fingerprint_column(text, shingle: int = SHINGLE):
     """Signed 64-bit fingerprint of a string column."""
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
-        got = np.fromiter((fingerprint(t, shingle) for t in utf8(texts)), np.uint64, len(texts))
+        got = np.fromiter((fingerprint(t, shingle) for _, g in text_groups(texts) for t in g), np.uint64, len(texts))
         return pa.array(got.view(np.int64))
     return run(text)
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.shared import fresh, materialize, utf8, word_blocks
+from tessera.llm.shared import fresh, materialize, text_groups, word_blocks
 
 FOLDS, HELD_OUT = 5, 0
 POSITIVES, UNLABELLED = 4000, 8000
@@ -109,8 +109,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Feature sets of positives and unlabelled -> (features, weights, bias) by non-negative PU learning."""
     n_p, n_u = len(pos), len(unl)
-    df_p = sum((np.bincount(x, minlength=DIMS) for x in pos), np.zeros(DIMS))
-    df_u = sum((np.bincount(x, minlength=DIMS) for x in unl), np.zeros(DIMS)) / max(n_u, 1)
+    df_p = np.bincount(np.concatenate(pos), minlength=DIMS)
+    df_u = np.bincount(np.concatenate(unl or [np.empty(0, int)]), minlength=DIMS) / max(n_u, 1)
     err = np.sqrt(df_u * (1 - df_u) / n_p + 1 / n_p ** 2)
     keep = np.flatnonzero((df_p >= LEAST_POSITIVES) & (df_p / n_p - df_u > Z_LEAST * err))
     place = np.full(DIMS, -1)
@@ -158,11 +158,10 @@ def _sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int)
 
     def digest(batches):
         for b in batches:
-            texts = [t or b"" for t in utf8(b.column(1))]
             sets = []
-            for i in range(0, len(texts), 200):
-                d, f = features(texts[i:i + 200])
-                cuts = np.searchsorted(d, np.arange(len(texts[i:i + 200]) + 1))
+            for _, texts in text_groups(b.column(1)):
+                d, f = features(texts)
+                cuts = np.searchsorted(d, np.arange(len(texts) + 1))
                 sets += [f[x:y].astype(np.int32).tobytes() for x, y in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), pa.array(sets, pa.binary())], ["role", "feats"])
     # at most positives + unlabelled rows of two numbers: bounded by parameters
@@ -220,7 +219,8 @@ def score_column(model: Model, text: Column) -> Column:
     """Toxicity score (0 to 1) of a whole text."""
     @F.arrow_udf(T.DoubleType())
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(model.scores([t or b"" for t in utf8(texts)]))
+        got = [model.scores(g) for _, g in text_groups(texts)]
+        return pa.array(np.concatenate(got or [np.empty(0)]))
     return run(text)
 
 
