@@ -22,7 +22,8 @@ HEADLINE = [
     "g1_pagerank", "p1_frequent_itemsets", "p2_association_rules", "l3_auc_roc",
     "x1_corr_matrix", "x5_discretize", "j7_skew_split_join", "j9_salted_count", "j2_cogroup_lists",
     "a10_collect_groups", "t3_pair_similarity", "t5_top_similar", "s1_read_ratings", "f10_gzip_round_trip",
-    "f14_json_array_rows",
+    "f14_json_array_rows", "m7_preference_scores", "m5_off_diagonal", "r4_score_test_pairs", "t2_recent_pair_count",
+    "t4_hoeffding_prune", "j3_cross_within_key", "s7_read_similarity",
 ]
 
 

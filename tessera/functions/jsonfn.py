@@ -24,5 +24,16 @@ def json_array_rows(df: DataFrame, json_col: str, time_col: str, keep=()) -> Dat
 
 
 def to_json_text(*cols) -> Column:
-    """the columns as one JSON object (names as keys, in order); null -> ''."""
-    return F.coalesce(F.to_json(F.struct(*cols)), F.lit(""))
+    """an object as JSON text; a null object -> ''.
+
+    The columns are the object's fields (names as keys, in order); an object
+    without any value is null.  ``struct_to_json_text`` takes a struct column.
+    """
+    fields = [F.col(c) if isinstance(c, str) else c for c in cols]
+    any_value = F.coalesce(*[F.when(f.isNotNull(), F.lit(True)) for f in fields])
+    return F.when(any_value, F.to_json(F.struct(*fields))).otherwise(F.lit(""))
+
+
+def struct_to_json_text(c) -> Column:
+    """F15 for one struct, map or array column."""
+    return F.coalesce(F.to_json(c), F.lit(""))

@@ -4,9 +4,9 @@ Each round: ``contributions = edges JOIN ranks ON src`` then
 ``new ranks = sum(rank / out_degree) GROUP BY dst``.  The edge table with
 its out-degrees is hash-partitioned on ``src`` once and cached, so a round
 shuffles only the partially aggregated contributions; the join is a
-shuffled hash join on the ranks side (no per-round sort of the edges).  The ranks
-are reliably checkpointed (to the cluster's ``spark.checkpoint.dir``)
-every ten rounds so neither the lineage nor the plan grows with the
+shuffled hash join on the ranks side (no per-round sort of the edges).  Every
+ten rounds the ranks are written to the shared folder and the table before is
+deleted, so neither the lineage nor the plan nor the folder grows with the
 number of rounds, and a lost executor recomputes at most a few rounds.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import drop_shared, shared_table
 
 # Fixed values of the reference run: 100 rounds, start rank 1.0, no damping.
 DEFAULT_ROUNDS = 100
@@ -33,70 +33,62 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
     mass sent to a node without out-links is lost.  With ``damping`` d the
     new rank is ``(1 - d) + d * sum``.
 
-    Partitions are sized from the edge count (``EDGES_PER_PARTITION``), and
-    a source node with more out-edges than one partition holds is split:
-    its edges get a salt ``hash(dst) % pieces`` and its rank is copied to
-    every piece, so no task carries a hot node's whole fan-out.  Heavy
-    means more edges than one partition's share, so the heavy node table
-    has at most ``partitions`` rows (out-degrees sum to the edge count): a
-    proven bound, and it is broadcast.  Inside the loop the partitioning is fixed by hand, so AQE is
-    switched off there (it only adds re-planning per round) and restored.
+    Partitions are sized from the edge count alone (``EDGES_PER_PARTITION``).
+    A source node with more out-edges than one partition's share is split
+    before anything is joined on it: its edges get a salt ``hash(dst) % pieces``,
+    and its degree and rank are copied to every piece, so no task carries a hot
+    node's whole fan-out.  Out-degrees sum to the edge count, so at most
+    ``partitions`` nodes are split: a proven bound for the broadcast.  The loop
+    fixes its partitioning by hand and runs in a session of its own with
+    adaptive planning off; the caller's session keeps its settings.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select(F.col("src").alias("node"), "dst").distinct().cache()
-    cap = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one count (it also fills the cache) sizes the loop: a round costs a
-    # task per partition, so tiny partitions would make 100 rounds slow
-    n_edges = e.count()
-    n = max(min(2, cap), min(cap, -(-n_edges // EDGES_PER_PARTITION)))
-    # a source is heavy when it has more edges than one partition's share;
-    # the out-degrees sum to n_edges, so at most n nodes can be heavy
+    stored = shared_table(edges.select(F.col("src").alias("node"), "dst").distinct(), "edges")
+    n_edges = stored.count()
+    n = partitions or max(2, -(-n_edges // EDGES_PER_PARTITION))
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(n))
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    e = own.read.schema(stored.schema).parquet(*{f.rsplit("/", 1)[0] for f in stored.inputFiles()}) if n_edges else \
+        own.createDataFrame([], stored.schema)
     heavy_at = max(EDGES_PER_PARTITION, -(-n_edges // n))
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))    # every job below runs eagerly here
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    links = None
+    deg = e.groupBy("node").agg(F.count(F.lit(1)).cast("double").alias("deg"))
+    heavy = shared_table(deg.where(F.col("deg") > heavy_at)
+                         .select("node", F.ceil(F.col("deg") / heavy_at).cast("int").alias("pieces")), "heavy")
+    salted = heavy.limit(1).count() > 0
+    keys = ["node", "salt"] if salted else ["node"]
+
+    def copies(df: DataFrame) -> DataFrame:
+        """A row per piece of its node."""
+        if not salted:
+            return df
+        return (df.join(F.broadcast(heavy), "node", "left")
+                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))).drop("pieces"))
+    if salted:
+        e = (e.join(F.broadcast(heavy), "node", "left")
+             .withColumn("salt", F.pmod(F.xxhash64("dst"), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces"))
+    links = e.join(copies(deg), keys).repartition(n, *keys).cache()
+    ranks = links.select("node").distinct().withColumn("rank", F.lit(START_RANK))
+    written = None
     try:
-        deg = e.groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
-        heavy = (deg.where(F.col("deg") > heavy_at)
-                 .select("node", F.ceil(F.col("deg") / heavy_at).cast("int").alias("pieces")))
-        salted = heavy.limit(1).count() > 0
-        links = e.join(deg.withColumn("deg", F.col("deg").cast("double")), "node")
-        if salted:
-            hb = F.broadcast(heavy)
-            links = (links.join(hb, "node", "left")
-                     .withColumn("salt", F.when(F.col("pieces").isNull(), F.lit(0))
-                                 .otherwise(F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int")))
-                     .drop("pieces"))
-            keys = ["node", "salt"]
-        else:
-            keys = ["node"]
-        links = links.repartition(n, *keys).cache()
-        links.count()
-        e.unpersist()
-        ranks = links.select("node").distinct().withColumn("rank", F.lit(START_RANK))
         for r in range(1, rounds + 1):
-            if salted:
-                rk = (ranks.join(hb, "node", "left")
-                      .withColumn("salt", F.explode(F.when(F.col("pieces").isNull(), F.array(F.lit(0)))
-                                                    .otherwise(F.sequence(F.lit(0), F.col("pieces") - 1))))
-                      .drop("pieces"))
-            else:
-                rk = ranks
             # ranks (one row per node or node piece) is the hash-table side;
             # the cached links stream through without a sort
-            contrib = links.join(rk.hint("shuffle_hash"), keys).select(
+            contrib = links.join(copies(ranks).hint("shuffle_hash"), keys).select(
                 F.col("dst").alias("node"), (F.col("rank") / F.col("deg")).alias("c"))
             summed = F.sum("c")
             new_rank = summed if damping is None else F.lit(1.0 - damping) + F.lit(damping) * summed
             ranks = contrib.groupBy("node").agg(new_rank.alias("rank"))
-            if r % checkpoint_every == 0 and r != rounds:
-                ranks = ranks.checkpoint(eager=True)
-        return ranks.checkpoint(eager=True)
+            if r % checkpoint_every == 0 or r == rounds:
+                ranks = shared_table(ranks, "ranks")
+                if written is not None:
+                    drop_shared(written)
+                written = ranks
     finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
-        e.unpersist()
-        if links is not None:
-            links.unpersist()
+        links.unpersist()
+    drop_shared(heavy)
+    drop_shared(stored)
+    if written is None:
+        return spark.createDataFrame([], "node long, rank double")
+    path = {f.rsplit("/", 1)[0] for f in written.inputFiles()}
+    return spark.read.schema(written.schema).parquet(*path) if path else spark.createDataFrame([], written.schema)

@@ -1,10 +1,8 @@
 """Equi-joins.
 
-Broadcast is used only behind a size check: ``bounded_broadcast`` counts at
-most ``max_rows + 1`` rows of the small side (a limit pushed into the scan
-or aggregate) and hints a broadcast only when the bound holds; beyond it
-the join stays a shuffle join, which AQE may still turn into a broadcast
-from the measured size of the materialized side.
+No join here forces a broadcast: the planner broadcasts a side whose size in
+bytes, known or measured at run time, is under
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -14,20 +12,11 @@ from pyspark.sql import functions as F
 
 from tessera.operators.ranking import position_in_key
 
-# Fixed value: rows a hinted broadcast side may hold.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows, else ``(df, False)``."""
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
 def inner_join(left: DataFrame, right: DataFrame, key) -> DataFrame:
     """Hash-partitioned inner equi-join (Catalyst picks the strategy)."""
     return left.join(right, _keys(key), "inner")
@@ -60,24 +49,19 @@ def cross_within_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, _keys(key), "inner")
 
 
-def broadcast_lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, dim_value: str,
-                          max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, dim_value: str) -> DataFrame:
     """Fact rows with a known key -> the dimension value only.
 
     Duplicate dimension keys are resolved to their largest value (the
-    reference keeps whichever came last).  The deduplicated dimension is
-    broadcast only when it holds at most ``max_rows`` rows.
+    reference keeps whichever came last).
     """
     d = dim.groupBy(F.col(dim_key).alias("_k")).agg(F.max(dim_value).alias(dim_value))
-    d, _ = bounded_broadcast(d, max_rows)
     return fact.join(d, fact[fact_key] == d["_k"]).select(d[dim_value])
 
 
-def semi_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def semi_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows whose key exists in the dimension."""
     d = dim.select(F.col(dim_key).alias("_k")).distinct()
-    d, _ = bounded_broadcast(d, max_rows)
     return fact.join(d, fact[fact_key] == d["_k"], "left_semi")
 
 
@@ -97,8 +81,7 @@ def copartitioned_join(left: DataFrame, right: DataFrame, key, partitions: int)
     return left.repartition(partitions, *ks).join(right.repartition(partitions, *ks), ks)
 
 
-def broadcast_mean_lookup(df: DataFrame, means: DataFrame, key: str, default: float,
-                          max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach ``mean`` by key from a size-checked broadcast; default when absent."""
-    m, _ = bounded_broadcast(means.select(key, "mean"), max_rows)
-    return df.join(m, key, "left").withColumn("mean", F.coalesce(F.col("mean"), F.lit(default)))
+def broadcast_mean_lookup(df: DataFrame, means: DataFrame, key: str, default: float) -> DataFrame:
+    """Attach ``mean`` by key; default when absent."""
+    return (df.join(means.select(key, "mean"), key, "left")
+            .withColumn("mean", F.coalesce(F.col("mean"), F.lit(default))))

@@ -9,10 +9,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the reference run: support 0.2, confidence 0.7, 10 partitions.
+# Fixed values of the reference run: support 0.2, confidence 0.7.
 MIN_SUPPORT = 0.2
 MIN_CONFIDENCE = 0.7
-FP_PARTITIONS = 10
 
 
 def to_baskets(pairs: DataFrame, id_col: str = "id", item_col: str = "item") -> DataFrame:
@@ -25,21 +24,22 @@ def tokenize_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.select(F.array_distinct(F.split(F.trim(F.col(col)), " ")).alias("items"))
 
 
-def _model(baskets: DataFrame, min_support: float, min_confidence: float, partitions: int):
+def _model(baskets: DataFrame, min_support: float, min_confidence: float, partitions: int | None):
+    partitions = partitions or int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
                   numPartitions=partitions)
     return fp.fit(baskets.select("items"))
 
 
 def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT,
-                      partitions: int = FP_PARTITIONS) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """``(items sorted array, freq)`` for every itemset with support >= min."""
     m = _model(baskets, min_support, 1.0, partitions)
     return m.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
 
 
 def association_rules(baskets: DataFrame, min_support: float = MIN_SUPPORT,
-                      min_confidence: float = MIN_CONFIDENCE, partitions: int = FP_PARTITIONS) -> DataFrame:
+                      min_confidence: float = MIN_CONFIDENCE, partitions: int | None = None) -> DataFrame:
     """Rules with a one-item consequent and confidence >= min."""
     m = _model(baskets, min_support, min_confidence, partitions)
     return m.associationRules.select(F.array_sort("antecedent").alias("antecedent"), "consequent",

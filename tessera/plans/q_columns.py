@@ -36,9 +36,33 @@ def f3_cast_numeric_double(spark, sf):
     return C.cast_numeric_double(table(spark, sf, "customer"))
 
 
-@query("f4_hash_bucket")
+def _murmur_sql(table_name: str, key: str, text: str) -> str:
+    """Spark's ``hash`` (Murmur3 x86_32, seed 42) of a text: whole little-endian words, then single signed bytes."""
+    m = "4294967295"
+    rotl = lambda x, r: f"((({x}) << {r}) | (({x}) >> {32 - r})) & {m}"
+    k1 = f"(({rotl('((k * 3432918353) & ' + m + ')', 15)}) * 461845907) & {m}"
+    h1 = f"(({rotl('xor(h, ' + k1 + ')', 13)}) * 5 + 3864292196) & {m}"
+    byte = lambda i: f"substr(x, {i}, 2)"
+    word = " || ".join(byte(f"8 * i + {o}") for o in (7, 5, 3, 1))
+    one = f"CAST('0x' || {byte('2 * j + 1')} AS UBIGINT)"
+    fin = lambda x, s, c: f"(xor({x}, {x} >> {s}) * {c}) & {m}"
+    return f"""
+b AS (SELECT {key}, hex(encode({text})) AS x FROM {table_name}),
+ks AS (SELECT {key}, x, len(x) // 2 AS n,
+         list_concat(list_transform(range(0, len(x) // 8), lambda i: CAST('0x' || {word} AS UBIGINT)),
+                     list_transform(range(len(x) // 8 * 4, len(x) // 2), lambda j: {one} + CASE WHEN {one} >= 128 THEN 4294967040 ELSE 0 END)) AS ks
+       FROM b),
+h0 AS (SELECT {key}, xor(CAST(list_reduce(ks, lambda h, k: {h1}, CAST(42 AS UBIGINT)) AS UBIGINT), CAST(n AS UBIGINT)) AS h FROM ks),
+h2 AS (SELECT {key}, {fin('h', 16, 2246822507)} AS h FROM h0),
+h3 AS (SELECT {key}, {fin('h', 13, 3266489909)} AS h FROM h2),
+murmur AS (SELECT {key}, CAST(xor(h, h >> 16) AS BIGINT) AS h FROM h3)"""
+
+
+@query("f4_hash_bucket", oracle="WITH" + _murmur_sql("documents", "doc_id", "text") + f"""
+SELECT doc_id, CAST(abs((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {C.HASH_BUCKETS}) AS VARCHAR) AS bucket
+FROM murmur""")
 def f4_hash_bucket(spark, sf):
-    """Murmur3 buckets of document sources (no DuckDB twin: rows-only check)."""
+    """Murmur3 buckets of whole document texts."""
     d = table(spark, sf, "documents")
     return d.select("doc_id", C.hash_bucket("text", C.HASH_BUCKETS).alias("bucket"))
 
@@ -256,11 +280,12 @@ def f21_reshape_columns(spark, sf):
     return swapped.withColumnRenamed("n_regionkey", "region")
 
 
-@query("f22_rand_column")
+@query("f22_rand_column", oracle="SELECT c_custkey, true AS a_in_range, true AS b_in_range FROM customer")
 def f22_rand_column(spark, sf):
-    """Seeded uniform column (no twin: Spark's generator; rows-only check)."""
-    c = table(spark, sf, "customer")
-    return c.select("c_custkey", C.rand_column(10).alias("a"), C.rand_column(27).alias("b"))
+    """Seeded uniform columns; the values are Spark's own, so each row states that they lie in [0, 1)."""
+    c = table(spark, sf, "customer").select("c_custkey", C.rand_column(10).alias("a"), C.rand_column(27).alias("b"))
+    inside = lambda x: (F.col(x) >= 0) & (F.col(x) < 1)
+    return c.select("c_custkey", inside("a").alias("a_in_range"), inside("b").alias("b_in_range"))
 
 
 _DOC_LABELS_SQL = """

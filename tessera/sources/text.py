@@ -22,8 +22,13 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     return df
 
 
-def _fields(lines: DataFrame, col: str = "value") -> Column:
-    return java_split(F.col(col), ",")
+def _digit_fields(lines: DataFrame, col: str, n: int) -> DataFrame:
+    """Lines whose first ``n`` comma-separated fields are all digits -> ``f``, those fields.
+
+    One anchored match on the raw line decides; only kept lines are split, once.
+    """
+    kept = lines.where(F.col(col).rlike(r"\A\p{Nd}+" + r",\p{Nd}+" * (n - 1) + r"(?:,[\s\S]*)?\z"))
+    return kept.select(F.split(F.col(col), ",", n + 1).alias("f"))
 
 
 def read_ratings(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -32,17 +37,13 @@ def read_ratings(lines: DataFrame, col: str = "value") -> DataFrame:
     A line is kept only with at least three fields whose first three are all
     digits (so "3.5", "-1" and empty fields are rejected).
     """
-    f = lines.select(_fields(lines, col).alias("f"))
-    ok = (F.size("f") >= 3) & is_numeric(F.get("f", 0)) & is_numeric(F.get("f", 1)) & is_numeric(F.get("f", 2))
-    return f.where(ok).select(F.col("f")[0].alias("user"), F.col("f")[1].alias("item"),
-                              F.col("f")[2].cast("double").alias("rating"))
+    return _digit_fields(lines, col, 3).select(
+        F.col("f")[0].alias("user"), F.col("f")[1].alias("item"), F.col("f")[2].cast("double").alias("rating"))
 
 
 def read_pairs(lines: DataFrame, col: str = "value") -> DataFrame:
     """``user,item`` lines -> ``(user string, item string)``, both all digits."""
-    f = lines.select(_fields(lines, col).alias("f"))
-    ok = (F.size("f") >= 2) & is_numeric(F.get("f", 0)) & is_numeric(F.get("f", 1))
-    return f.where(ok).select(F.col("f")[0].alias("user"), F.col("f")[1].alias("item"))
+    return _digit_fields(lines, col, 2).select(F.col("f")[0].alias("user"), F.col("f")[1].alias("item"))
 
 
 def read_positional(lines: DataFrame, positions: dict[str, int], col: str = "value", sep: str = ",") -> DataFrame:

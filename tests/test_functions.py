@@ -74,7 +74,8 @@ def test_json_rows_distinct(spark):
                                "id long, js string, t long")
     out = J.json_array_rows(df, "js", "t", keep=("id",)).collect()
     assert sorted((r.id, r.key, r.value) for r in out) == [(1, "j", "x"), (1, "k", "1")]
-    assert one(spark, J.to_json_text(F.col("x")), None) == '{}'
+    assert one(spark, J.to_json_text(F.col("x")), None) == ''
+    assert one(spark, J.struct_to_json_text(F.when(F.col("x").isNotNull(), F.struct("x"))), None) == ''
 
 
 def test_error_filter(spark):

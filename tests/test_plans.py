@@ -10,14 +10,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_range_scan_pushes_filters_and_prunes_columns(spark):
-    from tessera.sources.store import range_scan_sum
-    from tessera.sources.tables import table
-    ev = table(spark, SF_SMALL, "events").select("event_id", "user_id", "event_type")
-    df = range_scan_sum(ev, "event_type", "a", "m", "event_id")
-    p = plan(df)
-    assert "PushedFilters: [IsNotNull(event_type), GreaterThanOrEqual(event_type,a), LessThan(event_type,m)]" in p
-    assert "ReadSchema: struct<event_id:bigint,event_type:string>" in p
+def test_registered_range_scan_pushes_its_key_range(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        p = plan(registry.QUERIES["s8_range_scan_sum"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(c_name,Customer#000000100), LessThan(c_name,Customer#000000900)]" in p
+    assert "c_acctbal" not in p
+
+
+def test_rating_lines_are_split_once(spark):
+    df = registry.QUERIES["s1_read_ratings"](spark, SF_SMALL)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
 
 
 def test_lookup_join_broadcasts_checked_dim(spark):
@@ -56,8 +61,13 @@ def test_no_registered_query_plans_a_cross_join(spark):
     assert bad == {}
 
 
-def test_bounded_grouping_uses_range_partitioned_numbering(spark):
-    for name in ("a10_collect_groups", "j2_cogroup_lists"):
+def test_bounded_grouping_numbers_ranges_in_the_jvm(spark):
+    for name in ("a10_collect_groups", "j2_cogroup_lists", "l3_auc_roc"):
         p = plan(registry.QUERIES[name](spark, SF_SMALL))
-        assert "MapInPandas" in p and "rangepartitioning" in p, name
-        assert "row_number()" not in p, name
+        assert "Python" not in p and "Pandas" not in p, name
+        assert "_range" in p, name
+
+
+def test_pair_views_read_their_rows_once(spark):
+    p = plan(registry.QUERIES["s7_read_similarity"](spark, SF_SMALL))
+    assert "lineitem.parquet" not in p   # both sides of the self-join read the stored order parts
