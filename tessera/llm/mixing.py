@@ -32,7 +32,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)       # 150 % of all words, as a fraction
 MOST = 2
 SEED = "mix-1"
-RANGE_ROWS = 1 << 16
+RANGE_ROWS = 1 << 13
 
 
 @F.arrow_udf(T.LongType())
