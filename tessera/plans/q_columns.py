@@ -280,12 +280,18 @@ def f21_reshape_columns(spark, sf):
     return swapped.withColumnRenamed("n_regionkey", "region")
 
 
-@query("f22_rand_column", oracle="SELECT c_custkey, true AS a_in_range, true AS b_in_range FROM customer")
+@query("f22_rand_column")
 def f22_rand_column(spark, sf):
-    """Seeded uniform columns; the values are Spark's own, so each row states that they lie in [0, 1)."""
-    c = table(spark, sf, "customer").select("c_custkey", C.rand_column(10).alias("a"), C.rand_column(27).alias("b"))
+    """Seeded uniform columns (the values are Spark's own: no twin; see the next query)."""
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", C.rand_column(10).alias("a"), C.rand_column(27).alias("b"))
+
+
+@query("f22_rand_in_range", oracle="SELECT c_custkey, true AS a_in_range, true AS b_in_range FROM customer")
+def f22_rand_in_range(spark, sf):
+    """What SQL can state of them: each lies in [0, 1)."""
     inside = lambda x: (F.col(x) >= 0) & (F.col(x) < 1)
-    return c.select("c_custkey", inside("a").alias("a_in_range"), inside("b").alias("b_in_range"))
+    return f22_rand_column(spark, sf).select("c_custkey", inside("a").alias("a_in_range"), inside("b").alias("b_in_range"))
 
 
 _DOC_LABELS_SQL = """
