@@ -37,9 +37,9 @@ from tessera.llm.shared import materialize, text_groups, word_blocks
 
 LONGEST = 4096
 END_ID = 2
-CACHE_WORDS = 200_000   # words a worker remembers: about 40 MB
+CACHE_WORDS = 150_000   # words a worker remembers: about 30 MB
 OUT_BYTES = 4 << 20
-BATCH_BYTES = 4 << 20   # text looked up together
+BATCH_BYTES = 2 << 20   # text looked up together
 
 #: Letters that the tokenizer keeps in one word and lower-cases one by one, then marks it keeps apart from them.
 _PLAIN = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,]*)$"
@@ -137,7 +137,7 @@ class ChunkTokenizer:
         return ids, ends
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text; texts are looked up together, about 4 MB at a time."""
+        """Ids of each text; texts are looked up together, about 2 MB at a time."""
         out: list[list[np.ndarray]] = [[] for _ in texts]
         held, n = [], 0
         for at, block in chain(((i, b) for i, t in enumerate(texts) for b in word_blocks(t)), [(None, b"")]):
@@ -172,7 +172,7 @@ def _pieces(path: str, longest: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, seen = worker_tokenizer(path), Counter()   # of each length, in this partition
         for batch in batches:
-            for at, texts in text_groups(batch.column(2), 1250):
+            for at, texts in text_groups(batch.column(2), 500):
                 docs, rids = (batch.column(i).slice(at, len(texts)).to_pylist() for i in (0, 1))
                 rows, raw, held = [], [], 0
                 for doc, rid, ids in zip(docs, rids, tok.ids(texts)):

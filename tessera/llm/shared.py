@@ -7,6 +7,7 @@ round, are written as Parquet under the folder the cluster names in
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Iterator
@@ -80,12 +81,20 @@ def utf8(arr) -> list:
 def text_groups(arr, rows: int = 250) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts) of a string array, a few rows at a time; null as empty.
 
-    Only one group is held as Python objects, and Arrow's unused memory goes
-    back after each, so a worker stays small however long it lives.
+    Only one group is held as Python objects, and unused memory goes back to
+    the system after each array, so a worker stays small however long it lives.
     """
     for at in range(0, len(arr), rows):
         yield at, [t or b"" for t in utf8(arr.slice(at, rows))]
-        pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow's and the C library's allocators hold unused to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def spread(rid, buckets):
