@@ -7,8 +7,14 @@
   the links of the pages' html to other hosts, weighted by their number and
   summed before the shuffle.
 * Personalised PageRank: trust flows along the links, distrust against them
-  (who links to bad hosts is suspect), each in ``ROUNDS`` rounds with ``DAMPING``;
-  one join and one aggregate a round, cut into tables in the shared folder.
+  (who links to bad hosts is suspect), each with ``DAMPING``; one join and one
+  aggregate a round, cut into a table in the shared folder every ``CUT_EVERY`` rounds.
+* Rounds go on until no host's mass grew by more than ``SETTLED`` of itself in the
+  last one.  A host that is reached for the first time grew by all of its mass,
+  so every host that trust or distrust can reach has it, however far away; the
+  largest such share never rises from one round to the next.  A graph that has
+  not settled after ``MAX_ROUNDS``, or masses too small for a double, stop the
+  job with an error.
 * A host is blocked if its distrust exceeds ``THRESHOLD`` times its trust; a host
   that nothing reaches is allowed.
 
@@ -29,7 +35,10 @@ from tessera.llm.shared import drop_table, materialize
 #: (verdict, host, path): fixed values of the job.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-ROUNDS = 10
+ROUNDS = 10  # of the SQL, which cannot iterate
+MAX_ROUNDS = 5000
+SETTLED = 1e-11
+TINY = 1e-290
 CUT_EVERY = 5
 DAMPING = 0.85
 THRESHOLD = 1.0 + 1e-9
@@ -74,8 +83,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links")))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """seeds(host, kind, mass), edges(src, dst, links) -> host, kind, mass; kind 0 trust, 1 distrust."""
+def propagate(seeds: DataFrame, edges: DataFrame, rounds: int | None = None, damping: float = DAMPING,
+              bound: int = MAX_ROUNDS) -> DataFrame:
+    """seeds(host, kind, mass), edges(src, dst, links) -> host, kind, mass; kind 0 trust, 1 distrust.
+
+    ``rounds`` None: until the masses have settled, at most ``bound`` rounds.
+    """
     edges = materialize(edges, "host-edges")
     seeds = materialize(seeds, "seeds")
     base = seeds.select("host", "kind", (F.col("mass") * (1 - damping)).alias("mass"))
@@ -88,19 +101,36 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping:
                                          (F.col("links") * damping / F.col("all")).alias("part"))
     flows = materialize(flow("src", "dst", 0).unionByName(flow("dst", "src", 1)), "flows")
     state, old = base, None
-    for i in range(1, rounds + 1):
+    for i in range(1, (bound if rounds is None else rounds) + 1):
         moved = state.join(flows, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("mass") * F.col("part")).alias("mass"))
-        state = base.unionByName(moved).groupBy("host", "kind").agg(F.sum("mass").alias("mass"))
-        if i % CUT_EVERY == 0 or i == rounds:
-            state = materialize(state, "trust")
+        now = base.unionByName(moved)
+        cut = i % CUT_EVERY == 0 or i == (bound if rounds is None else rounds)
+        if cut:  # with the mass of the round before
+            now = now.withColumn("was", F.lit(0.0)).unionByName(
+                state.select("host", "kind", F.lit(0.0).alias("mass"), F.col("mass").alias("was")))
+        state = now.groupBy("host", "kind").agg(*[F.sum(c).alias(c) for c in now.columns if c not in ("host", "kind")])
+        if cut:
+            table = materialize(state, "trust")
             if old is not None:
                 drop_table(old)
-            old = state
+            state, old = table.drop("was"), table
+            if rounds is None and _settled(table):
+                return state
+    if rounds is None:
+        raise RuntimeError(f"trust and distrust have not settled after {bound} rounds")
     return state
 
 
-def host_verdicts(pages: DataFrame, judged: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, distrust, blocked for every host that trust or distrust reaches."""
+def _settled(state: DataFrame) -> bool:
+    """state(host, kind, mass, was): whether the last round changed no mass by more than ``SETTLED`` of itself."""
+    got = state.agg(F.min("mass").alias("least"), F.max((F.col("mass") - F.col("was")) / F.greatest("mass", F.lit(TINY))).alias("grew")).first()
+    if got.least is not None and got.least < TINY:
+        raise ArithmeticError("trust or distrust of a host is too small for a double")
+    return got.grew is None or got.grew <= SETTLED
+
+
+def host_verdicts(pages: DataFrame, judged: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
+    """host, trust, distrust, blocked for every host that trust or distrust reaches (in ``rounds``; None: in the end)."""
     kind = F.when(F.col("by_rule") == "allow", 0).when(F.col("by_rule") == "block", 1)
     seeds = (judged.where("by_rule is not null and host <> ''").groupBy("host", kind.alias("kind"))
              .agg(F.count(F.lit(1)).cast("double").alias("mass")))
@@ -110,7 +140,7 @@ def host_verdicts(pages: DataFrame, judged: DataFrame, rounds: int = ROUNDS) ->
             .withColumn("blocked", F.col("distrust") > F.col("trust") * THRESHOLD))
 
 
-def judge_urls(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
+def judge_urls(pages: DataFrame, rules=RULES, rounds: int | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict."""
     judged = judge_by_rules(pages, rules)
     blocked = host_verdicts(pages, judged, rounds).where("blocked").select("host", "blocked")

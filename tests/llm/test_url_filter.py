@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 from tessera.llm import url_filter
 
@@ -87,3 +88,37 @@ def test_plan_has_no_python(spark):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
     plan = url_filter.judge_urls(pages)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def test_verdict_reaches_hosts_far_from_their_seed(spark):
+    far = [(i, f"https://h{i}.net/", a(f"https://h{i - 1}.net/" if i else "https://x.com/de/")) for i in range(27)]
+    pages = spark.createDataFrame([(100, "https://x.com/de/1", None), (101, "https://alone.net/", None), *far], SCHEMA)
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    assert got == {100: "block", 101: "allow", **dict.fromkeys(range(27), "block")}
+
+
+def test_verdict_of_a_cycle_is_that_of_the_settled_masses(spark):
+    # h.net's distrust comes at once, its larger trust by way of the circle c.net, d.net
+    rows = [(i, f"https://seed.com/fr/{i}", a("https://c.net/")) for i in range(5)]
+    rows += [(10, "https://c.net/", a("https://d.net/")), (11, "https://d.net/", a(*["https://c.net/"] * 9, "https://h.net/")),
+             (12, "https://h.net/", a("https://x.com/de/")), (13, "https://x.com/de/1", None)]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    early, _ = brute(rows)
+    want, mass = brute(rows, rounds=400)
+    assert [r[4] for rs in (early, want) for r in rs if r[0] == 12] == ["block", "allow"]
+    assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(pages).collect()), key=repr) == want
+    for r in url_filter.host_verdicts(pages, url_filter.judge_by_rules(pages), rounds=None).collect():
+        for k, got in enumerate((r.trust, r.distrust)):
+            assert got == pytest.approx(mass[k].get(r.host, 0), rel=1e-9)
+
+
+def test_unsettled_masses_are_an_error(spark):
+    seeds = spark.createDataFrame([("a", 0, 1.0)], "host string, kind int, mass double")
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, links long")
+    with pytest.raises(RuntimeError, match="not settled after 7 rounds"):
+        url_filter.propagate(seeds, edges, bound=7)
+    with pytest.raises(ArithmeticError, match="too small"):
+        url_filter.propagate(spark.createDataFrame([("a", 0, 1e-289)], seeds.schema), edges, bound=50, damping=0.1)
