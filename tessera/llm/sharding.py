@@ -4,9 +4,10 @@ Groups are the equal texts; a group's weight is the bytes of all its rows.
 Groups are dealt by hash to cells of about ``CELL_GROUPS``; a task differences
 one cell: it keeps the partial partitions in a heap and repeatedly combines the
 two with the largest spread, one in falling and one in rising order of sums.  What
-is left of a cell is one partial partition (a sum per shard); those, one row per
-cell, are differenced in the same way, which fixes the shard of every cell's
-part.  Nothing but these per-cell sums reaches the driver.
+is left of a cell is one partial partition (a sum per shard); those are differenced
+in the same way, ``FAN`` of them in a task, level by level until one is left.  The
+places of the levels, joined from the top down, fix the shard of every cell's part.
+Nothing but two counts of rows reaches the driver.
 
 The balance is limited by the largest group only: a group above 1/shards of all
 bytes fills its shard alone.
@@ -29,6 +30,7 @@ from tessera.llm.shared import fresh, materialize, partitions, spread
 
 SHARDS = 8
 CELL_GROUPS = 1 << 15
+FAN = 1 << 12
 SLOT_ROWS = 1 << 15
 
 
@@ -66,24 +68,46 @@ def _cell(k: int):
     return run
 
 
-def _parts_to_shards(parts: DataFrame, k: int) -> DataFrame:
-    """parts(cell, part, bytes) -> cell, shards: the shard of each part (one row per cell)."""
-    sums: dict[int, list[int]] = {}
-    for r in parts.groupBy("cell", "part").agg(F.sum("bytes").alias("b")).collect():  # cells x shards rows
-        sums.setdefault(r.cell, [0] * k)[r.part] = int(r.b)
-    cells = sorted(sums)
-    return parts.sparkSession.createDataFrame(
-        list(zip(cells, difference([sums[c] for c in cells], k))), "cell long, shards array<int>")
+def _level(k: int):
+    def run(t):
+        t = t.sort_by("node")
+        sums = t["sums"].to_pylist()
+        place, total = difference(sums, k), [0] * k
+        for part, at in zip(sums, place):
+            for j in range(k):
+                total[at[j]] += part[j]
+        return pa.table({"node": t["node"], "parent": t["parent"], "place": pa.array(place, pa.list_(pa.int32())),
+                         "sums": pa.array([total] + [None] * (len(sums) - 1), pa.list_(pa.int64()))})
+    return run
 
 
-def assign(rows: DataFrame, k: int = SHARDS, cell_groups: int = CELL_GROUPS) -> DataFrame:
+def _parts_to_shards(parts: DataFrame, k: int, cells: int, fan: int = FAN) -> DataFrame:
+    """parts(cell, part, bytes) -> cell, shards: the shard of each part (one row per cell)."""
+    nodes = parts.groupBy(F.col("cell").alias("node")).agg(F.array(*[
+        F.sum(F.when(F.col("part") == j, F.col("bytes")).otherwise(0)) for j in range(k)]).alias("sums"))
+    levels, left = [], cells
+    while not levels or left > 1:
+        levels.append(materialize(
+            nodes.withColumn("parent", F.expr(f"node div {fan}")).groupBy("parent")
+            .applyInArrow(_level(k), "node long, parent long, place array<int>, sums array<long>"), "level"))
+        nodes = levels[-1].where("sums is not null").select(F.col("parent").alias("node"), "sums")
+        left = -(-left // fan)
+    shards = levels[-1].select("node", F.col("place").alias("shards"))
+    for level in reversed(levels[:-1]):
+        above = shards.select(F.col("node").alias("parent"), F.col("shards").alias("above"))
+        shards = level.join(above, "parent").select(
+            "node", F.transform("place", lambda p: F.get("above", p)).alias("shards"))
+    return shards.withColumnRenamed("node", "cell")
+
+
+def assign(rows: DataFrame, k: int = SHARDS, cell_groups: int = CELL_GROUPS, fan: int = FAN) -> DataFrame:
     """rows(rid, g1, g2, size, ...) -> the same rows with shard and slot."""
     groups = rows.groupBy("g1", "g2").agg(F.sum("size").alias("bytes"))
     n_rows, n_groups = rows.count(), groups.count()
     cells = max(1, -(-n_groups // cell_groups))
     parts = materialize(groups.withColumn("cell", F.pmod(F.xxhash64("g1", "g2"), F.lit(cells)))
                         .groupBy("cell").applyInArrow(_cell(k), "cell long, g1 long, g2 long, bytes long, part int"), "parts")
-    shard_of = parts.join(_parts_to_shards(parts, k), "cell").select(
+    shard_of = parts.join(_parts_to_shards(parts, k, cells, fan), "cell").select(
         "g1", "g2", F.get("shards", F.col("part")).alias("shard"))
     ranges = max(partitions(rows.sparkSession), -(-n_rows // SLOT_ROWS))
     placed = materialize(rows.join(shard_of, ["g1", "g2"]).drop("g1", "g2")
@@ -104,9 +128,9 @@ def _rows(docs: DataFrame) -> DataFrame:
         F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("g1"), F.xxhash64(F.lit("~"), text).alias("g2")), "sizes")
 
 
-def shard_report(docs: DataFrame, k: int = SHARDS, cell_groups: int = CELL_GROUPS) -> DataFrame:
+def shard_report(docs: DataFrame, k: int = SHARDS, cell_groups: int = CELL_GROUPS, fan: int = FAN) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null: law ``bytes``)."""
-    return assign(_rows(docs), k, cell_groups).select(
+    return assign(_rows(docs), k, cell_groups, fan).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 

@@ -51,3 +51,23 @@ def test_documents_keep_columns_and_empty_table(spark, docs):
     got = sharding.shard_documents(df)
     assert got.columns == df.columns + ["shard", "slot"] and got.count() == 3
     assert sharding.shard_report(docs([])).count() == 0
+
+
+def test_cells_are_differenced_in_levels_away_from_the_driver(spark, docs, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, "x" * rng.randint(1, 4000) + str(i)) for i in range(900)]
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(0)), "collect", lambda self: 1 / 0)
+        reports = [sharding.shard_report(docs(rows), cell_groups=30, fan=fan) for fan in (3, 1 << 12)]
+    deep, flat = (report.collect() for report in reports)
+    sums = check(rows, deep)
+    assert max(sums) - min(sums) <= 64
+    check(rows, flat)
+
+
+def test_one_level_places_the_cells_as_differencing_them_at_once(spark):
+    rng = random.Random(7)
+    sums = [[rng.randint(0, 99) for _ in range(3)] for _ in range(20)]
+    parts = spark.createDataFrame([(c, j, b) for c, s in enumerate(sums) for j, b in enumerate(s)], "cell long, part int, bytes long")
+    got = {r.cell: r.shards for r in sharding._parts_to_shards(parts, 3, 20).collect()}
+    assert got == dict(enumerate(sharding.difference(sums, 3)))
