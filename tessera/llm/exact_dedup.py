@@ -5,13 +5,14 @@
 * Directory: the distinct hashes are counted per slot of ``MAX_DEPTH`` leading
   bits; a bucket starts at depth 0 and is split (the directory doubles) while it
   holds more than ``CAPACITY`` hashes.  It has at most ``2**MAX_DEPTH`` slots, the
-  bound under which it is broadcast.
-* Owner tasks: the texts meet by (bucket, hash, bytes).  Equal texts combine
-  before the shuffle, so a hot group of copies costs one row per task.  Each
-  bucket has one owner, which chains the different texts of one hash; two
-  different texts with one SHA-256 would stop the job.
+  bound under which it is broadcast; buckets of that depth hold any number.
+* Texts meet by (hash, digest, bytes), before a bucket is known.  Equal texts
+  combine before the shuffle, so a hot group of copies costs one row per task.
+* The directory decides no row: it deals the index rows to tasks.  Each bucket has
+  one owner, which chains the different texts of one hash; two different texts
+  with one SHA-256 would stop the job.
 * The index (bucket, hash, chain place, digest, kept row, copies) is a table on
-  the shared folder; every document probes it.
+  the shared folder; every document probes it by hash and digest.
 
 Defined cases: null text counts as empty.  Of rows with the largest doc_id of
 their group (repeated rows) the last read is kept; a null doc_id is smaller than
