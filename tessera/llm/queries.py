@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, url_filter, warczip
+from tessera.llm import (cross_align, exact_dedup, line_dedup, mixing, packing, periodic, piece_codec, sharding, simhash, topk, toxicity,
+                         url_filter, warczip)
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +171,18 @@ SELECT page_id, host, path, rule, coalesce(v, CASE WHEN host IN (SELECT host FRO
 @query("op10_link_graph_url_filter", _op10_sql(url_filter.ROUNDS))
 def op10(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    return periodic.run_report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_cross_tokenizer_alignment")
+def op12(spark, sf_dir):
+    return cross_align.alignment_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_sentencepiece_codec")
+def op13(spark, sf_dir):
+    return piece_codec.codec_report(table(spark, sf_dir, "documents"))

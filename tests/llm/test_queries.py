@@ -9,13 +9,14 @@ import __spark_entry__ as E
 import corpus_pipeline
 from tessera.llm import queries as Q
 from tests.conftest import SF_SMALL
-from tests.llm import test_packing, test_simhash
+from tests.llm import test_cross_align, test_packing, test_periodic, test_piece_codec, test_simhash
 
-NO_SQL = {"op1_simhash_near_dedup", "op5_karmarkar_karp_shards", "op6_pu_toxicity", "op9_pack_powers_of_two"}
+NO_SQL = {"op1_simhash_near_dedup", "op5_karmarkar_karp_shards", "op6_pu_toxicity", "op9_pack_powers_of_two", "op11_periodic_runs",
+          "op12_cross_tokenizer_alignment", "op13_sentencepiece_codec"}
 
 
 def test_one_query_per_operator_and_the_pipeline():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.QUERIES) == list(range(1, 14))
     assert set(Q.QUERIES) - set(Q.ORACLES) == NO_SQL
     assert set(E.queries()) >= set(Q.QUERIES) | {"pipeline"} and set(E.oracle_sql()) >= set(Q.ORACLES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
@@ -55,3 +56,19 @@ def test_op9_on_driver_rows(spark, documents):
     for r in got:
         n[r.doc_id] = n.get(r.doc_id, 0) + r.length
     assert n == {i: len(test_packing.plain(t)) + 1 for i, t in documents}
+
+
+def test_op11_on_driver_rows(spark, documents):
+    got = Q.QUERIES["op11_periodic_runs"](spark, SF_SMALL).collect()
+    assert sorted(map(tuple, got)) == sorted(test_periodic.brute_row(i, t) for i, t in documents)
+
+
+def test_op12_on_driver_rows(spark, documents):
+    got = Q.QUERIES["op12_cross_tokenizer_alignment"](spark, SF_SMALL).collect()
+    assert sorted(map(tuple, got)) == sorted(test_cross_align.brute(test_cross_align.encoders(), documents))
+
+
+def test_op13_on_driver_rows(spark, documents):
+    m = test_piece_codec.model()
+    got = Q.QUERIES["op13_sentencepiece_codec"](spark, SF_SMALL).collect()
+    assert sorted(map(tuple, got)) == sorted(test_piece_codec.brute(m, i, t) for i, t in documents)
