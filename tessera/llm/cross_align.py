@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,18 @@ from tessera.llm.chunks import coded_chunks, gather, joined, text_blocks
 from tessera.llm.piece_codec import MARK, Pieces, model_path
 from tessera.llm.shared import give_back, materialize
 
-BLOCK_BYTES = 2 << 20
-LOOK_UP = 4096          # chunks given to a tokenizer at a time
+BLOCK_BYTES = 4 << 20
+LOOK_UP = 8192          # chunks given to A at a time
+LONG = 1000             # bytes of a chunk from which A's own library is used
 OUT_BYTES = 4 << 20
 _ROWS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, codes array<int>, "
          "times array<int>, code int, pair long, docs long")
 
 
+#: Bytes of characters below U+0250 in UTF-8.
+_PLAIN = bytes([*range(0x80), *range(0xC2, 0xCA), *range(0x80, 0xC0)])
+
+
 def byte_model_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -59,11 +65,22 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(other)}
 
 
+def plain_chunk(chunk: bytes) -> bool:
+    """Characters below U+0250 only, on whose classes all Unicode versions agree, and not long or ending in white space."""
+    return len(chunk) <= LONG and chunk.translate(None, _PLAIN) == b"" and not chunk.decode()[-1].isspace()
+
+
 class TwoTokenizers:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, and the bytes of their tokens.
+
+    Chunks of plain characters go to A joined into one text, cut by A itself at their
+    leading spaces, through a faster library with the vocabulary of A's file; others one by one through A's own.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark's tasks are the parallelism
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(byte_path)
         self.a.encode_special_tokens = True
@@ -73,18 +90,38 @@ class TwoTokenizers:
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.a_bytes[i] = bytes(alphabet[c] for c in token)
+        ranks = {t: i for i, t in enumerate(self.a_bytes) if t}          # ids of merged tokens rise in the order of the merges
+        self.fast = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         m = self.b.model
         self.b_bytes = [bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(MARK, " ").encode()
                         for i in range(m.get_piece_size())]
         self.a_len, self.b_len = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-
-    def encode(self, chunks: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        a, b = [], []
+        text = np.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))], object)
+        self.inner, self.last_a, self.last_b = text + ",", text + "|", text + ";"
+
+    def encode_a(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number per chunk)."""
+        plain = np.array([plain_chunk(c) for c in chunks], bool)
+        n = np.zeros(len(chunks), np.int64)
+        ids = {}
         for at in range(0, len(chunks), LOOK_UP):
-            part = chunks[at:at + LOOK_UP]
-            a += [e.ids for e in self.a.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)]
-            b += self.b.segment(part)
-        return a, b
+            part = np.flatnonzero(plain[at:at + LOOK_UP]) + at
+            got = np.array(self.fast.encode_ordinary(b"".join(chunks[i] for i in part).decode()), np.int64)
+            ends = np.cumsum([len(chunks[i]) for i in part])
+            here = np.searchsorted(np.cumsum(self.a_len[got]), ends) + 1 if len(part) else ends
+            n[part] = np.diff(here, prepend=0)
+            odd = np.flatnonzero(~plain[at:at + LOOK_UP]) + at
+            slow = [e.ids for e in self.a.encode_batch_fast([chunks[i].decode() for i in odd], add_special_tokens=False)]
+            n[odd] = [len(x) for x in slow]
+            ids[at] = np.empty(int(n[at:at + LOOK_UP].sum()), np.int64)
+            is_plain = np.repeat(plain[at:at + LOOK_UP], n[at:at + LOOK_UP])
+            ids[at][is_plain] = got
+            ids[at][~is_plain] = np.fromiter(chain.from_iterable(slow), np.int64)
+        return np.concatenate([*ids.values(), np.empty(0, np.int64)]), n
+
+    def encode_b(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.b.segment(chunks)
+        return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
 
 
 def group_labels(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,28 +155,33 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
+def _same(texts: list[bytes], tokens: list[bytes], ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which texts their tokens' bytes give back."""
+    parts = [tokens[i] for i in ids.tolist()]
+    if b"".join(parts) == b"".join(texts) and np.array_equal(_sums(np.fromiter(map(len, parts), np.int64, len(parts)), n), [len(t) for t in texts]):
+        return np.ones(len(texts), bool)
+    parts = iter(parts)
+    return np.array([b"".join(islice(parts, k)) == t for t, k in zip(texts, n.tolist())], bool)
+
+
 class BlockAlignment:
     """The distinct chunks of a block, aligned: counts, group texts, and links as numbers of a list of pairs."""
 
     def __init__(self, tok: TwoTokenizers, chunks: list[bytes]):
-        a, b = tok.encode(chunks)
-        self.whole = np.array([b"".join(map(tok.a_bytes.__getitem__, x)) == c and b"".join(map(tok.b_bytes.__getitem__, y)) == c
-                               for c, x, y in zip(chunks, a, b)], bool)
-        a = [x if ok else [] for x, ok in zip(a, self.whole)]
-        b = [x if ok else [] for x, ok in zip(b, self.whole)]
-        self.n_a, self.n_b = (np.array([len(x) for x in t], np.int64) for t in (a, b))
-        a_id, b_id = (np.array([i for x in t for i in x], np.int64) for t in (a, b))
+        (a_id, self.n_a), (b_id, self.n_b) = tok.encode_a(chunks), tok.encode_b(chunks)
+        self.whole = _same(chunks, tok.a_bytes, a_id, self.n_a) & _same(chunks, tok.b_bytes, b_id, self.n_b)
+        a_id, b_id = a_id[np.repeat(self.whole, self.n_a)], b_id[np.repeat(self.whole, self.n_b)]
+        self.n_a, self.n_b = self.n_a * self.whole, self.n_b * self.whole
         a_end, b_end = np.cumsum(tok.a_len[a_id]), np.cumsum(tok.b_len[b_id])
         a_label, b_label = group_labels(a_end, b_end)
-        a_last, b_last = (np.flatnonzero(np.append(x[1:] != x[:-1], True)) + 1 if len(x) else np.empty(0, np.int64) for x in (a_label, b_label))
+        a_last, b_last = (np.append(x[1:] != x[:-1], True)[:len(x)] for x in (a_label, b_label))
         a_chunk = np.repeat(np.arange(len(chunks)), self.n_a)
-        self.n_groups = np.bincount(a_chunk[a_last - 1], minlength=len(chunks))
-        words = [str(i) for i in range(max(len(tok.a_bytes), len(tok.b_bytes)))]
-        a_text, b_text = [words[i] for i in a_id.tolist()], [words[i] for i in b_id.tolist()]
-        groups = [f"{','.join(a_text[i:j])}|{','.join(b_text[k:m])}" for i, j, k, m in
-                  zip([0, *a_last[:-1].tolist()], a_last.tolist(), [0, *b_last[:-1].tolist()], b_last.tolist())]
-        ends = np.cumsum(self.n_groups).tolist()
-        self.groups = [";".join(groups[i:j]).encode() for i, j in zip([0, *ends[:-1]], ends)]
+        self.n_groups = np.bincount(a_chunk[a_last], minlength=len(chunks))
+        # tokens in the order of the groups' text: a group's A tokens, then its B tokens
+        text = np.concatenate([np.where(a_last, tok.last_a[a_id], tok.inner[a_id]), np.where(b_last, tok.last_b[b_id], tok.inner[b_id])])
+        order = np.argsort(2 * np.concatenate([a_label, b_label]) + (np.arange(len(text)) >= len(a_id)), kind="stable")
+        parts = iter(text[order].tolist())
+        self.groups = ["".join(islice(parts, k)) for k in (self.n_a + self.n_b).tolist()]
         i, j = overlaps(a_end, tok.a_len[a_id], b_end)
         self.n_links = np.bincount(a_chunk[i], minlength=len(chunks))
         self.pairs, self.links = np.unique(a_id[i] * len(tok.b_bytes) + b_id[j], return_inverse=True)
@@ -206,7 +248,7 @@ def _rows(paths: tuple[str, str], size: int):
                     text = map(al.groups.__getitem__, codes[s[0]:s[1]].tolist())
                     yield batch({"block": pa.array(np.full(b - a, block)), "doc_id": pa.array(ids[a:b], pa.int64()),
                                  **{c: pa.array(x[a:b]) for c, x in zip(names[2:6], counts)},
-                                 "groups": pa.array([b";".join(next(text) for _ in range(k)) for k in sizes[a:b].tolist()], pa.binary()).cast(pa.string()),
+                                 "groups": pa.array(["".join(islice(text, k))[:-1] for k in sizes[a:b].tolist()], pa.string()),
                                  "codes": _lists(at[pairs[e[0]:e[1]]], per_doc[a:b]), "times": _lists(times[e[0]:e[1]], per_doc[a:b])})
                     a, n = b, 0
                 if b < len(ids):

@@ -100,3 +100,14 @@ def test_align_gives_the_groups(spark, docs):
 
 def test_empty_table(spark, docs):
     assert X.alignment_report(docs([])).count() == 0
+
+
+def test_both_ways_through_tokenizer_a_agree():
+    """Every character below U+0250, and U+2028 and the like beside them, in several places of a chunk."""
+    t = encoders()
+    chars = [chr(c) for c in [*range(1, 0x250), 0x2028, 0x3000, 0x661, 0x4E00, 0x1F600] if chr(c) != " "]
+    chunks = [f" {x}".encode() for c in chars for x in (c, f"a{c}", f"{c}b", f"1{c}2", f"a{c}s", f"'{c}", f"-{c}{c}-", f"{c}\n{c}")] + [b" " + b"ab" * 5000, b" don't", b" we'll's"]
+    ids, n = t.encode_a(chunks)
+    want = [t.a.encode(c.decode(), add_special_tokens=False).ids for c in chunks]
+    assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert sum(map(X.plain_chunk, chunks)) > len(chunks) * 0.9
