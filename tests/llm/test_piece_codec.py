@@ -46,13 +46,15 @@ def test_any_block_size(spark, docs):
         assert sorted(have, key=order) == want
 
 
-def test_each_chunk_is_segmented_once(spark, docs):
-    df = docs([(i, "the same words again") for i in range(500)])
-    blocks = piece_codec.materialize(df.select("doc_id", "text").mapInArrow(piece_codec._blocks(100), piece_codec._BLOCK), "t")
-    assert blocks.where("chunk is not null").select("chunk").distinct().count() == 4
+def test_each_chunk_of_a_block_is_segmented_once(monkeypatch):
+    pieces, asked = piece_codec.Pieces(piece_codec.model_path()), []
+    real = pieces.segment
+    monkeypatch.setattr(pieces, "segment", lambda chunks: asked.extend(chunks) or real(chunks))
+    piece_codec.encode_block(pieces, [b"the same words again"] * 500)
+    assert sorted(asked) == [b" again", b" same", b" the", b" words"]
 
 
-def test_more_chunks_than_short_numbers(spark, docs):
+def test_more_chunks_than_in_one_call(spark, docs):
     text = " ".join(f"w{i}" for i in range(70_000))
     m = model()
     assert [tuple(r) for r in piece_codec.codec_report(docs([(1, text)])).collect()] == [brute(m, 1, text)]
