@@ -86,7 +86,7 @@ def first_char(c) -> Column:
 
 def from_third_char(c) -> Column:
     """text from the third character on."""
-    return F.expr("substring({}, 3)".format(c)) if isinstance(c, str) else F.substring(c, 3, 1 << 30)
+    return F.substr(_c(c), F.lit(3))
 
 
 def rand_column(seed: int) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import mean_per_key, top_k_per_key, trunc4_units
 from tessera.operators.skew import sized_join
+from tessera.session import stored_once
 
 # Fixed values of the reference recommender: default item mean, neighbours.
 DEFAULT_MEAN = 3.4952
@@ -63,6 +64,7 @@ def predict(ratings: DataFrame, sim: DataFrame, k: int = DEFAULT_NEIGHBOURS,
     number of raters (``sized_join``).
     """
     r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).alias("rating"))
+    r = stored_once(r, "ratings")          # read for the means and for the deviations
     means = item_mean(r)
     diff = rating_deviation(r, means, default_mean).select(F.col("item").alias("j"), "user", "diff")
     # the item mean rides along from the (small) neighbour table, so the

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import shared_table
+from tessera.session import shared_table, stored_once
 
 # Fixed values from the reference's recipes: 100 copies, 10 % sample.
 DEFAULT_COPIES = 100
@@ -115,7 +115,8 @@ def sized_join(left: DataFrame, right: DataFrame, key, piece_rows: int = PIECE_R
     A key with n rows on a side is cut into ceil(n / piece_rows) pieces of that
     side, and the other side's rows of the key go to each of them, so a hot
     key takes as many cells as its pairs need; an ordinary key has one cell.
-    One join serves all keys.  ``count``: 'both', 'left' (only that side is cut)
+    One join serves all keys.  A counted side is read twice, for its counts and for the
+    join, so one that is more than a scan is stored first.  ``count``: 'both', 'left' (only that side is cut)
     or 'self' (both sides have the same keys, counted once).  The table of cut
     keys is written first, so the planner knows its size when it chooses
     between broadcasting and shuffling it.
@@ -125,6 +126,9 @@ def sized_join(left: DataFrame, right: DataFrame, key, piece_rows: int = PIECE_R
     def cut(df, name):
         return (df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > piece_rows)
                 .select(*ks, F.ceil(F.col("_n") / piece_rows).cast("int").alias(name)))
+    if count != "self":           # callers of a self-join store its one table themselves
+        left = stored_once(left, "sized-left")
+        right = stored_once(right, "sized-right") if count == "both" else right
     cuts = cut(left, "_pl")
     if count == "both":
         cuts = cuts.join(cut(right, "_pr"), ks, "full")

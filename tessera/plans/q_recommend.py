@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import matrix as M
+from tessera.operators import neighbours as N
 from tessera.operators import recommend as R
 from tessera.plans.registry import query
 from tessera.plans.views import ratings, view
+from tessera.session import shared_table
 from tessera.sources.tables import table
 
 # Parameters of the registered recommender run.
@@ -56,8 +58,13 @@ test_pairs AS (SELECT DISTINCT o_custkey AS "user", l_partkey AS item
                WHERE l_returnflag = 'R')"""
 
 
-def similarity(spark, sf):
-    return M.cosine_similarity(ratings(spark, sf), min_common=MIN_COMMON)
+def stored_ratings(spark, sf):
+    """The ratings view, computed once for all parts of a query that read it."""
+    return shared_table(ratings(spark, sf), "ratings")
+
+
+def similarity(spark, sf, r=None):
+    return M.cosine_similarity(ratings(spark, sf) if r is None else r, min_common=MIN_COMMON)
 
 
 def test_pairs(spark, sf):
@@ -155,10 +162,29 @@ WITH {_SIM_SQL}
 SELECT r."user" AS "user", s.i AS item, round(sum(s.sim * r.rating), 6) AS score
 FROM sim s JOIN ratings r ON s.j = r.item GROUP BY r."user", s.i""")
 def m7_preference_scores(spark, sf):
-    p = M.preference_scores(similarity(spark, sf), ratings(spark, sf))
+    r = stored_ratings(spark, sf)
+    p = M.preference_scores(similarity(spark, sf, r), r)
     return p.select("user", "item", F.round("score", 6).alias("score"))
 
 
+#: Threshold and number of neighbours of the queries through the inverted index.
+SIMILAR_FROM = 0.5
+NEAREST = 10
+
+
+@query("m6_similar_items", views=("ratings",), oracle=f"WITH {_SIM_SQL} SELECT i, j, sim FROM sim WHERE sim >= {SIMILAR_FROM}")
+def m6_similar_items(spark, sf):
+    """The similarities of ``m6`` from one half on, through prefixes instead of all pairs."""
+    return N.similar_items(stored_ratings(spark, sf), SIMILAR_FROM, min_common=MIN_COMMON)
+
+
+@query("a6_nearest_items", views=("ratings",), oracle=f"""
+WITH {_SIM_SQL}
+SELECT i, j, sim FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS rn FROM sim) WHERE rn <= {NEAREST}""")
+def a6_nearest_items(spark, sf):
+    return N.nearest_items(stored_ratings(spark, sf), NEAREST, min_common=MIN_COMMON)
+
+
 @query("a6_top_k_per_key", views=("ratings",), oracle=f"""
 WITH {_SIM_SQL}
 SELECT i, j, sim FROM (
@@ -172,7 +198,8 @@ def a6_top_k_per_key(spark, sf):
 WITH {_SIM_SQL}, {_PREDICT_SQL}
 SELECT "user", item, score FROM pred""")
 def r3_predict(spark, sf):
-    return R.predict(ratings(spark, sf), similarity(spark, sf), k=NEIGHBOURS)
+    r = stored_ratings(spark, sf)
+    return R.predict(r, similarity(spark, sf, r), k=NEIGHBOURS)
 
 
 @query("r4_score_test_pairs", views=("ratings",), oracle=f"""
@@ -180,7 +207,8 @@ WITH {_SIM_SQL}, {_PREDICT_SQL}, {_TEST_PAIRS_SQL}
 SELECT t."user", t.item, coalesce(p.score, 3.4952) AS score
 FROM test_pairs t LEFT JOIN pred p ON t."user" = p."user" AND t.item = p.item""")
 def r4_score_test_pairs(spark, sf):
-    return R.predict_pairs(test_pairs(spark, sf), ratings(spark, sf), similarity(spark, sf), k=NEIGHBOURS)
+    r = stored_ratings(spark, sf)
+    return R.predict_pairs(test_pairs(spark, sf), r, similarity(spark, sf, r), k=NEIGHBOURS)
 
 
 @query("a5_sum_pair_per_key", views=("ratings",), oracle=f"""
@@ -190,9 +218,9 @@ def a5_sum_pair_per_key(spark, sf):
     """The (numerator, denominator) sums of ``predict`` in 1e-4 units."""
     from tessera.operators.aggregates import sum_pair_per_key, trunc4_units
     from tessera.operators.skew import sized_join
-    r = ratings(spark, sf)
+    r = stored_ratings(spark, sf)
     diff = R.rating_deviation(r, R.item_mean(r)).select(F.col("item").alias("j"), "user", "diff")
-    terms = (sized_join(diff, R.top_neighbours(similarity(spark, sf), NEIGHBOURS), "j", count="left")
+    terms = (sized_join(diff, R.top_neighbours(similarity(spark, sf, r), NEIGHBOURS), "j", count="left")
              .select("user", "i", trunc4_units(F.col("sim") * F.col("diff")).alias("num"),
                      trunc4_units(F.col("sim")).alias("den")))
     return sum_pair_per_key(terms, ["user", "i"], "num", "den", names=("num", "den"))

@@ -6,6 +6,7 @@ and by tables that several steps share.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -75,6 +76,17 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Logical operators that are worth more than reading a stored table again.
+_DEAR = re.compile(r"^[\s:+|-]*(Join|Aggregate|Window|Sort|Generate|Repartition\w*|RebalancePartitions|Distinct|MapIn\w+|Deserialize\w*)\b", re.M)
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` for a caller that reads it several times: a plan of scans, filters and projections as it
+    is, anything that joins or aggregates as a ``shared_table``, computed once."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return shared_table(df, name) if _DEAR.search(plan) else df
+
+
 def drop_shared(df: DataFrame) -> None:
     """Delete the files behind a table of ``shared_table``."""
     spark = df.sparkSession
