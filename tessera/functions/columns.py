@@ -70,12 +70,15 @@ def tokens_unique(c, sep: str = " ") -> Column:
     return F.size(F.array_distinct(t)) == F.size(t)
 
 
+def has_error(c) -> Column:
+    """the text, once "BindException" is removed, contains ERROR or EXCEPTION in any case."""
+    probe = F.upper(F.replace(_c(c), F.lit("BindException"), F.lit("")))
+    return probe.contains("ERROR") | probe.contains("EXCEPTION")
+
+
 def error_filter(df: DataFrame, name: str, content: str) -> DataFrame:
-    """keep files whose text, once "BindException" is removed, contains
-    ERROR or EXCEPTION in any case; output ``name:\\ncontent`` (original text).
-    """
-    probe = F.upper(F.replace(F.col(content), F.lit("BindException"), F.lit("")))
-    return (df.where(probe.contains("ERROR") | probe.contains("EXCEPTION"))
+    """keep files whose text ``has_error``; output ``name:\\ncontent`` (original text)."""
+    return (df.where(has_error(content))
             .select(F.concat(F.col(name), F.lit(":\n"), F.col(content)).alias("report")))
 
 

@@ -8,13 +8,17 @@ Discretizer plan (``discretize``):
 2. the stride walk over the sorted (value, count) pairs is evaluated in closed
    form (``_walk``) with running aggregates inside ranges of (column, value),
    carried over range bounds, so no column meets in one task;
-3. the split arrays (at most ``max_bins + 1`` values per column) become
-   constants of one projection over the table; each value finds its bin by
-   binary search.
+3. the splits (at most ``max_bins + 1`` values per column) become the edges of one
+   ``Bucketizer`` projection over the table; each value finds its bin by binary search.
+
+Splits can also come from mergeable quantile sketches (``sketch_columns``).
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,32 +140,41 @@ def _walk(hist: DataFrame, max_bins: int, num_samples: int, stride: float) -> Da
     return pts.groupBy("column").agg(F.array_sort(F.collect_list("p")).alias("splits"))
 
 
-def assign_upper(value, splits):
-    """The smallest split greater than ``value``; at or above the last -> the last.
+def assign_upper(df: DataFrame, splits: dict[str, list[float]], names: dict[str, str] | None = None) -> DataFrame:
+    """Per column the smallest split greater than the value; at or above the last -> the last.
 
-    ``splits`` is a sorted array<double> Column or a Python list of floats; a
-    value finds its place by binary search.  No splits or a null value: null.
+    ``splits``: sorted numbers per column; the result replaces the column, or is added under
+    ``names[column]``.  A value finds its place by Spark ML's ``Bucketizer`` (a binary search in the JVM).  No splits
+    or a null value: null; NaN counts as the largest.
     """
-    arr = constant_array(splits) if isinstance(splits, (list, tuple)) else splits
-    v = F.col(value) if isinstance(value, str) else value
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size(arr) + F.lit(1))).cast("int") + 1))
+    names = names or {c: c for c in splits}
+    cols = [c for c in splits if len(splits[c])]
+    places = {c: f"_place_{i}" for i, c in enumerate(cols)}
+    values = {c: f"_value_{i}" for i, c in enumerate(cols)}
+    out = df.withColumns({values[c]: F.col(_quoted(c)).cast("double") for c in cols})
+    if cols:
+        edges = [[-math.inf, *map(float, splits[c]), math.inf] for c in cols]
+        out = Bucketizer(splitsArray=edges, inputCols=list(values.values()), outputCols=list(places.values()), handleInvalid="keep").transform(out)
+
+    def upper(c):
+        if c not in places:
+            return F.lit(None).cast("double")
+        at = F.least(F.col(places[c]).cast("int"), F.lit(len(splits[c]) - 1))     # behind the last split: the last
+        return F.when(F.col(values[c]).isNotNull(), F.get(constant_array(splits[c]), at))
+    return out.withColumns({names[c]: upper(c) for c in splits}).drop(*places.values(), *values.values())
 
-    def halve(s, _):
-        mid = ((s["lo"] + s["hi"]) / 2).cast("int")
-        return (F.when(s["lo"] >= s["hi"], s)
-                .when(F.get(arr, mid) > v, F.struct(s["lo"].alias("lo"), mid.alias("hi")))
-                .otherwise(F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))))
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi")), halve, lambda s: s["lo"])
-    return F.when(v.isNotNull(), F.coalesce(F.get(arr, found), F.try_element_at(arr, F.lit(-1))))
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def split_arrays(splits: DataFrame) -> dict:
-    """(column, splits) -> a constant array Column per column.
+
+def split_values(splits: DataFrame) -> dict[str, list[float]]:
+    """(column, splits) -> the numbers of each column.
 
     At most ``max_bins + 1`` numbers per column come to the driver, a bound set
-    by the caller's parameter; each array is one folded constant in the plan.
+    by the caller's parameter.
     """
-    return {r["column"]: constant_array(r["splits"]) for r in splits.collect()}
+    return {r["column"]: list(r["splits"]) for r in splits.collect()}
 
 
 def constant_array(values):
@@ -171,6 +184,40 @@ def constant_array(values):
     return F.split(F.lit(",".join(repr(float(x)) for x in values)), ",").cast("array<double>")
 
 
+# ---- splits from sketches ----------------------------------------------------
+
+#: Accuracy of the quantile sketches, and how their error follows from it (fixed values of the KLL sketch:
+#: the share of all rows by which a rank is off, at most, in 99 of 100 cases).
+SKETCH_K = 1024
+
+
+def sketch_rank_error(k: int = SKETCH_K) -> float:
+    return 2.296 / k ** 0.9723
+
+
+def sketch_columns(df: DataFrame, columns, by=(), k: int = SKETCH_K) -> DataFrame:
+    """X3, mergeable: one KLL quantile sketch per column (and per value of ``by``) -> ``(*by, column, sketch)``.
+
+    One pass with partial aggregates of a few kB each: no sort, no shuffle of values, no sample.  Sketches
+    of days or partitions can be kept and merged later.  Nulls take no part.
+    """
+    made = df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(_quoted(c)).cast("double"), F.lit(k)).alias(f"_s{i}") for i, c in enumerate(columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(columns)])
+    return made.select(*by, F.explode(rows).alias("_r")).select(*by, "_r.column", "_r.sketch").where(F.col("sketch").isNotNull())
+
+
+def splits_from_sketches(sketches: DataFrame, max_bins: int = DEFAULT_MAX_BINS) -> DataFrame:
+    """Sketches (column, sketch), any number per column, merged -> ``(column, n, splits array<double>)``.
+
+    The splits are the different values at ranks j / (max_bins + 1), j = 1 ... max_bins, each off by
+    ``sketch_rank_error`` of the rows.  A column of few values yields those that hold such a rank.
+    """
+    steps = F.array(*[F.lit(j / (max_bins + 1)) for j in range(1, max_bins + 1)])
+    merged = sketches.groupBy("column").agg(F.kll_merge_agg_double("sketch").alias("_m"))
+    merged = merged.select("column", "_m", F.kll_sketch_get_n_double("_m").alias("n")).where(F.col("n") > 0)
+    return merged.select("column", "n", F.array_sort(F.array_distinct(F.kll_sketch_get_quantile_double("_m", steps))).alias("splits"))
+
+
 def category_values(df: DataFrame, columns=None) -> DataFrame:
     """The splits of a string column are its distinct values -> ``(column, value)``."""
     cols = columns or [c for c, t in df.dtypes if t == "string"]
@@ -179,13 +226,15 @@ def category_values(df: DataFrame, columns=None) -> DataFrame:
 
 
 def discretize(df: DataFrame, max_bins: int = DEFAULT_MAX_BINS, passthrough_short: bool = False,
-               hash_columns=(), fraction: float | None = None, seed: int = SAMPLE_SEED, sample_key=None) -> DataFrame:
+               hash_columns=(), fraction: float | None = None, seed: int = SAMPLE_SEED, sample_key=None,
+               sketch_k: int | None = None) -> DataFrame:
     """Replace every continuous value by the upper edge of its bin.
 
     * string columns are categories and stay text; those the caller names in
       ``hash_columns`` are hashed into 10,000 buckets first;
     * other columns are cast to double and binned with ``find_splits`` over the
-      whole table (or over a sample, if the caller gives ``fraction``); with
+      whole table (or over a sample, if the caller gives ``fraction``, or from quantile
+      sketches of accuracy ``sketch_k``, one pass without a sort); with
       ``passthrough_short`` a column with fewer than ``max_bins`` splits is
       passed through raw;
     * nulls stay null.
@@ -201,16 +250,13 @@ def discretize(df: DataFrame, max_bins: int = DEFAULT_MAX_BINS, passthrough_shor
     largest = max([min(prof[c], HASH_BUCKETS) if c in hash_columns else prof[c] for c in str_cols], default=0)
     if max_bins < largest:
         raise ValueError(f"maxBins {max_bins} is below the largest category count {largest}")
-    found = split_arrays(find_splits(df, num_cols, max_bins, n=prof["_n"], fraction=fraction, seed=seed,
-                                     sample_key=sample_key)) if num_cols else {}
+    found = {}
+    if num_cols and sketch_k:
+        found = split_values(splits_from_sketches(sketch_columns(df, num_cols, k=sketch_k), max_bins))
+    elif num_cols:
+        found = split_values(find_splits(df, num_cols, max_bins, n=prof["_n"], fraction=fraction, seed=seed, sample_key=sample_key))
+    binned = {c: v for c, v in found.items() if len(v) >= (max_bins if passthrough_short else 1)}
     out = []
     for c, t in df.dtypes:
-        if c in hash_columns:
-            out.append(hash_bucket(c).alias(c))
-        elif t == "string":
-            out.append(F.col(c))
-        else:
-            v, arr = F.col(c).cast("double"), found.get(c, constant_array(()))
-            raw = F.size(arr) < F.lit(max_bins if passthrough_short else 1)
-            out.append(F.when(raw, v).otherwise(assign_upper(v, arr)).alias(c))
-    return df.select(*out)
+        out.append(hash_bucket(c).alias(c) if c in hash_columns else F.col(_quoted(c)) if t == "string" else F.col(_quoted(c)).cast("double").alias(c))
+    return assign_upper(df.select(*out), binned)

@@ -7,7 +7,7 @@ bytes, known or measured at run time, is under
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.ranking import position_in_key
@@ -75,12 +75,29 @@ def copartitioned_join(left: DataFrame, right: DataFrame, key, partitions: int)
     """Both sides hash-partitioned on ``key`` into the same number of
     partitions; the join reuses that partitioning (no further exchange).
 
-    For repeated joins write both sides with ``bucketBy(partitions, key)``.
+    For repeated joins store both sides with ``write_bucketed``.
     """
     ks = _keys(key)
     return left.repartition(partitions, *ks).join(right.repartition(partitions, *ks), ks)
 
 
+def write_bucketed(df: DataFrame, name: str, key, buckets: int, path: str) -> None:
+    """J10, stored: table ``name`` under ``path``, bucketed and sorted by ``key``, one file per bucket.
+
+    The rows are dealt by the hash that bucketing uses, so a task writes one whole bucket.  Keys that hold
+    a large share of the rows make a large bucket, which a bucketed join cannot split: for those
+    use ``skew.skew_split_join``.
+    """
+    ks = _keys(key)
+    (df.repartition(buckets, *ks).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *ks).sortBy(*ks).saveAsTable(name))
+
+
+def bucketed_join(spark: SparkSession, left: str, right: str, key) -> DataFrame:
+    """J10, stored: two tables of ``write_bucketed`` with equal bucket counts, joined bucket by bucket without an exchange."""
+    return spark.table(left).join(spark.table(right), _keys(key))
+
+
 def broadcast_mean_lookup(df: DataFrame, means: DataFrame, key: str, default: float) -> DataFrame:
     """Attach ``mean`` by key; default when absent."""
     return (df.join(means.select(key, "mean"), key, "left")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions import codec, columns as C, dates as D, jsonfn as J
 from tessera.plans.registry import query
 from tessera.plans.views import view
+from tessera.session import checkpoint_dir
+from tessera.sources import text as TX
 from tessera.sources.tables import table
 
 # A test key for the encryption round trip (any 16/24/32-byte text works).
@@ -182,6 +186,39 @@ def f14_json_array_rows(spark, sf):
     return J.json_array_rows(_json_input(spark, sf), "txt", "ts", keep=("event_id",))
 
 
+_TYPED_INPUT_SQL = """
+SELECT event_id, ts, CASE WHEN event_type = 'error' THEN props ELSE
+  '[' || props || ', {"n": ' || user_id || ', "v": ' || CAST("value" AS VARCHAR) || ', "ok": ' || CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END
+  || ', "type": "' || event_type || '", "none": null, "at": [1, "x", {"y": ' || user_id || '}]}, 7, {"n": ' || user_id || '.0}, {"n": ' || user_id || '}]' END AS txt
+FROM events"""
+
+
+def _typed_input(spark, sf):
+    e = table(spark, sf, "events")
+    user = F.col("user_id").cast("string")
+    parts = [F.lit("["), "props", F.lit(', {"n": '), user, F.lit(', "v": '), F.col("value").cast("string"), F.lit(', "ok": '),
+             F.when(F.col("user_id") % 2 == 0, "true").otherwise("false"), F.lit(', "type": "'), "event_type",
+             F.lit('", "none": null, "at": [1, "x", {"y": '), user, F.lit('}]}, 7, {"n": '), user, F.lit('.0}, {"n": '), user, F.lit("}]")]
+    return e.select("event_id", "ts", F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.concat(*parts)).alias("txt"))
+
+
+@query("f14_json_typed_rows", oracle=f"""
+WITH x AS ({_TYPED_INPUT_SQL}),
+o AS (SELECT event_id, ts, unnest(from_json(txt, '["JSON"]')) AS obj FROM x WHERE json_type(txt) = 'ARRAY'),
+kv AS (SELECT event_id, ts, unnest(json_keys(obj)) AS k, obj FROM o WHERE json_type(obj) = 'OBJECT'),
+v AS (SELECT event_id, ts, k, obj, json_extract(obj, '$."' || k || '"') AS j FROM kv),
+t AS (SELECT *, CASE json_type(j) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'array'
+                     WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS kind FROM v),
+r AS (SELECT event_id, ts, k, kind, CASE WHEN kind = 'number' THEN CAST(j AS DOUBLE) END AS number, CASE WHEN kind = 'boolean' THEN CAST(j AS BOOLEAN) END AS flag,
+             CASE WHEN kind = 'string' THEN j ->> '$' WHEN kind IN ('array', 'object') THEN CAST(j AS VARCHAR) END AS "text", obj FROM t),
+d AS (SELECT event_id, ts, list({{'k': k, 'kind': kind, 'number': number, 'flag': flag, 't': "text"}} ORDER BY k) AS entries FROM r GROUP BY event_id, ts, CAST(obj AS VARCHAR)),
+u AS (SELECT DISTINCT event_id, ts, entries FROM d)
+SELECT event_id, ts AS access_time, e.k AS "key", e.kind AS kind, e.number AS number, e.flag AS flag, e.t AS "text"
+FROM (SELECT event_id, ts, unnest(entries) AS e FROM u)""")
+def f14_json_typed_rows(spark, sf):
+    return J.json_typed_rows(_typed_input(spark, sf), "txt", "ts", keep=("event_id",))
+
+
 @query("f15_to_json_text", oracle="""
 SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey})
                   AS VARCHAR) AS js
@@ -237,7 +274,7 @@ SELECT source || '/' || CAST(doc_id AS VARCHAR) AS fname,
 FROM documents"""
 
 
-def log_files(spark, sf):
+def log_files(spark, sf, keep=()):
     """Documents as log files with injected error lines (by language)."""
     d = table(spark, sf, "documents")
     nl = F.lit("\n")
@@ -246,7 +283,7 @@ def log_files(spark, sf):
                .when(F.col("lang") == "es", F.concat(F.lit("Error: "), "text"))
                .otherwise(F.col("text")))
     return d.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("fname"),
-                    content.alias("content"))
+                    content.alias("content"), *keep)
 
 
 @query("f18_error_filter", oracle=f"""
@@ -258,6 +295,20 @@ def f18_error_filter(spark, sf):
     return C.error_filter(log_files(spark, sf), "fname", "content")
 
 
+@query("f18_error_lines", oracle=f"""
+WITH f AS (SELECT source || '-' || lang AS log, translate(content, chr(13), ' ') AS c
+           FROM ({_FILES_SQL.replace("SELECT source", "SELECT source, lang, source", 1)}))
+SELECT log, CAST(sum(len(c) - len(replace(c, chr(10), '')) + 1) AS BIGINT) AS lines FROM f GROUP BY log
+HAVING bool_or(upper(replace(c, 'BindException', '')) LIKE '%ERROR%' OR upper(replace(c, 'BindException', '')) LIKE '%EXCEPTION%')""")
+def f18_error_lines(spark, sf):
+    """The logs written as text files, one folder per source and language, and read back in byte ranges."""
+    files = log_files(spark, sf, keep=(F.concat("source", F.lit("-"), "lang").alias("log"),))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/logs-{uuid.uuid4().hex}"
+    files.select("log", F.translate("content", "\r", " ").alias("value")).where("log is not null and value is not null").write.partitionBy("log").text(path)
+    lines = spark.read.text(path).select("log", F.col("value").alias("line"))
+    return TX.error_report_lines(lines, "log").groupBy("log").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query("f19_trunc4", oracle="""
 SELECT c_custkey, trunc(c_acctbal / 7 * 10000) / 10000 AS t4 FROM customer""")
 def f19_trunc4(spark, sf):

@@ -88,14 +88,32 @@ def x3_find_splits_sampled(spark, sf):
                                       fraction=X.sample_fraction(MAX_BINS, n), sample_key="l_orderkey"))
 
 
+SKETCHED = ("c_custkey", "c_acctbal")
+
+
+@query("x3_splits_from_sketches", oracle=" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST(i AS INTEGER) AS idx, n, true AS within FROM (SELECT count({c}) AS n FROM customer), range({MAX_BINS}) r(i)""" for c in SKETCHED))
+def x3_splits_from_sketches(spark, sf):
+    """Splits of merged sketches (one per nation), each against its exact rank: within twice the stated error."""
+    c = table(spark, sf, "customer")
+    found = X.splits_from_sketches(X.sketch_columns(c, SKETCHED, by=["c_nationkey"]), MAX_BINS)
+    points = found.select("column", "n", F.posexplode("splits").alias("idx", "split"))
+    values = c.select(F.explode(F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).cast("double").alias("v")) for k in SKETCHED])).alias("x")).select("x.*")
+    below = F.transform("splits", lambda s: F.when(F.col("v") <= s, 1).otherwise(0))
+    ranks = (values.join(F.broadcast(found.select("column", "splits")), "column")      # a row per column
+             .select("column", F.posexplode(below).alias("idx", "below")).groupBy("column", "idx").agg(F.sum("below").alias("rank")))
+    off = F.abs(F.col("rank") / F.col("n") - (F.col("idx") + 1) / F.lit(MAX_BINS + 1.0))
+    return points.join(ranks, ["column", "idx"]).select("column", "idx", "n", (off <= 2 * X.sketch_rank_error() + 1 / F.col("n")).alias("within"))
+
+
 @query("x4_assign_upper", oracle=splits_sql("customer", ("c_acctbal",)) + """
 SELECT c_custkey, coalesce((SELECT min(split) FROM numbered WHERE split > c_acctbal),
                            (SELECT max(split) FROM numbered)) AS upper
 FROM customer""")
 def x4_assign_upper(spark, sf):
     c = table(spark, sf, "customer")
-    found = X.split_arrays(X.find_splits(c, ["c_acctbal"], MAX_BINS))
-    return c.select("c_custkey", X.assign_upper("c_acctbal", found["c_acctbal"]).alias("upper"))
+    found = X.split_values(X.find_splits(c, ["c_acctbal"], MAX_BINS))
+    return X.assign_upper(c.select("c_custkey", "c_acctbal"), found, {"c_acctbal": "upper"}).drop("c_acctbal")
 
 
 def _discretize_sql() -> str:

@@ -109,6 +109,37 @@ def svm_scores(spark, sf):
     return L.raw_scores(model, test, keep=("l_orderkey", "l_linenumber"))
 
 
+#: Scaled features of the training rule's query: about one each.
+SGD_FEATURES = {"quantity": "l_quantity / 50", "price": "l_extendedprice / 100000", "discount": "l_discount * 10", "tax": "l_tax * 10"}
+
+
+def _sgd_sql(steps: int) -> str:
+    """The rule step by step: each is one row of weights from one sum over the rows."""
+    f = list(SGD_FEATURES)
+    rows = ", ".join(f"{e} AS {c}" for c, e in SGD_FEATURES.items())
+    out = [f"""WITH rows AS MATERIALIZED (SELECT {rows}, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE -1.0 END AS y FROM lineitem),
+w0 AS (SELECT {", ".join(f"0.0::DOUBLE AS {c}" for c in f)}, false AS done)"""]
+    for t in range(1, steps + 1):
+        s = f"({L.SGD_STEP} / sqrt({t}.0::DOUBLE))"
+        dot = " + ".join(f"r.{c} * w.{c}" for c in f)
+        sums = ", ".join(f"sum(CASE WHEN r.y * ({dot}) < 1 THEN -r.y * r.{c} END) AS g_{c}" for c in f)
+        new = ", ".join(f"w.{c} * (1 - {s} * {L.SGD_REG}) - {s} * coalesce(g_{c}, 0) / n AS n_{c}" for c in f)
+        moved = " + ".join(f"(n_{c} - {c}) * (n_{c} - {c})" for c in f)
+        norm = " + ".join(f"n_{c} * n_{c}" for c in f)
+        settled = f"sqrt({moved}) < {L.SGD_TOLERANCE} * greatest(1.0, sqrt({norm}))" if t > 1 else "false"
+        out.append(f"""w{t} AS MATERIALIZED (SELECT {", ".join(f"CASE WHEN done THEN {c} ELSE n_{c} END AS {c}" for c in f)}, done OR {settled} AS done
+  FROM (SELECT w.*, {new} FROM w{t - 1} w, (SELECT count(*) AS n, {sums} FROM rows r, w{t - 1} w)))""")
+    return ",\n".join(out) + " " + " UNION ALL ".join(f"SELECT '{c}' AS feature, round({c}, 6) AS weight FROM w{steps}" for c in f)
+
+
+@query("l1_sgd_weights", oracle=_sgd_sql(L.SVM_ITERATIONS))
+def l1_sgd_weights(spark, sf):
+    li = table(spark, sf, "lineitem").select(*[F.expr(e).alias(c) for c, e in SGD_FEATURES.items()],
+                                             F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+    model = L.train_svm_sgd(li, list(SGD_FEATURES))
+    return spark.createDataFrame([(c, round(w, 6)) for c, w in zip(model.features, model.weights)], "feature string, weight double")
+
+
 @query("l2_raw_scores")
 def l2_raw_scores(spark, sf):
     """Linear SVM trained on 60 % of line items (hash split), margins on the rest."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import joins as J
@@ -9,6 +11,7 @@ from tessera.operators import skew as S
 from tessera.operators import recommend as R
 from tessera.plans.registry import query
 from tessera.plans.views import ratings
+from tessera.session import checkpoint_dir
 from tessera.sources.tables import table
 
 # Values per chunk in the registered cogroup run.
@@ -138,6 +141,29 @@ def j10_copartitioned_join(spark, sf):
     return J.copartitioned_join(o, li, "o_orderkey", n)
 
 
+@query("j10_bucketed_join", oracle="""
+SELECT o_orderkey, o_custkey, l_linenumber, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+def j10_bucketed_join(spark, sf):
+    """Orders and line items stored in buckets of the order key, then joined as they are stored."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    n, run = int(spark.conf.get("spark.sql.shuffle.partitions")), uuid.uuid4().hex
+    for name, side in (("orders", o), ("lines", li)):
+        J.write_bucketed(side, f"bucketed_{name}_{run}", "o_orderkey", n, f"{checkpoint_dir(spark).rstrip('/')}/bucketed-{name}-{run}")
+    return J.bucketed_join(spark, f"bucketed_orders_{run}", f"bucketed_lines_{run}", "o_orderkey")
+
+
+#: Keys with more than one row in so many are heavy: close to the average of the keys here, so about half of them are.
+HEAVY_SHARE = 150
+
+
+@query("j7_heavy_hitters", oracle=f"""
+SELECT l_returnflag, l_quantity, count(*) AS n, (SELECT count(*) FROM lineitem) AS total FROM lineitem
+GROUP BY l_returnflag, l_quantity HAVING count(*) * {HEAVY_SHARE} > (SELECT count(*) FROM lineitem)""")
+def j7_heavy_hitters(spark, sf):
+    return S.heavy_hitters(table(spark, sf, "lineitem"), ["l_returnflag", "l_quantity"], HEAVY_SHARE)
+
+
 @query("j12_broadcast_mean_lookup", views=("ratings",), oracle="""
 WITH means AS (SELECT item, trunc(sum(rating) / count(rating) * 10000) / 10000 AS mean FROM ratings GROUP BY item)
 SELECT r.item, r."user", r.rating, coalesce(m.mean, 3.4952) AS mean

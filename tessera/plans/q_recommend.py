@@ -168,13 +168,13 @@ def m7_preference_scores(spark, sf):
 
 
 #: Threshold and number of neighbours of the queries through the inverted index.
-SIMILAR_FROM = 0.5
+SIMILAR_FROM = 0.15
 NEAREST = 10
 
 
 @query("m6_similar_items", views=("ratings",), oracle=f"WITH {_SIM_SQL} SELECT i, j, sim FROM sim WHERE sim >= {SIMILAR_FROM}")
 def m6_similar_items(spark, sf):
-    """The similarities of ``m6`` from one half on, through prefixes instead of all pairs."""
+    """The similarities of ``m6`` from ``SIMILAR_FROM`` on, through prefixes instead of all pairs."""
     return N.similar_items(stored_ratings(spark, sf), SIMILAR_FROM, min_common=MIN_COMMON)
 
 

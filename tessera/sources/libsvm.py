@@ -1,10 +1,10 @@
 """LibSVM lines and TFRecord examples.
 
 ``to_libsvm`` is one ``concat_ws`` projection.  ``to_examples`` builds the
-typed feature map with higher-order functions.  The TFRecord sink is a
-Python Data Source writer: every partition writes its own file into a folder of
-the job, the job's commit moves them; records are framed as TFRecord (length, masked CRC32C) around a serialized
-``tf.train.Example``.
+typed feature map with higher-order functions.  TFRecord files are a Python Data Source:
+records are framed as TFRecord (length, masked CRC32C) around a serialized
+``tf.train.Example``.  Writing, every partition encodes its Arrow batches column-wise (numpy) into its own file
+in a folder of the job, and the job's commit moves them; reading, a partition per file, all CRCs checked.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ import re
 import struct
 import uuid
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Records framed at a time.
 FRAME_BATCH = 1000
@@ -99,75 +100,154 @@ _CRC_TABLE = _crc32c_table()
 _CRC_ARRAY = np.array(_CRC_TABLE, np.uint32)
 
 
-def crc32c_many(items: list[bytes]) -> list[int]:
-    """CRC-32C of every byte string: one vector step per byte position over all strings that reach it."""
-    if not items:
-        return []
-    size = np.array([len(x) for x in items])
+def _crc32c_ranges(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32C of data[start:start + size] for every range: one vector step per byte position over all ranges that reach it."""
     order = np.argsort(-size, kind="stable")
-    start = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(items), np.uint8)
-    crc = np.full(len(items), 0xFFFFFFFF, np.uint32)
+    crc = np.full(len(size), 0xFFFFFFFF, np.uint32)
     by_size = -size[order]
     for i in range(int(size.max(initial=0))):
-        live = order[:np.searchsorted(by_size, -i, "left")]   # strings longer than i
+        live = order[:np.searchsorted(by_size, -i, "left")]   # ranges longer than i
         c = crc[live]
         crc[live] = _CRC_ARRAY[(c ^ data[start[live] + i]) & 0xFF] ^ (c >> np.uint32(8))
-    return [int(x) for x in crc ^ np.uint32(0xFFFFFFFF)]
+    return crc ^ np.uint32(0xFFFFFFFF)
+
+
+def crc32c_many(items: list[bytes]) -> list[int]:
+    """CRC-32C of every byte string."""
+    size = np.array([len(x) for x in items], np.int64)
+    return _crc32c_ranges(np.frombuffer(b"".join(items), np.uint8), np.cumsum(size) - size, size).tolist()
 
 
 def crc32c(data: bytes) -> int:
-    return crc32c_many([data])[0]
+    c = 0xFFFFFFFF
+    for b in data:
+        c = _CRC_TABLE[(c ^ b) & 0xFF] ^ (c >> 8)
+    return c ^ 0xFFFFFFFF
 
 
-def _masked(c: int) -> int:
-    return (((c >> 15) | (c << 17)) + 0xA282EAD8) & 0xFFFFFFFF
+def _masked(c):
+    """The CRC as TFRecord stores it (an int, or a uint32 array)."""
+    c = np.asarray(c).astype(np.uint64)
+    out = (((c >> np.uint64(15)) | (c << np.uint64(17))) + np.uint64(0xA282EAD8)) & np.uint64(0xFFFFFFFF)
+    return int(out) if out.ndim == 0 else out.astype("<u4")
 
 
-def _varint(n: int) -> bytes:
-    n &= (1 << 64) - 1
-    out = bytearray()
-    while True:
-        b = n & 0x7F
-        n >>= 7
-        if n:
-            out.append(b | 0x80)
-        else:
-            out.append(b)
-            return bytes(out)
+# Column-wise encoding: all byte strings of a batch are ranges of one pool, put in order by one gather.
 
+def _varints(values: np.ndarray, tag: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all varints in a row, size of each), each behind the byte ``tag`` if given."""
+    v = values.astype(np.int64).view(np.uint64)
+    shifts = np.arange(10, dtype=np.uint64) * np.uint64(7)
+    size = 1 + sum((v >> s != 0).astype(np.int64) for s in shifts[1:])
+    cells = ((v[:, None] >> shifts) & np.uint64(0x7F)).astype(np.uint8)
+    place = np.arange(10)
+    cells |= np.where(place < size[:, None] - 1, 0x80, 0).astype(np.uint8)
+    used = place < size[:, None]
+    if tag is not None:
+        cells = np.concatenate([np.full((len(v), 1), tag, np.uint8), cells], axis=1)
+        used = np.concatenate([np.ones((len(v), 1), bool), used], axis=1)
+    return cells[used], size + (tag is not None)
 
-def _field(num: int, wire: int, payload: bytes) -> bytes:
-    key = _varint((num << 3) | wire)
-    if wire == 2:
-        return key + _varint(len(payload)) + payload
-    return key + payload
 
+class _Weave:
+    """Byte ranges of several pools, laid out in any order."""
 
-def encode_example(example: dict) -> bytes:
-    """Serialize ``{name: (ints, floats)}`` as a ``tf.train.Example`` message."""
-    entries = b""
-    for name, (ints, floats) in sorted(example.items()):
-        if ints:
-            packed = b"".join(_varint(int(v)) for v in ints)
-            feature = _field(3, 2, _field(1, 2, packed))               # Feature.int64_list
-        else:
-            packed = b"".join(struct.pack("<f", float(v)) for v in (floats or []))
-            feature = _field(2, 2, _field(1, 2, packed))               # Feature.float_list
-        entry = _field(1, 2, name.encode("utf-8")) + _field(2, 2, feature)
-        entries += _field(1, 2, entry)                                  # Features.feature map entry
-    return _field(1, 2, entries)                                        # Example.features
+    def __init__(self):
+        self.pools, self.length = [], 0
+
+    def add(self, pool: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Consecutive ranges of the given sizes: (start in all pools, size)."""
+        start = self.length + np.cumsum(size) - size
+        self.pools.append(pool)
+        self.length += len(pool)
+        return start, size
 
+    def lay(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        after = np.cumsum(size)
+        total = int(after[-1]) if len(after) else 0
+        return np.concatenate([*self.pools, np.empty(0, np.uint8)])[np.repeat(start - (after - size), size) + np.arange(total)]
 
-def frame_records(payloads: list[bytes]) -> list[bytes]:
-    """TFRecord framing: length, masked CRC of length, data, masked CRC of data."""
-    lengths = [struct.pack("<Q", len(p)) for p in payloads]
-    return [n + struct.pack("<I", _masked(a)) + p + struct.pack("<I", _masked(b))
-            for n, p, a, b in zip(lengths, payloads, crc32c_many(lengths), crc32c_many(payloads))]
 
+def _list_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(values)])
+    return total[offsets[1:]] - total[offsets[:-1]]
 
-def frame_record(payload: bytes) -> bytes:
-    return frame_records([payload])[0]
+
+def _lists(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets from 0, values) of a list array; a null list is empty, a null value is refused."""
+    if arr.null_count:
+        arr = pc.coalesce(arr, pa.array([[]], arr.type)[0])
+    offsets = arr.offsets.to_numpy()
+    values = arr.flatten()
+    if values.null_count:
+        raise ValueError("a feature holds a null value")
+    return offsets - offsets[0], values.to_numpy()
+
+
+def encode_examples(examples: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Typed maps -> serialized ``tf.train.Example`` messages: (bytes of all in a row, size of each).
+
+    Features stand by name; one with integers is an int64_list, any other a float_list.  A null
+    map is an example without features.
+    """
+    rows = len(examples)
+    examples = examples.take(pa.array(np.arange(rows)))      # a slice becomes an array of its own; a null map has no entries in it
+    offsets = examples.offsets.to_numpy()
+    keys, items = examples.keys, examples.items
+    row = np.repeat(np.arange(rows), np.diff(offsets))
+    names = keys.cast(pa.string()).dictionary_encode()
+    words = names.dictionary.to_pylist()
+    rank = np.argsort(np.argsort(np.array(words, object))) if words else np.empty(0, np.int64)
+    code = names.indices.to_numpy().astype(np.int64)
+    (i_off, ints), (f_off, floats) = (_lists(pc.struct_field(items, i)) for i in (0, 1))
+    w = _Weave()
+    is_int = np.diff(i_off) > 0
+    int_bytes, int_sizes = _varints(ints)
+    int_size, float_size = _list_sums(int_sizes, i_off), 4 * np.diff(f_off)
+    int_start, _ = w.add(int_bytes, int_size)
+    float_start, _ = w.add(np.frombuffer(floats.astype("<f4").tobytes(), np.uint8), float_size)
+    packed = np.where(is_int, int_size, float_size)
+    packed_head, packed_n = _varints(packed, 0x0A)                  # Int64List.value / FloatList.value, packed
+    inner = packed_n + packed
+    int_head, int_n = _varints(inner, 0x1A)                         # Feature.int64_list
+    float_head, float_n = _varints(inner, 0x12)                     # Feature.float_list
+    feature = int_n + inner
+    feature_head, feature_n = _varints(feature, 0x12)               # the map entry's value
+    name_bytes = [b"\x0a" + _varint(len(x.encode())) + x.encode() for x in words]
+    name_start, name_n = w.add(np.frombuffer(b"".join(name_bytes), np.uint8), np.array([len(x) for x in name_bytes], np.int64))
+    entry = name_n[code] + feature_n + feature
+    entry_head, entry_n = _varints(entry, 0x0A)                     # Features.feature
+    total = np.zeros(rows, np.int64)
+    np.add.at(total, row, entry_n + entry)
+    head, head_n = _varints(total, 0x0A)                            # Example.features
+    parts = [w.add(entry_head, entry_n), (name_start[code], name_n[code]), w.add(feature_head, feature_n)]
+    i_head, f_head = w.add(int_head, int_n), w.add(float_head, float_n)
+    parts += [(np.where(is_int, i_head[0], f_head[0]), int_n), w.add(packed_head, packed_n), (np.where(is_int, int_start, float_start), packed)]
+    heads = w.add(head, head_n)
+    # order of all ranges: by row, its head first, then its features by name, each in its parts' order
+    by_name = np.lexsort((rank[code], row))
+    place = np.empty(len(row), np.int64)
+    place[by_name] = np.arange(len(row))
+    start = np.concatenate([heads[0], *[p[0] for p in parts]])
+    size = np.concatenate([heads[1], *[p[1] for p in parts]])
+    of_row = np.concatenate([np.arange(rows), *[row] * 6])
+    within = np.concatenate([np.full(rows, -1), *[6 * place + k for k in range(6)]])
+    order = np.lexsort((within, of_row))
+    return w.lay(start[order], size[order]), head_n + total
+
+
+def frame_records(data: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """TFRecord framing of payloads in a row: length, masked CRC of length, data, masked CRC of data."""
+    n, w = len(size), _Weave()
+    lengths = np.frombuffer(size.astype("<u8").tobytes(), np.uint8)
+    eight, four = np.full(n, 8), np.full(n, 4)
+    crc = lambda bytes_, sizes: np.frombuffer(_masked(_crc32c_ranges(bytes_, np.cumsum(sizes) - sizes, sizes)).tobytes(), np.uint8)
+    parts = [w.add(lengths, eight), w.add(crc(lengths, eight), four), w.add(data, size), w.add(crc(data, size), four)]
+    return w.lay(np.stack([p[0] for p in parts], axis=1).ravel(), np.stack([p[1] for p in parts], axis=1).ravel())
+
+
+def _varint(n: int) -> bytes:
+    return _varints(np.array([n]))[0].tobytes()
 
 
 def qualified_uri(spark, path: str) -> str:
@@ -190,7 +270,7 @@ class _Written(WriterCommitMessage):
     name: str
 
 
-class _TFRecordWriter(DataSourceWriter):
+class _TFRecordWriter(DataSourceArrowWriter):
     """Parts are written to a folder of this job and moved by ``commit`` on the driver."""
 
     def __init__(self, options, overwrite: bool):
@@ -204,9 +284,10 @@ class _TFRecordWriter(DataSourceWriter):
         ctx = TaskContext.get()
         name = f"part-{self.job}-{ctx.partitionId() if ctx else 0:05d}-{uuid.uuid4().hex[:8]}.tfrecord"
         with filesystem.open_output_stream(f"{root}/_job-{self.job}/{name}") as fh:
-            while rows := list(islice(iterator, FRAME_BATCH)):
-                payloads = [encode_example({k: (v["i"], v["f"]) for k, v in (r[self.column] or {}).items()}) for r in rows]
-                fh.write(b"".join(frame_records(payloads)))
+            for batch in iterator:
+                examples = batch.column(batch.schema.get_field_index(self.column))
+                for at in range(0, len(examples), FRAME_BATCH):
+                    fh.write(frame_records(*encode_examples(examples.slice(at, FRAME_BATCH))).tobytes())
         return _Written(name)
 
     def commit(self, messages):
@@ -236,8 +317,124 @@ def pafs_selector(root: str):
     return pafs.FileSelector(root, allow_not_found=True)
 
 
+def _fields(data: bytes, at: int, end: int):
+    """(field, wire type, value or (start, end)) of the protobuf fields in data[at:end]."""
+    def varint(i):
+        n = shift = 0
+        while True:
+            b = data[i]
+            n |= (b & 0x7F) << shift
+            i, shift = i + 1, shift + 7
+            if b < 0x80:
+                return n, i
+    while at < end:
+        key, at = varint(at)
+        if key & 7 == 0:
+            value, at = varint(at)
+        else:
+            n, at = {2: lambda: varint(at), 1: lambda: (8, at), 5: lambda: (4, at)}[key & 7]()
+            value, at = (at, at + n), at + n
+        yield key >> 3, key & 7, value
+
+
+def decode_example(data: bytes) -> list[tuple]:
+    """A serialized ``tf.train.Example`` -> (name, {i, f}) pairs by name.  A list of bytes is refused: the map has no place for one."""
+    out = {}
+    for number, _, features in _fields(data, 0, len(data)):
+        for _, _, entry in _fields(data, *features) if number == 1 else ():
+            name, ints, floats = "", [], []
+            for field, _, value in _fields(data, *entry):
+                if field == 1:
+                    name = data[slice(*value)].decode()
+                    continue
+                for kind, _, span in _fields(data, *value):
+                    if kind == 1:
+                        raise ValueError(f"feature {name!r} is a bytes_list, which an example map does not hold")
+                    for _, wire, v in _fields(data, *span):
+                        if kind == 2:
+                            floats += np.frombuffer(data[slice(*v)], "<f4").tolist()     # packed, or one float
+                        elif wire == 0:
+                            ints.append(v - (1 << 64) if v >> 63 else v)
+                        else:
+                            ints += _packed_ints(data[slice(*v)])
+            out[name] = {"i": ints, "f": floats}
+    return sorted(out.items())
+
+
+def _packed_ints(data: bytes) -> list[int]:
+    out, n, shift = [], 0, 0
+    for b in data:
+        n |= (b & 0x7F) << shift
+        shift += 7
+        if b < 0x80:
+            out.append(n - (1 << 64) if n >> 63 else n)
+            n = shift = 0
+    return out
+
+
+def read_records(fh, name: str):
+    """Payloads of an open TFRecord file, ``FRAME_BATCH`` at a time; a wrong CRC or a cut record raises."""
+    def take(n):
+        got = fh.read(n)
+        if len(got) != n:
+            raise ValueError(f"{name}: the record at byte {at} is cut off")
+        return got
+    at, held, sums, places = 0, [], [], []
+
+    def checked():
+        for crc, want, place in zip(crc32c_many(held), sums, places):
+            if _masked(crc) != want:
+                raise ValueError(f"{name}: wrong CRC of the data of the record at byte {place}")
+        return held
+    while head := fh.read(12):
+        if len(head) != 12 or _masked(crc32c(head[:8])) != struct.unpack("<I", head[8:])[0]:
+            raise ValueError(f"{name}: wrong CRC of the length of the record at byte {at}")
+        body = take(struct.unpack("<Q", head[:8])[0] + 4)
+        held.append(body[:-4])
+        sums.append(struct.unpack("<I", body[-4:])[0])
+        places.append(at)
+        at += 12 + len(body)
+        if len(held) == FRAME_BATCH:
+            yield checked()
+            held, sums, places = [], [], []
+    if held:
+        yield checked()
+
+
+class _File(InputPartition):
+    def __init__(self, uri: str):
+        self.uri = uri
+
+
+class _TFRecordReader(DataSourceReader):
+    """A partition per file: records have no marks at which a file could be entered."""
+
+    def __init__(self, options, schema):
+        self.path, self.schema = options["path"], schema
+
+    def partitions(self):
+        from pyarrow import fs as pafs
+        filesystem, root = _file_system(self.path)
+        info = filesystem.get_file_info(root)
+        files = [root] if info.type == pafs.FileType.File else [
+            f.path for f in filesystem.get_file_info(pafs_selector(root)) if f.base_name.endswith(".tfrecord")]
+        if not files and info.type != pafs.FileType.Directory:
+            raise FileNotFoundError(self.path)
+        head = re.match("^[a-z0-9+.-]+://", self.path)[0]
+        return [_File(f"{head}{f}") for f in sorted(files)] or [_File("")]
+
+    def read(self, partition):
+        if not partition.uri:
+            return
+        filesystem, path = _file_system(partition.uri)
+        kind = pa.map_(pa.string(), pa.struct([("i", pa.list_(pa.int64())), ("f", pa.list_(pa.float32()))]))
+        with filesystem.open_input_stream(path, buffer_size=1 << 20) as fh:
+            for payloads in read_records(fh, partition.uri):
+                yield pa.RecordBatch.from_arrays([pa.array([decode_example(x) for x in payloads], kind)], ["example"])
+
+
 class TFRecordDataSource(DataSource):
-    """``df.write.format("tfrecord").option("path", uri).mode("append").save()``."""
+    """``df.write.format("tfrecord").option("path", uri).mode("append").save()`` and ``spark.read.format("tfrecord").load(uri)``."""
 
     @classmethod
     def name(cls):
@@ -249,6 +446,9 @@ class TFRecordDataSource(DataSource):
     def writer(self, schema, overwrite):
         return _TFRecordWriter(self.options, overwrite)
 
+    def reader(self, schema):
+        return _TFRecordReader(self.options, schema)
+
 
 def write_tfrecords(df: DataFrame, path: str, column: str = "example", mode: str = "append") -> None:
     """S10 sink: one TFRecord file per partition under ``path``.
@@ -263,19 +463,10 @@ def write_tfrecords(df: DataFrame, path: str, column: str = "example", mode: str
      .option("column", column).mode(mode).save())
 
 
-def read_tfrecord_file(path: str):
-    """Read back one TFRecord file (for tests): list of payload bytes, CRCs checked."""
-    out = []
-    with open(path, "rb") as fh:
-        data = fh.read()
-    i = 0
-    while i < len(data):
-        (length,) = struct.unpack_from("<Q", data, i)
-        (lcrc,) = struct.unpack_from("<I", data, i + 8)
-        assert lcrc == _masked(crc32c(data[i:i + 8]))
-        payload = data[i + 12:i + 12 + length]
-        (dcrc,) = struct.unpack_from("<I", data, i + 12 + length)
-        assert dcrc == _masked(crc32c(payload))
-        out.append(payload)
-        i += 16 + length
-    return out
+def read_tfrecords(spark: SparkSession, path: str) -> DataFrame:
+    """S10 source: the typed maps of a TFRecord file, or of all ``.tfrecord`` files of a folder, a task per file.
+
+    Every CRC is checked; a wrong one, a cut record and a list of bytes end the job.
+    """
+    spark.dataSource.register(TFRecordDataSource)
+    return spark.read.format("tfrecord").load(qualified_uri(spark, path))

@@ -7,14 +7,15 @@ columns read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import is_numeric
 
 
-def range_scan_sum(df: DataFrame, key_col: str, start: str, stop: str, value_col: str,
+def range_scan_sum(df: DataFrame, key_col: str, start, stop, value_col: str,
                    name: str = "total") -> DataFrame:
-    """Rows with ``start <= key < stop``; all-digit values summed as long."""
-    rows = df.select(key_col, value_col).where((F.col(key_col) >= F.lit(start)) & (F.col(key_col) < F.lit(stop)))
+    """Rows with ``start <= key < stop`` (values, or constant Columns of the key's type); all-digit values summed as long."""
+    low, high = (x if isinstance(x, Column) else F.lit(x) for x in (start, stop))
+    rows = df.select(key_col, value_col).where((F.col(key_col) >= low) & (F.col(key_col) < high))
     return rows.where(is_numeric(value_col)).agg(F.sum(F.col(value_col).cast("long")).alias(name))

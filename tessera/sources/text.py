@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import is_numeric, java_split
+from tessera.functions.columns import has_error, is_numeric, java_split
 
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
@@ -67,11 +67,36 @@ def read_similarity(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def scan_whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file ``(filename, content)``."""
+    """One row per file ``(filename, content)``; a file must fit in a row (see ``scan_lines``)."""
     return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("filename"), F.col("value").alias("content")))
 
 
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S4 for files of any size: ``(filename, block, line)``, a row per line.
+
+    Spark reads a file in byte ranges, a task each (``spark.sql.files.maxPartitionBytes``); a range that
+    begins inside a line leaves it to the range before, which reads on to the line's end, so a
+    line cut by a border is whole, once.  ``block`` is the range's first byte.
+    """
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("filename"),
+                                        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+
+
+def error_files(lines: DataFrame, name: str = "filename", line: str = "line") -> DataFrame:
+    """F18 from lines: the names of the files that ``error_filter`` keeps.
+
+    The words it looks for and the one it removes have no line end in them, so a file has an
+    error exactly if one of its lines has; a file is at most one row per task before the shuffle.
+    """
+    return lines.where(has_error(line)).select(name).distinct()
+
+
+def error_report_lines(lines: DataFrame, name: str = "filename", line: str = "line") -> DataFrame:
+    """F18's report in lines: all lines of the files with an error, in as many tasks as read them."""
+    return lines.join(error_files(lines, name, line), name, "left_semi")
+
+
 def write_text(df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
     """Write one string column as text files.
 

@@ -83,3 +83,15 @@ def test_error_filter(spark):
                                 ("d", "java.io.IOException")], "f string, c string")
     out = sorted(r.report for r in C.error_filter(df, "f", "c").collect())
     assert out == ["c:\nsome Error here", "d:\njava.io.IOException"]
+
+
+def test_json_typed_rows(spark):
+    from tessera.functions import jsonfn as J
+    rows = [(1, '[{"a":1,"b":"x"},{"b":"x","a":1.0},{"a":"1"},{"a":1e0,"b":"x"},{"n":null,"t":true,"l":[1,{"z":2}],"o":{"k":"v"}},5,"s",null,[],{}]'),
+            (2, '{"a":1}'), (3, "bad ["), (4, None), (5, "[]"), (6, '[{"big":12345678901234567890.5,"neg":-0.0}]')]
+    df = spark.createDataFrame(rows, "id int, j string")
+    got = J.json_typed_rows(df.withColumn("key", F.lit("clash")), "j", "id").collect()
+    want = [(1, "a", "number", 1.0, None, None), (1, "b", "string", None, None, "x"), (1, "a", "string", None, None, "1"),
+            (1, "n", "null", None, None, None), (1, "t", "boolean", None, True, None), (1, "l", "array", None, None, '[1,{"z":2}]'),
+            (1, "o", "object", None, None, '{"k":"v"}'), (6, "big", "number", 12345678901234567890.5, None, None), (6, "neg", "number", 0.0, None, None)]
+    assert sorted(((r.access_time, r.key, r.kind, r.number, r.flag, r.text) for r in got), key=str) == sorted(want, key=str)

@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_SMALL
+
 from tessera.operators import aggregates as A
 from tessera.operators import features as X
 from tessera.operators import graph as G
@@ -138,7 +140,7 @@ def test_find_splits_golden(spark):
 
 def test_assign_upper_rule(spark):
     df = spark.createDataFrame([(v,) for v in [-5.0, 1.0, 1.5, 2.0, 3.0, 9.0]], "v double")
-    got = [r.u for r in df.select(X.assign_upper("v", [1.0, 2.0, 3.0]).alias("u")).collect()]
+    got = [r.u for r in X.assign_upper(df, {"v": [1.0, 2.0, 3.0]}, {"v": "u"}).collect()]
     assert got == [1.0, 2.0, 2.0, 3.0, 3.0, 3.0]
 
 
@@ -262,7 +264,87 @@ def test_assign_upper_searches_like_a_scan(spark):
     splits = sorted(rnd.sample(range(100000), 5000))
     vals = [rnd.uniform(-10, 100010) for _ in range(500)] + [float(s) for s in splits[:50]] + [None]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = [r.u for r in df.select(X.assign_upper("v", splits).alias("u")).collect()]
+    got = [r.u for r in X.assign_upper(df, {"v": splits}, {"v": "u"}).collect()]
     want = [None if v is None else float(next((s for s in splits if s > v), splits[-1])) for v in vals]
     assert got == want
-    assert df.select(X.assign_upper("v", []).alias("u")).where("u is not null").count() == 0
+    assert X.assign_upper(df, {"v": []}, {"v": "u"}).where("u is not null").count() == 0
+
+
+def test_assign_upper_of_several_columns_with_odd_names_and_values(spark):
+    df = spark.createDataFrame([(1.0, 5, "x"), (None, None, "y"), (float("nan"), 7, "z"), (-1e300, 1, None)], "`a.b` double, `c d` int, s string")
+    got = X.assign_upper(df, {"a.b": [0.0, 1.0, 2.0], "c d": [5.0]})
+    assert got.columns == ["a.b", "c d", "s"]
+    assert [tuple(r) for r in got.collect()] == [(2.0, 5.0, "x"), (None, None, "y"), (2.0, 5.0, "z"), (0.0, 5.0, None)]
+
+
+def test_sketch_splits_are_within_the_stated_rank_error(spark):
+    """Whole line items at sf0.1, sketches per return flag merged, against exact ranks."""
+    li = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    cols, bins, k = ["l_extendedprice", "l_orderkey"], 32, 512
+    sketches = X.sketch_columns(li, cols, by=["l_returnflag"], k=k)
+    assert sketches.count() == 6
+    plan = sketches._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and plan.count("Exchange") == 1              # one pass: partial aggregates only
+    n, worst = li.count(), 0
+    for r in X.splits_from_sketches(sketches, bins).collect():
+        assert r.n == n and len(r.splits) == bins and r.splits == sorted(set(r.splits))
+        ranks = li.agg(*[F.sum(F.when(F.col(r.column) <= s, 1).otherwise(0)).alias(f"r{i}") for i, s in enumerate(r.splits)]).collect()[0]
+        worst = max([worst, *[abs(ranks[i] / n - (i + 1) / (bins + 1)) for i in range(bins)]])
+    assert worst <= 2 * X.sketch_rank_error(k) < 0.011
+
+
+def test_sketch_splits_of_few_values_nulls_and_empty_columns(spark):
+    df = spark.createDataFrame([(float(i % 4), None if i % 2 else 1.0, None) for i in range(400)], "a double, b double, c double")
+    got = {r.column: (r.n, r.splits) for r in X.splits_from_sketches(X.sketch_columns(df, ["a", "b", "c"]), 16).collect()}
+    assert got == {"a": (400, [0.0, 1.0, 2.0, 3.0]), "b": (200, [1.0])}
+    d = X.discretize(df.select("a", "b"), 16, sketch_k=256)
+    assert {tuple(r) for r in d.collect()} == {(1.0, 1.0), (2.0, None), (3.0, 1.0), (3.0, None)}
+
+
+def brute_sgd(rows, steps, step=1.0, reg=0.01, tolerance=0.001, sample=None):
+    import math
+    w, t = [0.0] * (len(rows[0]) - 1), 0
+    for t in range(1, steps + 1):
+        grad, n = [0.0] * len(w), 0
+        for k, (*x, label) in enumerate(rows):
+            if sample and not sample(k, t):
+                continue
+            n, y = n + 1, 2 * label - 1
+            if y * sum(a * b for a, b in zip(w, x)) < 1:
+                grad = [g - y * v for g, v in zip(grad, x)]
+        if not n:
+            continue
+        s = step / math.sqrt(t)
+        new = [a * (1 - s * reg) - s * g / n for a, g in zip(w, grad)]
+        moved = math.sqrt(sum((a - b) ** 2 for a, b in zip(new, w)))
+        w = new
+        if t > 1 and moved < tolerance * max(1.0, math.sqrt(sum(a * a for a in w))):
+            return w, t, True
+    return w, t, False
+
+
+def test_sgd_weights_equal_a_plain_loop(spark):
+    import hashlib
+    from tessera.operators import models as L
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        (F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("d"), (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"))
+    rows = [tuple(r) for r in li.collect()]
+    model = L.train_svm_sgd(li, ["q", "d"], iterations=25)
+    w, steps, settled = brute_sgd([r[:3] for r in rows], 25)
+    assert (model.steps, model.settled) == (steps, settled) and max(abs(a - b) for a, b in zip(model.weights, w)) < 1e-9
+    part = L.train_svm_sgd(li, ["q", "d"], iterations=8, fraction=0.3, key="id", tolerance=0.0)
+    unit = lambda k, t: int(hashlib.md5(f"{rows[k][3]}-{t}".encode()).hexdigest()[:8], 16) / 2 ** 32 < 0.3
+    w, steps, settled = brute_sgd([r[:3] for r in rows], 8, tolerance=0.0, sample=unit)
+    assert part.steps == steps == 8 and max(abs(a - b) for a, b in zip(part.weights, w)) < 1e-9
+
+
+def test_sgd_separates_and_settles_and_skips_odd_rows(spark):
+    from tessera.operators import models as L
+    rows = [(1.0 + i % 3, 1.0, 1) for i in range(50)] + [(-1.0 - i % 3, 1.0, 0) for i in range(50)] + [(None, 1.0, 1), (float("nan"), 1.0, 1), (1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "x double, one double, label int")
+    model = L.train_svm_sgd(df, ["x", "one"], tolerance=0.05)
+    assert model.settled and model.steps < 100 and model.weights[0] > 0.3
+    scored = df.where("label is not null and x = x").select("label", model.margin().alias("score"))
+    assert L.auc_roc(scored).collect()[0].auc == 1.0
+    assert L.train_svm_sgd(df.limit(0), ["x"], iterations=3).weights == (0.0,)

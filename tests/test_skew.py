@@ -125,3 +125,21 @@ def test_views_with_hot_order_and_customer(spark, scratch):
                    .groupBy(F.col("a.item").alias("item_i"), F.col("b.item").alias("item_j"))
                    .agg(F.sum(F.least("a.rating", "b.rating")).alias("rating"), F.count(F.lit(1)).alias("n_ij")))
     assert as_set(V.pair_events(spark, sf)) == as_set(plain_pairs)
+
+
+def test_heavy_hitters_miss_no_key_above_the_share(spark):
+    """Keys just above and just below one row in 50 among very many rare ones, some keys null, in odd partitions."""
+    share, total = 50, 60_000
+    want, rows = {}, []
+    for i, n in enumerate([total // share + 1, total // share + 2, total // share, total // share - 1, 5000]):
+        rows += [(None if i == 4 else f"k{i}", i % 2)] * n
+        if n * share > total:
+            want[(None if i == 4 else f"k{i}", i % 2)] = n
+    rows += [(f"rare{j}", 0) for j in range(total - len(rows))]
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "k string, b int").repartition(parts)
+        assert {(r.k, r.b): r.n for r in S.heavy_hitters(df, ["k", "b"], share).collect()} == {k: n for k, n in want.items()}
+        assert df.count() == total
+    assert S.heavy_hitters(spark.createDataFrame([], "k string, b int"), "k", 10).count() == 0
+    plan = S.heavy_hitters(df, "k", share)._jdf.queryExecution().executedPlan().toString()
+    assert "Sample" not in plan
