@@ -1,24 +1,23 @@
-"""Operator 3: line dedup by grouping all windows of line hashes, DataFrame functions only.
+"""Operator 3: line dedup by winnowing over line hashes, DataFrame functions only.
 
 * Lines are the pieces of a text between line feeds; each is a pair of 64-bit
-  hashes.  The windows that start at a line are the stretches of at most
-  ``MIN_LINES`` lines that have that many lines or at least ``MIN_WORDS`` words (a
-  text too short for either is one window).  Content alone makes a stretch a
-  window, so equal stretches have equal windows wherever they stand.
-* Every window of every line is kept and grouped by two hashes of its whole
-  content; later occurrences meet the first one only.  This is no winnowing: a
-  sparse choice of least hashes joined on the line hash meets the first text that
-  has that line, which need not be the one that has the passage.
-* A repeated run of ``MIN_LINES`` lines or more is the union of its windows of
-  that many lines, and a shorter one with ``MIN_WORDS`` words is a window itself,
-  so the union of the matches is the whole run, whichever earlier text has it.
-  With ``whole_runs=False`` a line starts its shortest window only, and up to
-  ``MIN_LINES - 1`` last lines of a run with long lines stay.
+  hashes.  A window is a stretch of ``MIN_LINES`` lines, or of fewer that have
+  ``MIN_WORDS`` words (a text too short for either is one window).
+* Every window selects its fingerprint: the rightmost line with the least hash.  Equal
+  stretches select the same line wherever they stand, so every repeated stretch has a
+  fingerprint at two positions or more.  Windows whose fingerprint stands at one position only
+  are done with after one partial aggregate of (hash, position).
+* Positions of the remaining windows are joined to the first one with the same fingerprint and the
+  same window content.  The content is in the key because the first text that has a *line* need not be the
+  one that has the passage; with it a passage meets a text that has it, whichever that is.
+* Matches on one diagonal (later text, first text, distance) are extended both ways: the windows before and
+  after a match are matched too as long as the lines agree, so neighbouring and overlapping matches grow into
+  one run, up to the line that differs, or from which on an even earlier text has the rest.
 * Lines in a run that stands earlier (smaller doc_id, then earlier row, then
-  earlier line) are deleted.
+  earlier line) are deleted: all lines of every repeated run of ``MIN_LINES`` lines or ``MIN_WORDS`` words.
 
 Only hashes are joined; a hot passage is one row per task after the partial
-aggregate, and its occurrences meet one row each.
+aggregate, and its occurrences meet one row each.  A diagonal has at most the lines of one text.
 
 Defined cases: null text stays null, an empty text is one empty line.  A null
 doc_id comes after all others.  Repeated rows count as later copies of the
@@ -44,8 +43,8 @@ def _lines(docs: DataFrame) -> DataFrame:
                         F.regexp_count("line", F.lit(blank)).alias("words"))
 
 
-def windows(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, whole_runs: bool = True) -> DataFrame:
-    """rid, doc_id, pos, size (lines), k1, k2 (content)."""
+def windows(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """rid, doc_id, pos, size (lines), k1, k2 (content), fp and at (least line hash and its rightmost position)."""
     w = Window.partitionBy("rid").orderBy("pos")
     nxt = [F.struct(*[F.lead(c, i).over(w).alias(c) for c in ("h1", "h2", "words")]) if i else
            F.struct("h1", "h2", "words") for i in range(min_lines)]
@@ -59,33 +58,51 @@ def windows(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_W
         sizes.append(F.when(full & (have > i), F.lit(i + 1)))
     # the whole of a short text
     short = F.when(F.col("pos") == 0, F.col("n").cast("int"))
-    if whole_runs:
-        fit = F.array_compact(F.array(*sizes))
-        rows = rows.withColumn("size", F.explode(F.when(F.size(fit) > 0, fit).otherwise(F.array_compact(F.array(short)))))
-    else:
-        rows = rows.withColumn("size", F.coalesce(*sizes, short)).where("size is not null")
-    keys = [F.xxhash64("size", *[F.when(F.col("size") > i, F.col(f"l{i}.{h}")) for i in range(min_lines)]) for h in ("h1", "h2")]
-    return rows.select("rid", "doc_id", "pos", "size", keys[0].alias("k1"), keys[1].alias("k2"))
-
-
-def repeated_lines(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, whole_runs: bool = True) -> DataFrame:
+    fit = F.array_compact(F.array(*sizes))
+    rows = rows.withColumn("size", F.explode(F.when(F.size(fit) > 0, fit).otherwise(F.array_compact(F.array(short)))))
+    held = [[F.when(F.col("size") > i, F.col(f"l{i}.{h}")) for i in range(min_lines)] for h in ("h1", "h2")]
+    rows = rows.withColumn("fp", F.least(*held[0]) if min_lines > 1 else F.col("l0.h1"))
+    at = F.coalesce(*[F.when((F.col("size") > i) & (F.col(f"l{i}.h1") == F.col("fp")), F.col("pos") + i) for i in reversed(range(min_lines))])
+    return rows.select("rid", "doc_id", "pos", "size", F.xxhash64("size", *held[0]).alias("k1"), F.xxhash64("size", *held[1]).alias("k2"),
+                       "fp", at.alias("at"))
+
+
+def matches(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """(rid, pos, size, at, first): windows that stand earlier, with the place of their first occurrence."""
+    wins = materialize(windows(lines, min_lines, min_words), "windows")
+    spot = F.struct("rid", "at")
+    twice = wins.groupBy("fp").agg(F.min(spot).alias("a"), F.max(spot).alias("z")).where("a <> z").select("fp")
+    held = wins.join(twice, "fp", "left_semi")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "pos", "at")
+    first = held.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    return (held.join(first, ["k1", "k2"]).where((F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
+            .select("rid", "pos", "size", "at", "first"))
+
+
+def runs(found: DataFrame) -> DataFrame:
+    """(rid, start, stop): matches of one diagonal grown together while they touch or overlap."""
+    line = found.select("rid", "pos", (F.col("pos") + F.col("size")).alias("stop"), F.col("first.rid").alias("src"),
+                        (F.col("first.at") - F.col("at")).alias("off"))
+    w = Window.partitionBy("rid", "src", "off").orderBy("pos", "stop")
+    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(reach.isNull() | (F.col("pos") > reach), 1).otherwise(0)
+    run = F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (line.withColumn("opens", opens).withColumn("run", run).groupBy("rid", "src", "off", "run")
+            .agg(F.min("pos").alias("start"), F.max("stop").alias("stop")).select("rid", "start", "stop"))
+
+
+def repeated_lines(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """rid, pos of every line to delete."""
-    wins = materialize(windows(lines, min_lines, min_words, whole_runs), "windows")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "pos")
-    first = (wins.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").drop("n"))
-    later = (wins.join(first, ["k1", "k2"])
-             .where((F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos"))))
-    return (later.select("rid", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("pos"))
-            .distinct())
+    return (runs(matches(lines, min_lines, min_words))
+            .select("rid", F.explode(F.sequence("start", F.col("stop") - 1)).alias("pos")).distinct())
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, whole_runs: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the text that stays, and the counts ``lines`` and ``deleted`` (replacing columns of these names)."""
     rid, mask = fresh(docs, "rid"), fresh(docs, "mask")
     docs = docs.drop("lines", "deleted").withColumn(rid, F.monotonically_increasing_id())
     lines = materialize(_lines(docs.select(F.col(rid).alias("rid"), "doc_id", "text")), "lines")
-    gone = materialize(repeated_lines(lines, min_lines, min_words, whole_runs), "repeated")
+    gone = materialize(repeated_lines(lines, min_lines, min_words), "repeated")
     # one mask per text that loses lines: as long as its lines, so the text is filtered in one pass
     hit = lines.join(gone.select("rid").distinct(), "rid", "left_semi").select("rid", "pos")
     marks = hit.join(gone.withColumn("gone", F.lit(True)), ["rid", "pos"], "left").groupBy("rid").agg(
@@ -102,7 +119,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
                              F.size(F.filter(F.col(mask), lambda x: x))).cast("long").alias("deleted"))
 
 
-def line_report(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, whole_runs: bool = True) -> DataFrame:
+def line_report(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: doc_id, lines, deleted, kept_sha256 (of the text that stays, null text as empty)."""
-    return dedup_lines(docs.select("doc_id", "text"), min_lines, min_words, whole_runs).select(
+    return dedup_lines(docs.select("doc_id", "text"), min_lines, min_words).select(
         "doc_id", "lines", "deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

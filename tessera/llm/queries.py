@@ -52,7 +52,8 @@ WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents)
 x AS (SELECT doc_id, l, len(l) AS n, unnest(range(1, len(l) + 1)) AS i FROM d WHERE text IS NOT NULL),
 c AS (SELECT *, len(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS c1,
              len(regexp_extract_all(coalesce(l[i + 1], ''), '[^\x20\x09-\x0D]+')) AS c2 FROM x),
-w AS (SELECT doc_id, l, i, CASE WHEN c1 >= 50 THEN 1 WHEN i + 1 <= n AND c1 + c2 >= 50 THEN 2 WHEN i + 2 <= n THEN 3 WHEN i = 1 THEN n END AS sz FROM c),
+z AS (SELECT *, list_filter([CASE WHEN c1 >= 50 THEN 1 END, CASE WHEN i + 1 <= n AND c1 + c2 >= 50 THEN 2 END, CASE WHEN i + 2 <= n THEN 3 END], lambda x: x IS NOT NULL) AS z FROM c),
+w AS (SELECT doc_id, l, i, unnest(CASE WHEN len(z) > 0 THEN z WHEN i = 1 THEN [n] ELSE [] END) AS sz FROM z),
 r AS (SELECT doc_id, i, sz, row_number() OVER (PARTITION BY l[i:i + sz - 1] ORDER BY doc_id, i) AS rn FROM w WHERE sz IS NOT NULL),
 g AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + sz)) AS j FROM r WHERE rn > 1) GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS deleted,
@@ -64,8 +65,7 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 
 @query("op3_line_dedup", OP3_SQL)
 def op3(spark, sf_dir):
-    # OP3_SQL has only the shortest window at each line, so it keeps the last lines of some runs
-    return line_dedup.line_report(table(spark, sf_dir, "documents"), whole_runs=False)
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
 OP4_SQL = """
