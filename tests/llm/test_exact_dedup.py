@@ -34,19 +34,39 @@ def test_report_equals_brute_force(spark, docs):
 
 def test_directory_splits_until_buckets_fit(spark):
     hashes = spark.range(3000).select(F.xxhash64("id").alias("h"))
-    same_prefix = spark.range(300).select((F.col("id") + 5).alias("h"))  # all in slot 0: cannot be split further
-    slots = exact_dedup.directory(hashes.union(same_prefix), capacity=40).collect()
-    buckets = {r.bucket for r in slots}
-    assert not any(a != b and b.startswith(a) for a in buckets for b in buckets)
-    assert len(slots) == len({r.slot for r in slots})
-    held = {}
-    for r in hashes.union(same_prefix).collect():
-        slot = (r.h % (1 << 64)) >> (64 - exact_dedup.MAX_DEPTH)
-        b = next(s.bucket for s in slots if s.slot == slot)
-        held[b] = held.get(b, 0) + 1
-    assert all(n <= 40 or len(b) == exact_dedup.MAX_DEPTH for b, n in held.items())
-    for cap in (1, 7, 10_000):
-        assert exact_dedup.directory(hashes, capacity=cap).count() > 0
+    alike = spark.range(300).select((F.col("id") + 5).alias("h"))       # 55 leading bits in common
+    both = hashes.union(alike).persist()
+    for rows, cap in ((hashes, 40), (both, 40), (hashes, 1), (both, 7), (hashes, 10_000)):
+        slots, depth = exact_dedup.directory(rows, capacity=cap)
+        slots = {r.slot: r.bucket for r in slots.collect()}
+        buckets = set(slots.values())
+        assert not any(a != b and b.startswith(a) for a in buckets for b in buckets)
+        held = {}
+        for r in rows.collect():
+            slot = f"{r.h % (1 << 64):064b}"[:depth]
+            held[slots[slot]] = held.get(slots[slot], 0) + 1
+        assert max(held.values()) <= cap and set(held) == buckets
+        assert depth > 50 if rows is both else depth < 40
+
+
+def test_no_directory_no_result(spark, docs, monkeypatch):
+    """The buckets are on the path: without slots nothing is found."""
+    real = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda h, c: (real(h, c)[0].where("false"), real(h, c)[1]))
+    assert exact_dedup.exact_dedup_report(docs(ROWS)).count() == 0
+
+
+def test_texts_of_one_hash_are_chained_by_their_bytes(spark, docs):
+    """Every text, or texts of one length, under one forced hash."""
+    for forced in (lambda c: F.lit(5).cast("long") + F.length(c) * 0, lambda c: F.length(c).cast("long")):
+        got = exact_dedup.exact_dedup_report(docs(ROWS), hash_of=forced).collect()
+        assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=repr) == brute(ROWS)
+        _, index = exact_dedup.build_index(docs(ROWS), hash_of=forced)
+        chains = {}
+        for r in index.collect():
+            chains.setdefault(r.h, []).append(r.chain)
+        assert all(sorted(c) == list(range(1, len(c) + 1)) for c in chains.values()) and max(map(len, chains.values())) > 1
+        assert exact_dedup.exact_dedup(docs(ROWS), hash_of=forced).count() == len({lower(t) for _, t in ROWS})
 
 
 def test_small_buckets_give_the_same_result_and_stage_keeps_columns(spark, docs):
