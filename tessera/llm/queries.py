@@ -145,7 +145,7 @@ def op9(spark, sf_dir):
 def _op10_sql(rounds: int) -> str:
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
     step = """,
-s{i} AS (SELECT host, kind, sum(mass) AS mass FROM (
+s{i} AS MATERIALIZED (SELECT host, kind, sum(mass) AS mass FROM (
   SELECT * FROM s0 UNION ALL
   SELECT f.dst, f.kind, s.mass * f.part FROM s{j} s JOIN f ON s.host = f.src AND s.kind = f.kind) GROUP BY host, kind)"""
     return """
@@ -159,7 +159,7 @@ j AS (SELECT h.*, rule, v FROM h LEFT JOIN m ON h.n = m.n AND rn = 1),
 l AS (SELECT host AS src, unnest(regexp_extract_all(html, '""" + url_filter.LINK.replace("'", "''") + """', 1)) AS link FROM j),
 e AS (SELECT src, dst, count(*) AS links FROM (SELECT src, """ + low("regexp_extract(link, '//([^/?#]*)', 1)") + """ AS dst FROM l)
       WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
-f AS (SELECT src, dst, 0 AS kind, links * 0.85 / sum(links) OVER (PARTITION BY src) AS part FROM e UNION ALL
+f AS MATERIALIZED (SELECT src, dst, 0 AS kind, links * 0.85 / sum(links) OVER (PARTITION BY src) AS part FROM e UNION ALL
       SELECT dst, src, 1, links * 0.85 / sum(links) OVER (PARTITION BY dst) FROM e),
 s0 AS (SELECT host, CASE WHEN v = 'allow' THEN 0 ELSE 1 END AS kind, CAST(count(*) AS DOUBLE) * 0.15 AS mass
        FROM j WHERE v IS NOT NULL AND host <> '' GROUP BY ALL)""" + "".join(step.format(i=i, j=i - 1) for i in range(1, rounds + 1)) + """,

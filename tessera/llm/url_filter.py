@@ -9,12 +9,15 @@
 * Personalised PageRank: trust flows along the links, distrust against them
   (who links to bad hosts is suspect), each with ``DAMPING``; one join and one
   aggregate a round, cut into a table in the shared folder every ``CUT_EVERY`` rounds.
+* A mass is a mantissa and a power of two, so however thin it gets on long ways through
+  hosts with many links, it is no zero.  As long as all masses are above 2^``LEAST`` they are summed as plain
+  doubles; below, as partial sums per host and span of ``SPAN`` powers (a hot host is a row per task
+  and span), of which the two highest are the host's mass.
 * Rounds go on until no host's mass grew by more than ``SETTLED`` of itself in the
   last one.  A host that is reached for the first time grew by all of its mass,
   so every host that trust or distrust can reach has it, however far away; the
-  largest such share never rises from one round to the next.  A graph that has
-  not settled after ``MAX_ROUNDS``, or masses too small for a double, stop the
-  job with an error.
+  largest such share never rises from one round to the next.  That takes at most as many rounds as there are
+  hosts to reach the last of them, and then some 160 for the damping to make all growth small.
 * A host is blocked if its distrust exceeds ``THRESHOLD`` times its trust; a host
   that nothing reaches is allowed.
 
@@ -35,10 +38,10 @@ from tessera.llm.shared import drop_table, materialize
 #: (verdict, host, path): fixed values of the job.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-ROUNDS = 10  # of the SQL, which cannot iterate
-MAX_ROUNDS = 5000
+ROUNDS = 200  # of the SQL, which does not stop by itself: damping leaves less than SETTLED after 160
 SETTLED = 1e-11
-TINY = 1e-290
+SPAN = 512
+LEAST = -900
 CUT_EVERY = 5
 DAMPING = 0.85
 THRESHOLD = 1.0 + 1e-9
@@ -83,15 +86,40 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links")))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int | None = None, damping: float = DAMPING,
-              bound: int = MAX_ROUNDS) -> DataFrame:
-    """seeds(host, kind, mass), edges(src, dst, links) -> host, kind, mass; kind 0 trust, 1 distrust.
+def _scaled(m: Column, by: Column) -> Column:
+    """m * 2^by, where by is kept in the range of a double (beyond it the rest is nothing, or everything)."""
+    return m * F.pow(F.lit(2.0), F.greatest(F.least(by, F.lit(1000)), F.lit(-1000)).cast("double"))
 
-    ``rounds`` None: until the masses have settled, at most ``bound`` rounds.
+
+def _normal(df: DataFrame, x: Column, e: Column, *keep: Column | str) -> DataFrame:
+    """x * 2^e -> columns m (about 1 to 2) and e."""
+    up = F.floor(F.log2("_x")).cast("long")
+    wide = df.select(*keep, x.alias("_x"), e.cast("long").alias("_e"))
+    return wide.select(*wide.columns[:-2], _scaled(F.col("_x"), -up).alias("m"), (F.col("_e") + up).alias("e"))
+
+
+def _summed(rows: DataFrame, thin: bool) -> DataFrame:
+    """Rows host, kind, m, e -> one per host and kind.  Not ``thin``: all masses are well inside a double's range."""
+    if not thin:
+        plain = rows.groupBy("host", "kind").agg(F.sum(_scaled(F.col("m"), F.col("e"))).alias("m"))
+        return plain.withColumn("e", F.lit(0).cast("long"))
+    span = F.floor(F.col("e") / SPAN)
+    parts = (rows.select("host", "kind", span.alias("span"), _scaled(F.col("m"), F.col("e") - span * SPAN).alias("x"))
+             .groupBy("host", "kind", "span").agg(F.sum("x").alias("x")))
+    top = parts.groupBy("host", "kind").agg(F.sort_array(F.collect_list(F.struct("span", "x")), asc=False).alias("s"))   # one per span
+    next_ = F.when(F.try_element_at("s", F.lit(2))["span"] == F.col("s")[0]["span"] - 1, F.try_element_at("s", F.lit(2))["x"]).otherwise(0.0)
+    total = F.col("s")[0]["x"] + next_ * F.lit(2.0 ** -SPAN)
+    return _normal(top, total, F.col("s")[0]["span"] * SPAN, "host", "kind")
+
+
+def propagate(seeds: DataFrame, edges: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
+    """seeds(host, kind, mass), edges(src, dst, links) -> host, kind, m, e (mass m * 2^e); kind 0 trust, 1 distrust.
+
+    ``rounds`` None: until the masses have settled.
     """
     edges = materialize(edges, "host-edges")
     seeds = materialize(seeds, "seeds")
-    base = seeds.select("host", "kind", (F.col("mass") * (1 - damping)).alias("mass"))
+    base = _normal(seeds, F.col("mass") * (1 - damping), F.lit(0), "host", "kind")
     if edges.isEmpty():
         return base
 
@@ -100,44 +128,46 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int | None = None, dam
         return edges.join(out, a).select(F.col(a).alias("host"), F.lit(kind).alias("kind"), F.col(b).alias("to"),
                                          (F.col("links") * damping / F.col("all")).alias("part"))
     flows = materialize(flow("src", "dst", 0).unionByName(flow("dst", "src", 1)), "flows")
-    state, old = base, None
-    for i in range(1, (bound if rounds is None else rounds) + 1):
-        moved = state.join(flows, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("mass") * F.col("part")).alias("mass"))
-        now = base.unionByName(moved)
-        cut = i % CUT_EVERY == 0 or i == (bound if rounds is None else rounds)
-        if cut:  # with the mass of the round before
-            now = now.withColumn("was", F.lit(0.0)).unionByName(
-                state.select("host", "kind", F.lit(0.0).alias("mass"), F.col("mass").alias("was")))
-        state = now.groupBy("host", "kind").agg(*[F.sum(c).alias(c) for c in now.columns if c not in ("host", "kind")])
-        if cut:
-            table = materialize(state, "trust")
+    step = flows.agg(F.min(F.log2("part"))).first()[0]                       # powers of two that one round may take away
+    least = base.agg(F.min(F.log2("m") + F.col("e"))).first()[0] or 0.0
+    state, old, i = base, None, 0
+    while rounds is None or i < rounds:
+        thin = least + CUT_EVERY * step < LEAST
+        i += 1
+        before = state
+        moved = state.join(flows, ["host", "kind"])
+        x, to = F.col("m") * F.col("part"), F.col("to").alias("host")
+        moved = _normal(moved, x, F.col("e"), to, "kind") if thin else moved.select(to, "kind", x.alias("m"), "e")
+        state = _summed(base.unionByName(moved), thin)
+        if i % CUT_EVERY == 0 or i == rounds:
+            last = before.select("host", "kind", F.col("m").alias("wm"), F.col("e").alias("we"))
+            table = materialize(state.join(last, ["host", "kind"], "left"), "trust")
             if old is not None:
                 drop_table(old)
-            state, old = table.drop("was"), table
-            if rounds is None and _settled(table):
+            state, old = table.drop("wm", "we"), table
+            grew, least = _grown(table)
+            if rounds is None and grew <= SETTLED:
                 return state
-    if rounds is None:
-        raise RuntimeError(f"trust and distrust have not settled after {bound} rounds")
     return state
 
 
-def _settled(state: DataFrame) -> bool:
-    """state(host, kind, mass, was): whether the last round changed no mass by more than ``SETTLED`` of itself."""
-    got = state.agg(F.min("mass").alias("least"), F.max((F.col("mass") - F.col("was")) / F.greatest("mass", F.lit(TINY))).alias("grew")).first()
-    if got.least is not None and got.least < TINY:
-        raise ArithmeticError("trust or distrust of a host is too small for a double")
-    return got.grew is None or got.grew <= SETTLED
+def _grown(state: DataFrame) -> tuple[float, float]:
+    """state(host, kind, m, e, wm, we) -> the largest share of itself by which a mass grew in the last round, and the least mass's power of two."""
+    was = F.coalesce(_scaled(F.col("wm") / F.col("m"), F.col("we") - F.col("e")), F.lit(0.0))
+    got = state.agg(F.max(1 - was), F.min(F.log2("m") + F.col("e"))).first()
+    return got[0] or 0.0, got[1] or 0.0
 
 
-def host_verdicts(pages: DataFrame, judged: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
-    """host, trust, distrust, blocked for every host that trust or distrust reaches (in ``rounds``; None: in the end)."""
+def host_verdicts(pages: DataFrame, judged: DataFrame, rounds: int | None = None) -> DataFrame:
+    """host, blocked for every host that trust or distrust reaches (in ``rounds``; None: in the end)."""
     kind = F.when(F.col("by_rule") == "allow", 0).when(F.col("by_rule") == "block", 1)
     seeds = (judged.where("by_rule is not null and host <> ''").groupBy("host", kind.alias("kind"))
              .agg(F.count(F.lit(1)).cast("double").alias("mass")))
     mass = propagate(seeds, host_edges(pages), rounds)
-    side = lambda k: F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0))
-    return (mass.groupBy("host").agg(side(0).alias("trust"), side(1).alias("distrust"))
-            .withColumn("blocked", F.col("distrust") > F.col("trust") * THRESHOLD))
+    side = lambda k, c: F.max(F.when(F.col("kind") == k, F.col(c)))  # noqa: E731 - one row per host and kind
+    both = mass.groupBy("host").agg(side(0, "m").alias("tm"), side(0, "e").alias("te"), side(1, "m").alias("dm"), side(1, "e").alias("de"))
+    more = _scaled(F.col("dm") / F.col("tm"), F.col("de") - F.col("te")) > THRESHOLD
+    return both.withColumn("blocked", F.col("dm").isNotNull() & (F.col("tm").isNull() | F.coalesce(more, F.lit(False))))
 
 
 def judge_urls(pages: DataFrame, rules=RULES, rounds: int | None = None) -> DataFrame:
