@@ -2,9 +2,11 @@
 
 Every document gets a hash-random key (MD5 of its id).  Inside a source the keys
 are spread evenly, so key ranges of about ``RANGE_ROWS`` rows are known without
-sampling; word sums per range, prefix-summed over the ranges, name the one range
-in which the budget ends, and a prefix sum inside that range names the row.  All
-rows are then compared with their source's cut, so no source meets in one task
+sampling; word sums per range, prefix-summed over blocks of ``BLOCK_RANGES`` ranges and then inside one,
+name the range in which the budget ends, and a prefix sum over that range's different (key, size)
+names the rows of one key and size in which it does.  Those are interchangeable, and may be as many as all rows (of one
+id): a distributed position by row id finds the one to cut.  All
+rows are then compared with their source's cut, so no source and no id meets in one task
 however large it is.  A budget above the source's size repeats whole epochs; the
 last epoch ends at the cut, inside one document if need be.
 
@@ -21,7 +23,7 @@ or no words at all: targets 0.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,7 @@ SHARE = (3, 2)       # 150 % of all words, as a fraction
 MOST = 2
 SEED = "mix-1"
 RANGE_ROWS = 1 << 13
+BLOCK_RANGES = 1 << 12
 
 
 @F.arrow_udf(T.LongType())
@@ -93,6 +96,18 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE) -> DataFram
         .alias("budget"))
 
 
+def _end_of(sums: DataFrame, order: list[str], start: Column) -> DataFrame:
+    """Of sums (source, words, rest, ...) in order, per source the row in which the budget ends, with the words ``before`` it."""
+    w = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = start + F.coalesce(F.sum("words").over(w), F.lit(0))
+    return sums.withColumn("before", before).where("before <= rest and rest < before + words")
+
+
+def _beside(ends: DataFrame, name: str) -> DataFrame:
+    """Ends under names that clash with no row's: one row per source."""
+    return ends.select(F.col("source").alias("_s1"), F.col(name).alias(f"_{name}"), F.col("before").alias("_before"))
+
+
 def source_cuts(rows: DataFrame, weights=WEIGHTS, share=SHARE) -> DataFrame:
     """rows(rid, source, size, key) -> per source: source_size, target, epochs, cut row, words of the cut row."""
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
@@ -101,22 +116,27 @@ def source_cuts(rows: DataFrame, weights=WEIGHTS, share=SHARE) -> DataFrame:
              .withColumn("rest", F.when(F.col("source_size") > 0, F.col("budget") % F.col("source_size")).otherwise(F.lit(0)))
              .withColumn("_ranges", F.ceil(F.col("_rows") / RANGE_ROWS)))
     goals = materialize(goals, "goals")
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
     where = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("_ranges") / F.lit(1 << 32)).cast("long")
     ranged = rows.join(goals.select(F.col("source").alias("_s"), "rest", "_ranges"), F.col("source").eqNullSafe(F.col("_s"))) \
         .withColumn("range", where)
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    before = F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("range")
-                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ends = (sums.withColumn("before", before)
-            .where("before <= rest and rest < before + words")
-            .select(F.col("source").alias("_s2"), F.col("range").alias("_r2"), "before"))
-    inside = ranged.join(ends, F.col("source").eqNullSafe(F.col("_s2")) & (F.col("range") == F.col("_r2")))
-    run = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("key", "size", "rid")
-                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = (inside.withColumn("at", F.col("before") + run).where("at <= rest and rest < at + size")
-           .select(F.col("source").alias("_s"), F.struct("key", "size", "rid").alias("cut"),
-                   (F.col("rest") - F.col("at")).alias("cut_words")))
+    sums = materialize(sums.withColumn("block", F.expr(f"range div {BLOCK_RANGES}")), "range-words")
+    # the block of ranges in which the budget ends, then the range, then the rows of one key and size
+    blocks = _end_of(sums.groupBy("source", "block").agg(F.sum("words").alias("words"), F.first("rest").alias("rest")), ["block"], F.lit(0))
+    inside = sums.join(_beside(blocks, "block"), F.col("source").eqNullSafe(F.col("_s1")) & (F.col("block") == F.col("_block")))
+    ends = _end_of(inside, ["range"], F.col("_before"))
+    inside = ranged.select("source", "range", "key", "size", "rest", "rid").join(
+        _beside(ends, "range"), F.col("source").eqNullSafe(F.col("_s1")) & (F.col("range") == F.col("_range")))
+    alike = (inside.groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n"), F.first("rest").alias("rest"), F.first("_before").alias("_before"))
+             .withColumn("words", F.col("n") * F.col("size")))
+    group = _end_of(alike, ["key", "size"], F.col("_before")).select(
+        F.col("source").alias("_s1"), F.col("key").alias("_key"), F.col("size").alias("_size"),
+        F.expr("(rest - before) div size").alias("whole"), ((F.col("rest") - F.col("before")) % F.col("size")).alias("cut_words"))
+    # of such rows, which may all be of one id, the one behind those that are taken whole
+    rows_of = (rows.join(group, F.col("source").eqNullSafe(F.col("_s1")) & (F.col("key") == F.col("_key")) & (F.col("size") == F.col("_size")))
+               .select("source", "key", "size", "rid", "whole", "cut_words"))
+    cut = (position_in_key(rows_of, "source", "rid", name="_nth").where(F.col("_nth") == F.col("whole") + 1)
+           .select(F.col("source").alias("_s"), F.struct("key", "size", "rid").alias("cut"), "cut_words"))
     return goals.join(cut, goals["source"].eqNullSafe(F.col("_s")), "left").select(
         "source", "source_size", "target", "epochs", "cut", "cut_words")
 

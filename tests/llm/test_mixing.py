@@ -85,3 +85,16 @@ def test_empty_and_wordless(spark, docs):
     assert mixing.mix(docs([])).count() == 0
     got = mixing.mix_report(docs([(1, "", "a"), (2, None, None)])).collect()
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_many_rows_of_one_id_and_many_blocks(spark, docs, monkeypatch):
+    """All rows of a source under one key, some of one size: the same cut as by row id, whatever the ranges."""
+    rows = [(7, " ".join(["w"] * (3 if i % 2 else 5)), "hot") for i in range(3000)] + [(None, "a b", "nulls")] * 50 + [(i, "x y z", "many") for i in range(400)]
+    taken, _ = brute(rows)
+    for per_range, per_block in ((2, 3), (1 << 13, 1 << 12)):
+        monkeypatch.setattr(mixing, "RANGE_ROWS", per_range)
+        monkeypatch.setattr(mixing, "BLOCK_RANGES", per_block)
+        got = mixing.mix_report(docs(rows)).collect()
+        assert sorted(((r.doc_id, r.size, r.taken) for r in got), key=repr) == sorted(taken, key=repr)
+    plan = mixing.source_cuts(mixing._rows(docs(rows)))._jdf.queryExecution().toString()
+    assert "_range" in plan          # positions come from ranges of rows, not from one task per key
