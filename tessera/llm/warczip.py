@@ -6,7 +6,7 @@ gzip member) and ``indexes/index.cdx`` (a line per record: id, offset, length).
 payload that other records share is written once, as the response with the
 largest id; the others are revisit records that refer to it.
 
-Reading: the end record, the ZIP64 locator and end record if there is one, and the
+Reading (any package of stored ``archive/X.warc.gz`` members with ``indexes/X.cdx`` beside them): the end record, the ZIP64 locator and end record if there is one, and the
 central directory are parsed from the tail of the file; the local header of a
 stored member gives where its bytes start; the index member gives every
 record's range.  Only those ranges are read (neighbours together up to
@@ -33,11 +33,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import fresh, materialize, shared_path, utf8
+from tessera.sources.libsvm import _file_system as file_system
+from tessera.sources.libsvm import qualified_uri
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 SHARED_LEAST = 1000
@@ -132,9 +133,14 @@ class _Sink:
 
 
 def write_packages(records: DataFrame, folder: str) -> DataFrame:
-    """records (rid, page_id, url, html, refers_to, refers_rid) -> committed table of path, records."""
+    """records (rid, page_id, url, html, refers_to, refers_rid) -> committed table of path, records.
+
+    A folder without a scheme is one of Spark's default file system, not each machine's own.
+    """
+    folder = qualified_uri(records.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, base = pafs.FileSystem.from_uri(folder)
+        filesystem, base = file_system(folder)
         filesystem.create_dir(base, recursive=True)
         done: list[tuple[str, int]] = []
         package = None
@@ -227,14 +233,28 @@ def stored_range(f, entry: tuple[int, int, int]) -> tuple[int, int]:
     return local + 30 + sum(struct.unpack_from("<HH", head, 26)), size
 
 
-def package_index(f, size: int) -> tuple[int, list[tuple[int, int]]]:
-    """(first byte of the archive member, [(offset, length)] of its records)."""
-    members = central_directory(f, size)
-    start, _ = stored_range(f, members[ARCHIVE])
-    at, n = stored_range(f, members[INDEX])
-    f.seek(at)
-    lines = f.read(n).decode().splitlines()
-    return start, [(int(a), int(b)) for _, a, b in (x.split(" ") for x in lines)]
+def archive_pairs(names: list[str]) -> list[tuple[str, str]]:
+    """(archive member, its index member): ``archive/X.warc.gz`` goes with ``indexes/X.cdx``, or with the only index."""
+    archives = sorted(n for n in names if n.startswith("archive/") and n.endswith(".warc.gz"))
+    indexes = sorted(n for n in names if n.startswith("indexes/") and n.endswith(".cdx"))
+    own = {n.removeprefix("indexes/").removesuffix(".cdx"): n for n in indexes}
+    found = [(a, own.get(a.removeprefix("archive/").removesuffix(".warc.gz"), indexes[0] if len(archives) == len(indexes) == 1 else None))
+             for a in archives]
+    if any(i is None for _, i in found):
+        raise ValueError(f"archives without an index: {[a for a, i in found if i is None]}")
+    return found
+
+
+def package_index(f, size: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(first byte of an archive member, [(offset, length)] of its records) for every archive of the package."""
+    members, out = central_directory(f, size), []
+    for archive, index in archive_pairs(list(members)):
+        start, _ = stored_range(f, members[archive])
+        at, n = stored_range(f, members[index])
+        f.seek(at)
+        lines = f.read(n).decode().splitlines()
+        out.append((start, [(int(a), int(b)) for _, a, b in (x.split(" ") for x in lines)]))
+    return out
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -255,7 +275,7 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _opened(path: str):
-    filesystem, name = pafs.FileSystem.from_uri(path)
+    filesystem, name = file_system(path)
     return filesystem.open_input_file(name)
 
 
@@ -266,11 +286,12 @@ def read_records(packages: DataFrame, with_payload: bool = False) -> DataFrame:
             out: list[list] = [[], [], [], []]
             for path in b.column(0).to_pylist():
                 with _opened(path) as f:
-                    start, ranges = package_index(f, f.size())
-                for i in range(0, len(ranges), RANGE_RECORDS):
-                    part = ranges[i:i + RANGE_RECORDS]
-                    for c, x in zip(out, (path, start, [a for a, _ in part], [n for _, n in part])):
-                        c.append(x)
+                    archives = package_index(f, f.size())
+                for start, ranges in archives:
+                    for i in range(0, len(ranges), RANGE_RECORDS):
+                        part = ranges[i:i + RANGE_RECORDS]
+                        for c, x in zip(out, (path, start, [a for a, _ in part], [n for _, n in part])):
+                            c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()),
                                               pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.list_(pa.int64()))],
                                              ["path", "start", "offsets", "lengths"])

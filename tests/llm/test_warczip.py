@@ -67,7 +67,7 @@ def test_directories_of_plain_and_zip64_files(monkeypatch):
     members = [("other é.txt", b"zz"), (warczip.ARCHIVE, b"".join(records)), (warczip.INDEX, index.encode())]
     for data in (zip_of(members), zip_of(members, True), zip_of(members, comment=b"PK\x05\x06 not the end"),
                  zip_of(members + [(f"m{i}", b"") for i in range(66_000)])):
-        start, ranges = warczip.package_index(io.BytesIO(data), len(data))
+        [(start, ranges)] = warczip.package_index(io.BytesIO(data), len(data))
         for i, (a, n) in enumerate(ranges):
             head, block = warczip.parse_record(data[start + a:start + a + n])
             assert (head["x-page-id"], block) == (str(i), b"p" * i)
@@ -90,3 +90,43 @@ def test_directories_of_plain_and_zip64_files(monkeypatch):
 
 def test_no_pages(spark):
     assert warczip.archive_report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_archive_of_a_package_is_read(spark, tmp_path):
+    """Two archives, each with its index, among other members; one without an index is an error."""
+    def part(ids):
+        records = [warczip.record_bytes(i, i, f"u{i}", f"page {i}".encode(), None, None) for i in ids]
+        at, index = 0, ""
+        for i, r in zip(ids, records):
+            index, at = index + f"{i} {at} {len(r)}\n", at + len(r)
+        return b"".join(records), index.encode()
+    (one, i1), (two, i2) = part(range(5)), part(range(5, 9))
+    members = [("pages/pages.jsonl", b"{}"), ("archive/b.warc.gz", two), ("archive/a.warc.gz", one), ("indexes/a.cdx", i1), ("indexes/b.cdx", i2)]
+    file = tmp_path / "two.wacz"
+    file.write_bytes(zip_of(members))
+    got = warczip.read_records(spark.createDataFrame([(f"file://{file}",)], "path string"), with_payload=True).collect()
+    assert sorted((r.page_id, bytes(r.payload)) for r in got) == [(i, f"page {i}".encode()) for i in range(9)]
+    assert warczip.archive_pairs(["archive/x.warc.gz", "indexes/index.cdx"]) == [("archive/x.warc.gz", "indexes/index.cdx")]
+    with pytest.raises(ValueError, match="without an index"):
+        warczip.package_index(io.BytesIO(data := zip_of(members[:-1])), len(data))
+
+
+def test_a_folder_without_a_scheme_is_of_sparks_file_system(spark, tmp_path):
+    got = warczip.write_packages(warczip.plan_records(spark.createDataFrame(ROWS, SCHEMA)), str(tmp_path / "plain"))
+    assert all(r.path.startswith("file:///") for r in got.collect())
+    conf = spark._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://elsewhere/")
+    conf.set("fs.viewfs.mounttable.elsewhere.link./data", f"file://{tmp_path}")
+    try:
+        with pytest.raises(Exception, match="viewfs"):           # asked for there, and not written to this machine's disk
+            warczip.write_packages(warczip.plan_records(spark.createDataFrame(ROWS, SCHEMA)), "/data/x").count()
+    finally:
+        conf.set("fs.defaultFS", old or "file:///")
+    assert not (tmp_path / "x").exists()
+
+
+def test_extra_columns_of_the_plans_names(spark):
+    clash = spark.createDataFrame(ROWS, SCHEMA).withColumns({"RID": F.lit(1), "refers_to": F.lit(2), "bytes": F.lit(3), "sha": F.lit("x"), "last": F.lit(0)})
+    want = warczip.archive_report(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    assert sorted(map(str, warczip.archive_report(clash).collect())) == sorted(map(str, want))
