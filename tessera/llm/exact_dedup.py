@@ -8,7 +8,8 @@
 * Every entry looks its bucket up in the directory.  A bucket has one owner task, which counts the entries of
   each hash; a hash with one entry is a text of its own.
 * Of hashes with more entries the texts themselves come to the owner, equal ones combined before the shuffle
-  (a hot group of copies is one row per task).  The owner compares bytes: the different texts of one hash are
+  (a hot group of copies is one row per task).  Texts of other hashes are not moved as long as the list of
+  repeated hashes is small enough for the planner to broadcast it.  The owner compares bytes: the different texts of one hash are
   chained in their order, and each has its copies counted and its kept row chosen.
 * The index (bucket, hash, chain place, digest, kept row, copies) is a table on the shared folder; every
   document probes it by these three.  A document's place is 1 unless its hash has a longer chain; then it is
@@ -80,7 +81,7 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, hash_of: Hash = F.xxh
     entries = entries.withColumn("slot", slot_of(depth)).join(slots, "slot").drop("slot")
     # the owner of a bucket: entries per hash, and for hashes with several the different texts, chained
     owned = materialize(entries.groupBy("bucket", "h").agg(F.count(F.lit(1)).alias("rows"), F.max(F.struct("doc_id", "rid", "sha")).alias("last")), "owned")
-    several = owned.where("rows > 1").select("bucket", "h")
+    several = materialize(owned.where("rows > 1").select("bucket", "h"), "repeated-hashes")    # written, as the directory is
     texts = (_texts(docs, hash_of).join(several, "h").groupBy("bucket", "h", "norm")
              .agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct("doc_id", "rid")).alias("last")))
     chain = F.row_number().over(Window.partitionBy("bucket", "h").orderBy("norm"))
