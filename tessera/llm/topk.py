@@ -45,6 +45,7 @@ SLICES = 2
 ROW_BLOCK = 2048
 QUERY_BLOCK = 4096
 CELL_BLOCKS = 64
+BLOCK_BYTES = 1 << 20   # of a block's vectors as 64-bit integers
 TILE = 512
 NO_ID = np.iinfo(np.int64).max
 
@@ -76,10 +77,11 @@ def _pack(block: int):
             for at in range(0, batch.num_rows, block):
                 part = batch.slice(at, block)
                 ok, vecs, width = _quantised(part.column(1))
-                if len(ok):
-                    ids = pc.fill_null(part.column(0), pa.scalar(NO_ID, pa.int64())).to_numpy()[ok]
+                ids = pc.fill_null(part.column(0), pa.scalar(NO_ID, pa.int64())).to_numpy()[ok].astype(np.int64)
+                rows = max(1, BLOCK_BYTES // (8 * max(1, width)))       # wide vectors: fewer to a block
+                for i in range(0, len(ok), rows):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids.astype(np.int64).tobytes()], pa.binary()), pa.array([vecs.tobytes()], pa.binary()),
+                        [pa.array([ids[i:i + rows].tobytes()], pa.binary()), pa.array([vecs[i:i + rows].tobytes()], pa.binary()),
                          pa.array([width], pa.int32())], ["ids", "vecs", "width"])
     return run
 
@@ -131,11 +133,11 @@ class _Best:
         return self.q[0], self.s[0], self.i[0]
 
 
-def _tiles(queries: dict, rows: list[dict], slices: int):
+def _tiles(queries: dict, rows: pa.Table, slices: int):
     """Per tile: query numbers, query ids, row ids, vectors and the local score lists (one matrix per slice)."""
     q_ids, q = _unpack(queries)
-    for row in rows:
-        r_ids, r = _unpack(row)
+    for n in range(rows.num_rows):                # one block at a time as an array; the others stay Arrow bytes
+        r_ids, r = _unpack(rows.slice(n, 1).to_pylist()[0])
         width = max(q.shape[1], r.shape[1])
         qq, rr = _fit(q, width), _fit(r, width)
         for at in range(0, len(qq), TILE):
@@ -149,8 +151,7 @@ def _gather(k: int, slices: int):
     def run(key, left, right):
         queries = left.to_pylist()[0] if left.num_rows else None
         best = _Best(len(queries["ids"]) // 8 if queries else 0, k)
-        seen = right.to_pylist() if queries else []
-        for numbers, q_ids, r_ids, _, _, lists in _tiles(queries, seen, slices) if queries else ():
+        for numbers, q_ids, r_ids, _, _, lists in _tiles(queries, right, slices) if queries else ():
             full = sum(lists)
             own = q_ids[:, None] == r_ids[None, :]
             picks = []
@@ -178,7 +179,7 @@ def _resolve(k: int, slices: int):
         best = _Best(len(queries["ids"]) // 8 if queries else 0, k)
         q_all = np.frombuffer(queries["ids"], np.int64) if queries else np.empty(0, np.int64)
         cutoff = np.frombuffer(queries["cutoffs"], np.int64) if queries else None
-        for numbers, q_ids, r_ids, qv, rv, lists in _tiles(queries, right.to_pylist(), slices) if queries else ():
+        for numbers, q_ids, r_ids, qv, rv, lists in _tiles(queries, right, slices) if queries else ():
             cut = cutoff[numbers]
             least = np.where(cut == np.iinfo(np.int64).min, -np.inf, cut / slices)
             least = least - np.abs(least) * 1e-12  # division may round up
@@ -208,17 +209,23 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = K, slices: int = SLICE
     n_q = asked.count()
     packed_q = materialize(_blocks(asked.repartition(max(1, -(-n_q // query_block))), query_block), "query-blocks")
     packed_q = materialize(packed_q.withColumn("qb", F.monotonically_increasing_id()), "query-blocks")
-    # few distinct blocks: number them 0.. by their place
-    numbers = {r.qb: i for i, r in enumerate(packed_q.select("qb").orderBy("qb").collect())}
-    if not numbers:
+    n_blocks = packed_q.count()
+    if not n_blocks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    numbered = spark.createDataFrame(list(numbers.items()), "qb long, nr int")
-    packed_q = packed_q.join(numbered, "qb").select(F.col("nr").alias("qb"), "ids", "vecs", "width")
+    # blocks numbered 0.. by their partition's count of blocks and their place in it
+    part = F.shiftright("qb", 33)
+    counts = packed_q.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))      # a row per partition of query blocks
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begin = counts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("qb")) - 1
+    numbered = (packed_q.select("qb", part.alias("part")).withColumn("place", place).join(begin, "part")
+                .select("qb", (F.col("begin") + F.col("place")).cast("int").alias("nr")))
+    packed_q = materialize(packed_q.join(numbered, "qb").select(F.col("nr").alias("qb"), "ids", "vecs", "width"), "query-blocks")
     packed_r = materialize(_blocks(pick(vectors), row_block).withColumn("rb", F.monotonically_increasing_id()), "row-blocks")
     n_r = packed_r.count()
-    groups = max(1, min(n_r, max(-(-n_r // CELL_BLOCKS), -(-2 * partitions(spark) // len(numbers)))))
+    groups = max(1, min(n_r, max(-(-n_r // CELL_BLOCKS), -(-2 * partitions(spark) // n_blocks))))
     cells_r = (packed_r.withColumn("g", F.pmod(F.xxhash64("rb"), F.lit(groups)).cast("int"))
-               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(len(numbers) - 1)))).drop("rb"))
+               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).drop("rb"))
 
     def meet(q: DataFrame, step, schema: str) -> DataFrame:
         q = q.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))

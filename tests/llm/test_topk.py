@@ -59,3 +59,17 @@ def test_negative_scores_only(spark):
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
     import numpy as np
     assert got(df) == brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows])
+
+
+def test_wide_vectors_make_small_blocks_and_names_may_clash(spark, monkeypatch):
+    """1,024 components: a block holds BLOCK_BYTES of them, of queries too; extra columns of the operator's own names."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    rng = random.Random(7)
+    rows = [(i * 50, [float(np.float32(rng.gauss(0, 0.3))) for _ in range(1024)]) for i in range(60)]
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 5 * 8 * 1024)
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    blocks = topk._blocks(df.select("vec_id", "embedding"), 2048).select((F.octet_length("ids") / 8).cast("int").alias("n"), F.octet_length("vecs").alias("b")).collect()
+    assert sum(r.n for r in blocks) == 60 and max(r.n for r in blocks) == 5 and max(r.b for r in blocks) <= topk.BLOCK_BYTES
+    clash = df.withColumns({"QB": F.lit(1), "g": F.lit("x"), "ids": F.lit(0), "rank": F.lit(2), "score": F.lit(3)})
+    assert got(clash) == got(df) == brute(rows)
