@@ -267,7 +267,7 @@ def _file_system(uri: str):
 
 @dataclass
 class _Written(WriterCommitMessage):
-    name: str
+    name: str | None     # None: a partition without rows
 
 
 class _TFRecordWriter(DataSourceArrowWriter):
@@ -280,14 +280,20 @@ class _TFRecordWriter(DataSourceArrowWriter):
     def write(self, iterator):
         from pyspark import TaskContext
         filesystem, root = _file_system(self.path)
-        filesystem.create_dir(f"{root}/_job-{self.job}", recursive=True)
-        ctx = TaskContext.get()
-        name = f"part-{self.job}-{ctx.partitionId() if ctx else 0:05d}-{uuid.uuid4().hex[:8]}.tfrecord"
-        with filesystem.open_output_stream(f"{root}/_job-{self.job}/{name}") as fh:
+        name = fh = None
+        try:
             for batch in iterator:
+                if fh is None:      # only once rows have come: a job that fails before leaves no folder behind its cleaning
+                    filesystem.create_dir(f"{root}/_job-{self.job}", recursive=True)
+                    ctx = TaskContext.get()
+                    name = f"part-{self.job}-{ctx.partitionId() if ctx else 0:05d}-{uuid.uuid4().hex[:8]}.tfrecord"
+                    fh = filesystem.open_output_stream(f"{root}/_job-{self.job}/{name}")
                 examples = batch.column(batch.schema.get_field_index(self.column))
                 for at in range(0, len(examples), FRAME_BATCH):
                     fh.write(frame_records(*encode_examples(examples.slice(at, FRAME_BATCH))).tobytes())
+        finally:
+            if fh is not None:
+                fh.close()
         return _Written(name)
 
     def commit(self, messages):
@@ -295,7 +301,7 @@ class _TFRecordWriter(DataSourceArrowWriter):
         filesystem.create_dir(root, recursive=True)
         old = [f.path for f in filesystem.get_file_info(pafs_selector(root)) if f.base_name.endswith(".tfrecord")]
         for m in messages:
-            if m is not None:
+            if m is not None and m.name is not None:
                 filesystem.move(f"{root}/_job-{self.job}/{m.name}", f"{root}/{m.name}")
         if self.overwrite:   # only files that were there before this job
             for path in old:
