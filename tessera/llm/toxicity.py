@@ -13,9 +13,11 @@ and when the second part falls below zero its gradient is turned (Kiryo et al.
 Features are the distinct words of the whole text (A-Z lower-cased, outer
 punctuation stripped) and their first 4, 5 and 6 bytes, hashed to 2**20 places;
 only those clearly more frequent among the positives (``Z_LEAST`` standard
-errors) enter the model.  The fit runs in one task on a bounded sample
-(``POSITIVES`` and ``UNLABELLED`` documents, by hash); scoring reads every text, in
-Arrow batches, with the model's few thousand weights.
+errors) enter the model: a Spark aggregate over the sample's (role, place) pairs
+selects them.  The fit runs in one task on a bounded sample (``POSITIVES`` and
+``UNLABELLED`` documents, by hash), of which it gets only the selected places, however
+long the texts are; scoring reads every text, in Arrow batches, with the model's
+few thousand weights.
 
 Labels are learned only from documents whose crc32(doc_id as text) mod 5 is not
 0; labels, lang, source and doc_id are never inputs of a score.  Defined cases:
@@ -106,13 +108,18 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def _clear(positives, unlabelled_share, n_p: int, sqrt):
+    """Whether a place is clearly more frequent among the positives: numpy arrays or Spark columns."""
+    err = sqrt(unlabelled_share * (1 - unlabelled_share) / n_p + 1 / n_p ** 2)
+    return (positives >= LEAST_POSITIVES) & (positives / n_p - unlabelled_share > Z_LEAST * err)
+
+
 def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Feature sets of positives and unlabelled -> (features, weights, bias) by non-negative PU learning."""
     n_p, n_u = len(pos), len(unl)
     df_p = np.bincount(np.concatenate(pos), minlength=DIMS)
     df_u = np.bincount(np.concatenate(unl or [np.empty(0, int)]), minlength=DIMS) / max(n_u, 1)
-    err = np.sqrt(df_u * (1 - df_u) / n_p + 1 / n_p ** 2)
-    keep = np.flatnonzero((df_p >= LEAST_POSITIVES) & (df_p / n_p - df_u > Z_LEAST * err))
+    keep = np.flatnonzero(_clear(df_p, df_u, n_p, np.sqrt))
     place = np.full(DIMS, -1)
     place[keep] = np.arange(len(keep))
 
@@ -139,7 +146,7 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> tuple[np.
 
 
 def _sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int) -> tuple[DataFrame, float] | None:
-    """(role, feats) of the training sample and the class prior."""
+    """(role, feats) of the training sample, as a table of the shared folder, and the class prior."""
     train = F.col("doc_id").isNotNull() & (fold() != HELD_OUT)
     share = lambda want, have: int(min(1.0, 1.5 * want / max(have, 1)) * 2 ** 32)
     hashed = lambda *c: F.pmod(F.xxhash64(F.lit("pu"), *c), F.lit(2 ** 32))
@@ -158,15 +165,25 @@ def _sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int)
 
     def digest(batches):
         for b in batches:
-            sets = []
-            for _, texts in text_groups(b.column(1)):
+            for at, texts in text_groups(b.column(1)):
                 d, f = features(texts)
-                cuts = np.searchsorted(d, np.arange(len(texts) + 1))
-                sets += [f[x:y].astype(np.int32).tobytes() for x, y in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), pa.array(sets, pa.binary())], ["role", "feats"])
+                cuts = np.searchsorted(d, np.arange(len(texts) + 1)).astype(np.int32)
+                feats = pa.ListArray.from_arrays(pa.array(cuts), pa.array(f.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)).cast(pa.int32()), feats], ["role", "feats"])
     # at most positives + unlabelled rows of two numbers: bounded by parameters
-    rows = docs.join(F.broadcast(chosen), "rid").select("role", "text").mapInArrow(digest, "role int, feats binary")
-    return rows, min(max(n_pos / n, 1e-3), 0.99)
+    rows = docs.join(F.broadcast(chosen), "rid").select("role", "text").mapInArrow(digest, "role int, feats array<int>")
+    return materialize(rows, "pu-sets"), min(max(n_pos / n, 1e-3), 0.99)
+
+
+def selected(sets: DataFrame) -> np.ndarray:
+    """The places of sets(role, feats) that enter the model, counted by Spark; at most DIMS numbers come back."""
+    n_p, n_u = sets.agg(F.count_if(F.col("role") == 1), F.count_if(F.col("role") == 0)).first()
+    if not n_p:
+        return np.empty(0, np.int64)
+    counts = sets.select("role", F.explode("feats").alias("place")).groupBy("place").agg(
+        F.sum("role").alias("p"), F.sum(1 - F.col("role")).alias("u"))
+    clear = counts.where(_clear(F.col("p"), F.col("u") / max(n_u, 1), n_p, F.sqrt)).select("place").collect()
+    return np.sort(np.array([r.place for r in clear], np.int64))
 
 
 class Model:
@@ -198,18 +215,29 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     got = _sample(numbered, labels, positives, unlabelled)
     if got is None:
         return Model(np.empty(0, int), np.empty(0), -np.inf)
-    sample, share = got
+    sets, share = got
     share = prior or share
+    live = np.zeros(DIMS, bool)
+    live[selected(sets)] = True
+
+    def thin(batches):
+        for b in batches:
+            lists = b.column(1)
+            f, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            ends = ends - ends[0]
+            use = live[f]
+            after = np.concatenate([[0], np.cumsum(use)])[ends].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(after), pa.array(f[use]))], ["role", "feats"])
 
     def one(t):
-        role = t["role"].to_numpy()
-        sets = [np.frombuffer(x.as_py(), np.int32) for x in t["feats"]]
-        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i][:64].tobytes()))  # whatever the order of arrival
+        role, sets = t["role"].to_numpy(), [np.array(x, np.int32) for x in t["feats"].to_pylist()]
+        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i].tobytes()))  # whatever the order of arrival
         pos, unl = ([sets[i] for i in order if role[i] == r] for r in (1, 0))
         if not pos:
             return pa.table({"f": pa.array([-1], pa.int32()), "w": [float("-inf")]})
         f, w, b = fit(pos, unl or [np.empty(0, np.int32)], share)
         return pa.table({"f": pa.array(np.append(f, -1), pa.int32()), "w": pa.array(np.append(w, b))})
+    sample = sets.mapInArrow(thin, "role int, feats array<int>")
     rows = sample.groupBy(F.lit(0).alias("k")).applyInArrow(one, "f int, w double").collect()  # the weights, at most DIMS
     bias = next((r.w for r in rows if r.f < 0), -np.inf)
     return Model(np.array([r.f for r in rows if r.f >= 0], int), np.array([r.w for r in rows if r.f >= 0]), bias)
