@@ -40,6 +40,7 @@ from tessera.llm.shared import fresh, materialize, partitions, text_groups, word
 SHINGLE, RADIUS = 4, 4
 TILE = 1 << 16
 BLOCK = 512
+MEETINGS = 4   # tile pairs a task compares, on average
 
 
 def _bit_counts(h: np.ndarray) -> np.ndarray:
@@ -176,8 +177,9 @@ def _links(spark, fps: DataFrame, radius: int, tile: int) -> DataFrame:
         u, v = tile_links(got[0], got[1] if len(got) > 1 else None, radius)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    n = sum(tiles.values()) * (1 + radius)
-    pairs = first.unionByName(second).repartition(max(partitions(spark), min(n, 4096)), "p1", "s1", "p2", "s2")
+    meetings = sum(n * (n + 1) // 2 + n * sum(tiles.get(q, 0) for q in range(p + 1, p + radius + 1)) for p, n in tiles.items())
+    tasks = max(partitions(spark), -(-meetings // MEETINGS))
+    pairs = first.unionByName(second).repartition(tasks, "p1", "s1", "p2", "s2")
     return pairs.groupBy("p1", "s1", "p2", "s2").applyInArrow(compare, "u long, v long")
 
 
