@@ -1,8 +1,12 @@
 import random
 import zlib
 
+from collections import Counter
+
 from pyspark.sql import functions as F
-from tessera.llm import sharding
+
+from tessera.llm import queries, sharding
+from tests.conftest import SF_SMALL
 
 
 def check(rows, got, k=8):
@@ -71,3 +75,34 @@ def test_one_level_places_the_cells_as_differencing_them_at_once(spark):
     parts = spark.createDataFrame([(c, j, b) for c, s in enumerate(sums) for j, b in enumerate(s)], "cell long, part int, bytes long")
     got = {r.cell: r.shards for r in sharding._parts_to_shards(parts, 3, 20).collect()}
     assert got == dict(enumerate(sharding.difference(sums, 3)))
+
+
+def plain_differencing(weights, k=8):
+    """Karmarkar-Karp by searching the whole list for the two widest partial partitions each time; groups by shard."""
+    parts = [(w, n, [(w, [w])] + [(0, [])] * (k - 1)) for n, w in enumerate(sorted(weights, reverse=True))]
+    born = len(parts)
+    while len(parts) > 1:
+        a = max(parts, key=lambda p: (p[0], -p[1]))
+        parts.remove(a)
+        b = max(parts, key=lambda p: (p[0], -p[1]))
+        parts.remove(b)
+        sums = sorted(((x + y, g + h) for (x, g), (y, h) in zip(a[2], b[2][::-1])), key=lambda s: -s[0])
+        parts.append((sums[0][0] - sums[-1][0], born, sums))
+        born += 1
+    return parts[0][2] if parts else []
+
+
+def test_query_equals_plain_differencing_over_whole_texts(spark):
+    """The registered query over all documents of a driver table: shard sums, and the groups each shard holds."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.QUERIES["op5_karmarkar_karp_shards"](spark, SF_SMALL).collect()
+    sums = check(rows, got)
+    weights = Counter()
+    for _, t in rows:
+        weights[t or ""] += len((t or "").encode()) + 1
+    want = plain_differencing(list(weights.values()))
+    assert sorted(sums) == sorted(s for s, _ in want)
+    held = {}
+    for r in got:
+        held.setdefault(r.shard, Counter())[(r.text_crc32, r.size)] += r.size
+    assert sorted(sorted(h.values()) for h in held.values()) == sorted(sorted(g) for _, g in want if g)

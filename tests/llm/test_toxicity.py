@@ -133,3 +133,32 @@ def test_held_out_figures_at_a_tenth(spark):
     assert len(bad) > 50 and np.mean([r.predicted for r in bad]) >= 0.88 and np.mean([r.predicted for r in clean]) <= 0.04
     auc = np.mean([(a.score > b.score) + 0.5 * (a.score == b.score) for a in bad for b in clean])
     assert auc >= 0.94
+
+
+def test_places_are_selected_by_spark_as_fit_would(spark):
+    """Counts per place over all sets; sets without places count as documents; no positives select none."""
+    rng = random.Random(8)
+    pos = [sorted(f for f in range(60) if rng.random() < (0.7 if f < 9 else 0.1)) for _ in range(50)] + [[], list(range(5000))]
+    unl = [sorted(f for f in range(60) if rng.random() < 0.1) for _ in range(80)] + [[], []]
+    schema = "role int, feats array<int>"
+    sets = spark.createDataFrame([(1, s) for s in pos] + [(0, s) for s in unl], schema)
+    places, _, _ = toxicity.fit([np.array(s, np.int32) for s in pos], [np.array(s, np.int32) for s in unl], 0.3)
+    got = toxicity.selected(sets.repartition(5))
+    assert got.tolist() == places.tolist() and 3 < len(got) < 60
+    assert toxicity.selected(spark.createDataFrame([(0, [1, 2])], schema)).tolist() == []
+    assert toxicity.selected(spark.createDataFrame([], schema)).tolist() == []
+    few = [toxicity.selected(spark.createDataFrame([(1, [7])] * n, schema)).tolist() for n in (4, 5)]
+    assert few == [[], [7]]                                 # four are within four standard errors of none
+
+
+def test_the_fit_gets_selected_places_only(spark, docs, monkeypatch):
+    """Whatever the length of a text, its set in the fitting task holds no other place."""
+    rows, toxic = corpus(500)
+    rows = [(i, t + " " + " ".join(f"own{i}x{j}" for j in range(300))) for i, t in rows]
+    kept = []
+    real = toxicity.selected
+    monkeypatch.setattr(toxicity, "selected", lambda sets: kept.append((sets, real(sets))) or kept[-1][1])
+    model = toxicity.train(docs(rows), spark.createDataFrame([(i, 1, t) for i, t in toxic.items()], LABELS))
+    (sets, places), = kept
+    assert model.places.tolist() == places.tolist()
+    assert sets.agg(F.max(F.size("feats"))).first()[0] > 300 > len(places) > 3
