@@ -17,7 +17,8 @@ from tessera.plans import registry  # noqa: E402
 from tessera.session import local_session  # noqa: E402
 
 JOINS = ("BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
-PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas")
+PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas",
+          "MapInArrow", "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow")
 
 
 def final_plan(df) -> str:
@@ -61,7 +62,7 @@ def main() -> None:
         df = registry.QUERIES[name](spark, sf)
         s = summarize(final_plan(df))
         print(f"| {name} | {s['exchanges']} | {s['reused']} | {s['broadcasts']} | {s['joins']} | "
-              f"{s['group_limit']} | {s['python']} | {s['pushed']} |")
+              f"{s['group_limit']} | {s['python']} | {s['pushed']} |", flush=True)
     spark.stop()
 
 
