@@ -22,6 +22,7 @@ each give their pieces.  Null ids are allowed.  Empty table: no rows.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -33,12 +34,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, text_groups, word_blocks
+from tessera.llm.shared import give_back, materialize, text_groups, word_blocks
 
 LONGEST = 4096
 END_ID = 2
 CACHE_WORDS = 150_000   # words a worker remembers: about 30 MB
 OUT_BYTES = 4 << 20
+GIVE_BACK_ROWS = 2000   # a multiple of the rows of a text group
 BATCH_BYTES = 2 << 20   # text looked up together
 
 #: Letters that the tokenizer keeps in one word and lower-cases one by one, then marks it keeps apart from them.
@@ -54,6 +56,7 @@ class ChunkTokenizer:
     """Ids of texts by white-space chunk, with a bounded memory of words."""
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core; a pool of threads costs 30 MB
         from tokenizers import Tokenizer
         self.tok, self.limit = Tokenizer.from_file(path), limit
         vocab = self.tok.get_vocab()
@@ -190,6 +193,8 @@ def _pieces(path: str, longest: int, with_ids: bool):
                             rows, raw, held = [], [], 0
                 if rows:
                     yield out(rows, raw)
+                if at % GIVE_BACK_ROWS == 0:
+                    give_back()
 
     def out(rows, raw):
         arrays = [pa.array(c, pa.int64()) for c in zip(*rows)]
