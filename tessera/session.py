@@ -9,6 +9,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,13 +68,50 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+#: Paths that the open ``scratch`` blocks of this thread own, the innermost last.
+_OWNED: ContextVar[tuple[list[str], ...]] = ContextVar("tessera_owned", default=())
+
+
+def owned(path: str) -> str:
+    """``path``, to be deleted at the end of the innermost open ``scratch`` block, if there is one."""
+    blocks = _OWNED.get()
+    if blocks:
+        blocks[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system Spark wrote it to; none there is no error."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the helper tables that operators write to the shared folder inside this block.
+
+    DataFrames are lazy, so an operator cannot know when its helper tables were read for the last time;
+    the caller does: once the result is written.  The tables go at the end of the block, also
+    after an error; a DataFrame made inside must not be read behind it.
+    """
+    paths: list[str] = []
+    token = _OWNED.set((*_OWNED.get(), paths))
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the checkpoint folder and read it back.
 
     Cuts lineage: all readers, and any retried task, see the same rows.
+    The table stays unless a ``scratch`` block is open.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = owned(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
