@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, owned
 
 #: ``[\x20\x09-\x0D]`` is the white space of every word rule here.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tessera-{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there goes with the caller's ``scratch`` block."""
+    return owned(f"{shared_dir(spark)}/tessera-{name}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
