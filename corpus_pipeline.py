@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import exact_dedup, mixing, packing, simhash
 from tessera.llm import toxicity as pu
 from tessera.llm.shared import shared_path
+from tessera.session import remove, scratch
 from tessera.sources.tables import table
 
 
@@ -46,10 +47,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole ``documents`` table of ``sf_dir``.
+
+    Of the tables in the shared folder only the last stage's is left: a stage's helper tables go
+    once its result is written, that result once the next one's is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = shared_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
