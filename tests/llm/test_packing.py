@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import packing
 
@@ -70,3 +71,9 @@ def test_every_id_in_one_piece_and_sequences_hold_one_document(spark, docs):
 
 def test_empty_table(spark, docs):
     assert packing.pack(docs([])).count() == 0
+
+
+def test_extra_columns_of_the_plans_names(spark, docs):
+    df = docs([(1, "some words"), (2, None)])
+    clash = df.withColumns({"RID": F.lit(1), "part": F.lit(2), "local": F.lit(3), "length": F.lit("x"), "IDS": F.lit(4), "before": F.lit(5)})
+    assert sorted(packing.pack(clash, with_ids=True).collect()) == sorted(packing.pack(df, with_ids=True).collect())

@@ -1,8 +1,11 @@
 import collections
+import os
 import random
 
 import corpus_pipeline
 from tessera.llm import exact_dedup, mixing, packing, simhash, toxicity
+from tessera.llm.shared import shared_dir
+from tessera.session import checkpoint_dir
 from tests.llm import test_exact_dedup, test_mixing, test_packing, test_simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -70,7 +73,11 @@ def test_stages_and_run_equal_brute_force(spark, docs, sf):
             assert ids == want
         got.write.parquet(out := f"{path}/{name}.parquet")
         docs_now = spark.read.parquet(out)
+    folders = {f(spark).removeprefix("file:") for f in (checkpoint_dir, shared_dir)}
+    had = {x for f in folders for x in os.listdir(f)}
     run = corpus_pipeline.run(spark, path)
+    new = {x for f in folders for x in os.listdir(f)} - had
+    assert len(new) == 1 and new.pop().startswith("tessera-stage-packing-")       # no helper table and no earlier stage is left
     assert run.columns == docs_now.columns and run.count() == docs_now.count()
     assert sorted(map(str, run.select("doc_id", "start", "length", "ids_crc32").collect())) == sorted(
         map(str, docs_now.select("doc_id", "start", "length", "ids_crc32").collect()))
