@@ -1,12 +1,16 @@
 """Queries: text sources, store scan, LibSVM / example conversion, day slices
-(S1-S3, S5, S7-S10, S12)."""
+(S1-S3, S5-S12)."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tessera.plans.registry import query
 from tessera.plans.views import ratings, view
+from tessera.session import checkpoint_dir, owned
 from tessera.sources import libsvm as LS
 from tessera.sources import store as ST
 from tessera.sources import text as TX
@@ -103,6 +107,20 @@ def similarity_lines(spark, sf):
                     .alias("value"))
 
 
+_SVM_COLUMNS = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("s6_read_libsvm", oracle="""
+SELECT CAST(l_linenumber AS DOUBLE) AS label, CAST(4 AS BIGINT) AS size, l_quantity AS x1, l_extendedprice AS x2, l_discount AS x3, l_tax AS x4
+FROM lineitem""")
+def s6_read_libsvm(spark, sf):
+    """Line items written as LibSVM files by the sink and read back: label, the vector's size and its values."""
+    path = owned(f"{checkpoint_dir(spark).rstrip('/')}/libsvm-{uuid.uuid4().hex}")
+    LS.write_libsvm(table(spark, sf, "lineitem").select(*_SVM_COLUMNS), "l_linenumber", path)
+    rows = LS.read_libsvm(spark, path, num_features=4).select("label", vector_to_array("features").alias("x"))
+    return rows.select("label", F.size("x").cast("bigint").alias("size"), *[F.col("x")[i].alias(f"x{i + 1}") for i in range(4)])
+
+
 @query("s7_read_similarity", views=("edges",), oracle=f"""
 WITH l AS ({_SIM_LINES_SQL}), f AS (SELECT string_split(regexp_replace("value", '[()]', '', 'g'), ',') AS f FROM l)
 SELECT DISTINCT CAST(f[1] AS BIGINT) AS i, CAST(f[2] AS BIGINT) AS j, CAST(f[3] AS DOUBLE) AS sim FROM f""")
@@ -165,6 +183,17 @@ def s10_to_examples(spark, sf):
                      .otherwise(F.col("v.f")[0].cast("double")).alias("value"))
 
 
+@query("s11_write_text", oracle=r"""
+SELECT doc_id, sha256(regexp_replace("text", '[\r\n]+', ' ', 'g')) AS text_sha256 FROM documents WHERE "text" IS NOT NULL AND doc_id IS NOT NULL""")
+def s11_write_text(spark, sf):
+    """Whole documents written as text, a line each, and read back from the files."""
+    path = owned(f"{checkpoint_dir(spark).rstrip('/')}/text-{uuid.uuid4().hex}")
+    lines = table(spark, sf, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit("\t"), F.regexp_replace("text", r"[\r\n]+", " ")).alias("line"))
+    TX.write_text(lines.where("line is not null"), path)
+    parts = F.split("value", "\t", 2)
+    return TX.read_lines(spark, path).select(parts[0].cast("long").alias("doc_id"), F.sha2(parts[1].cast("binary"), 256).alias("text_sha256"))
+
+
 @query("s12_daily_path", oracle="""
 SELECT event_id, user_id, event_type FROM events
 WHERE ts >= DATE '2024-01-15' - INTERVAL 1 DAY AND ts < DATE '2024-01-15'""")
