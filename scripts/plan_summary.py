@@ -1,6 +1,6 @@
 """Summarize the physical plan of every registered query (markdown table).
 
-usage: python scripts/plan_summary.py [sf_dir] > PLANS.md
+usage: python scripts/plan_summary.py [sf_dir [name ...]] > PLANS.md
 Counts are from the plan Spark executes for the query (AQE may still change
 join strategies at run time from measured sizes).
 """
@@ -58,7 +58,7 @@ def main() -> None:
     print("checkpointed ranks, so its final plan is a scan of the checkpoint.\n")
     print("| query | shuffles | reused | broadcasts | joins | group limit | python | pushed |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name in sorted(registry.QUERIES):
+    for name in sys.argv[2:] or sorted(registry.QUERIES):
         df = registry.QUERIES[name](spark, sf)
         s = summarize(final_plan(df))
         print(f"| {name} | {s['exchanges']} | {s['reused']} | {s['broadcasts']} | {s['joins']} | "
