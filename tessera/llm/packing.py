@@ -34,13 +34,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import give_back, materialize, text_groups, word_blocks
+from tessera.llm.shared import materialize, text_groups, word_blocks
 
 LONGEST = 4096
 END_ID = 2
 CACHE_WORDS = 150_000   # words a worker remembers: about 30 MB
 OUT_BYTES = 4 << 20
-GIVE_BACK_ROWS = 2000   # a multiple of the rows of a text group
 BATCH_BYTES = 2 << 20   # text looked up together
 
 #: Letters that the tokenizer keeps in one word and lower-cases one by one, then marks it keeps apart from them.
@@ -107,7 +106,7 @@ class ChunkTokenizer:
                 raise ValueError("the tokenizer does not end each word with an end-of-word id")
             self._remember(part, ids, np.diff(cuts, prepend=0))
         if odd:
-            got = [e.ids for e in self.tok.encode_batch(odd, add_special_tokens=False)]
+            got = [e.ids for e in self.tok.encode_batch_fast(odd, add_special_tokens=False)]
             self._remember(odd, np.array([i for x in got for i in x], "<u4"), np.array([len(x) for x in got]))
 
     def _places(self, words: pa.Array, plain: np.ndarray) -> np.ndarray:
@@ -116,9 +115,12 @@ class ChunkTokenizer:
         names = coded.dictionary.to_pylist()
         first = np.zeros(len(names), bool)
         first[coded.indices.to_numpy()] = plain
-        new = [i for i, w in enumerate(names) if w not in self.place]
+        found = list(map(self.place.get, names))
+        new = [i for i, at in enumerate(found) if at is None]
         self._learn([names[i] for i in new if first[i]], [names[i] for i in new if not first[i]])
-        return np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
+        for i in new:
+            found[i] = self.place[names[i]]
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
 
     def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's end."""
@@ -193,8 +195,6 @@ def _pieces(path: str, longest: int, with_ids: bool):
                             rows, raw, held = [], [], 0
                 if rows:
                     yield out(rows, raw)
-                if at % GIVE_BACK_ROWS == 0:
-                    give_back()
 
     def out(rows, raw):
         arrays = [pa.array(c, pa.int64()) for c in zip(*rows)]
