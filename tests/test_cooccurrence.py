@@ -1,0 +1,57 @@
+"""Sums over the pairs of a user's items: packed lists against plain SQL, with hot users, hot items and odd values."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import cooccurrence as C
+from tessera.operators import matrix as M
+
+
+def _plain(r, combine, min_common=1):
+    x, y = r.selectExpr("k", "it i", "r a"), r.selectExpr("k", "it j", "r b")
+    v = "sum(a * b)" if combine == "product" else "sum(least(a, b))"
+    return x.join(y, "k").where("i < j").groupBy("i", "j").agg(F.expr(v).alias("v"), F.expr("count(1)").alias("n")).where(F.col("n") >= min_common)
+
+
+def _rows(df):
+    return sorted((x.i, x.j, None if x.v is None else round(x.v, 6), x.n) for x in df.collect())
+
+
+def _entries(spark, users, items, rows, seed=3, extra=()):
+    g = random.Random(seed)
+    data = [(g.randrange(users), g.randrange(items) * 977 - 5000, float(g.randrange(1, 50))) for _ in range(rows)]
+    return spark.createDataFrame([*data, *extra], "k long, it long, r double").localCheckpoint()
+
+
+@pytest.mark.parametrize("a", [
+    np.array([5, 5, 7]), np.array([-2 ** 63, 2 ** 63 - 1, 0]), np.array([1.0, 300.0]), np.array([0.5, -1.25]),
+    np.array([0.0, -0.0]), np.array([float("nan"), 1.0]), np.array([float("inf")]), np.array([], "<i8")])
+def test_packed_numbers_come_back(a):
+    b = C.unpack(C.pack(a))
+    assert b.dtype == a.dtype and b.tobytes() == a.tobytes()
+
+
+@pytest.mark.parametrize("combine", ["product", "least"])
+@pytest.mark.parametrize("piece_rows, block_pairs", [(4096, 1 << 20), (7, 50)])
+def test_pair_sums_are_the_join(spark, monkeypatch, combine, piece_rows, block_pairs):
+    monkeypatch.setattr(C, "DEAL_PAIRS", 40 if piece_rows == 7 else C.DEAL_PAIRS)
+    odd = [(None, 1, 2.0), (1, None, 3.0), (1, 977, None), (2, 977, None), (2, 1954, None), (1, 1954, 0.25), (3, 2 ** 60, 4.0), (3, -2 ** 60, 5.0),
+           *[(9, x, 1.5) for x in range(40)], *[(u, 11, 2.0) for u in range(30)]]      # a hot user, a hot item
+    r = _entries(spark, 30, 25, 400, extra=odd)                                        # with repeated (user, item)
+    for least in (1, 2):
+        assert _rows(C.pair_sums(r, combine, piece_rows, least, block_pairs)) == _rows(_plain(r, combine, least))
+
+
+def test_no_entries_no_pairs(spark):
+    assert C.pair_sums(_entries(spark, 1, 1, 0)).collect() == []
+
+
+def test_shuffled_are_lists_not_pairs(spark):
+    """No exchange by (i, j): rows of pairs are summed in the task where they arise."""
+    r = _entries(spark, 30, 25, 400).selectExpr("k user", "it item", "r rating")
+    for df in (M.gram_off_diagonal(r), M.cosine_similarity(r, min_common=2)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "hashpartitioning(i#" not in plan.split("FlatMapGroupsInArrow", 1)[1]
