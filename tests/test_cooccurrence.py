@@ -55,3 +55,17 @@ def test_shuffled_are_lists_not_pairs(spark):
     for df in (M.gram_off_diagonal(r), M.cosine_similarity(r, min_common=2)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "FlatMapGroupsInArrow" in plan and "hashpartitioning(i#" not in plan.split("FlatMapGroupsInArrow", 1)[1]
+
+
+def test_best_partners_of_totals(spark, monkeypatch):
+    """The packed lists are the window's, with ties, nulls and more rows than a slice; pairs are shuffled in packed rows."""
+    from tessera.streaming import similarity as SIM
+    monkeypatch.setattr(SIM, "CUT_PAIRS", 100)
+    g = random.Random(5)
+    pairs = {(i, j): (g.choice([None, 1.0, 2.0, 2.5, float("nan")]), g.choice([None, 1, 2])) for i in range(60) for j in range(i + 1, 60) if g.random() < 0.7}
+    df = spark.createDataFrame([(i, j, *x) for (i, j), x in pairs.items()], "item_i long, item_j long, rating double, n_ij long").repartition(3)
+    as_text = lambda d: sorted(map(str, d.select("item", "partner", "score", "n").collect()))
+    packed = SIM.recent_partner_scores(df, 4, summed=True)
+    assert as_text(packed) == as_text(SIM.recent_partner_scores(df, 4, ordered=True))
+    assert "hashpartitioning(item#" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert SIM.recent_partner_scores(df.limit(0), 4, summed=True).collect() == []
