@@ -143,3 +143,12 @@ def test_heavy_hitters_miss_no_key_above_the_share(spark):
     assert S.heavy_hitters(spark.createDataFrame([], "k string, b int"), "k", 10).count() == 0
     plan = S.heavy_hitters(df, "k", share)._jdf.queryExecution().executedPlan().toString()
     assert "Sample" not in plan
+
+
+def test_copies_of_the_small_side_are_not_broadcast(spark):
+    """The planner's estimate of the small side is that before its copies are made."""
+    big = spark.range(1000).selectExpr("id % 7 k", "id v")
+    small = spark.range(7).selectExpr("id k", "id * 10 w")
+    df = S.replicated_salt_join(big, small, "k", copies=50)
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert as_set(df) == as_set(big.join(small, "k"))
