@@ -69,3 +69,16 @@ def test_best_partners_of_totals(spark, monkeypatch):
     assert as_text(packed) == as_text(SIM.recent_partner_scores(df, 4, ordered=True))
     assert "hashpartitioning(item#" not in packed._jdf.queryExecution().executedPlan().toString()
     assert SIM.recent_partner_scores(df.limit(0), 4, summed=True).collect() == []
+
+
+@pytest.mark.parametrize("piece_rows, block_pairs", [(4096, 1 << 20), (7, 50)])
+def test_meetings_of_marked_entries_are_the_join(spark, piece_rows, block_pairs):
+    """Codes arrive with their items; with ``either``, two unmarked entries do not meet."""
+    r = _entries(spark, 30, 25, 400, extra=[(9, x, 1.5) for x in range(40)]).selectExpr("*", "pmod(it, 7) * 256 + 3 x", "pmod(it + k, 3) = 0 p")
+    x, y = r.selectExpr("k", "it i", "r a", "p pa"), r.selectExpr("k", "it j", "r b", "p pb")
+    def keep(v, n, x_i, x_j):  # noqa: E306
+        return (x_i >= x_j) & (x_i % 256 == 3)
+    for either in (False, True):
+        met = x.join(y, "k").where("i < j" + (" and (pa or pb)" if either else "")).where("pmod(i, 7) >= pmod(j, 7)")
+        want = met.groupBy("i", "j").agg(F.expr("sum(a * b)").alias("v"), F.expr("count(1)").alias("n"))
+        assert _rows(C.pair_meetings(r, keep, either, piece_rows, block_pairs)) == _rows(want)

@@ -59,3 +59,16 @@ def test_empty_and_lone(spark):
     assert N.similar_items(none, 0.5).count() == 0 and N.nearest_items(none, 3).count() == 0
     one = spark.createDataFrame([(1, 1, 5.0), (2, 2, 0.0)], "user long, item long, rating double")
     assert N.similar_items(one, 0.5).count() == 0
+
+
+def test_meetings_are_dealt_packed_and_few_are_left(spark):
+    """Low threshold, ratings without a pattern: prefixes are nearly whole items, and still few pairs are rows."""
+    rnd = random.Random(9)
+    r = spark.createDataFrame([(u, i, float(rnd.randint(1, 50))) for i in range(300) for u in rnd.sample(range(1500), 30)], "user long, item long, rating double")
+    left = N.candidates(N.entries(r), 0.15)
+    assert "FlatMapGroupsInArrow" in left._jdf.queryExecution().executedPlan().toString()
+    assert as_map(N.similar_items(r, 0.15, min_common=2)) == as_map(M.cosine_similarity(r, min_common=2).where("sim >= 0.15"))
+    assert left.count() < M.gram_off_diagonal(r).count() / 2 / 10
+    every = M.cosine_similarity(r, min_common=2).where("sim > 0")
+    want = as_map(every.withColumn("_r", F.row_number().over(N.Window.partitionBy("i").orderBy(F.desc("sim"), "j"))).where("_r <= 3").drop("_r"))
+    assert as_map(N.nearest_items(r, 3, min_common=2)) == want
