@@ -5,9 +5,10 @@ Each round: ``contributions = edges JOIN ranks ON src`` then
 its out-degrees is hash-partitioned on ``src`` once and cached, so a round
 shuffles only the partially aggregated contributions; the join is a
 shuffled hash join on the ranks side (no per-round sort of the edges).  Every
-ten rounds the ranks are written to the shared folder and the table before is
-deleted, so neither the lineage nor the plan nor the folder grows with the
-number of rounds, and a lost executor recomputes at most a few rounds.
+ten rounds (sooner if there are many edges) the ranks are written to the shared folder, and
+the table before and the rounds' shuffle files are deleted, so neither the lineage nor the plan
+nor the folder nor the executors' disks grow with the number of rounds, and a lost executor
+recomputes at most a few rounds.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ DEFAULT_ROUNDS = 100
 START_RANK = 1.0
 # Edges per partition of the iterated join (sizes the loop's partitions).
 EDGES_PER_PARTITION = 100_000
+# Contributions that may stand on the executors' disks: rounds between two writes times edges, if one round has fewer.
+SHUFFLED_EDGES = 10_000_000
 
 
 def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | None = None,
@@ -40,7 +43,8 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
     node's whole fan-out.  Out-degrees sum to the edge count, so at most
     ``partitions`` nodes are split: a proven bound for the broadcast.  The loop
     fixes its partitioning by hand and runs in a session of its own with
-    adaptive planning off; the caller's session keeps its settings.
+    adaptive planning off and shuffle files removed at the end of each write; the caller's session keeps
+    its settings.  ``checkpoint_every``: rounds between two writes at most (see ``SHUFFLED_EDGES``).
     """
     spark = edges.sparkSession
     stored = shared_table(edges.select(F.col("src").alias("node"), "dst").distinct(), "edges")
@@ -49,6 +53,8 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
     own = spark.newSession()
     own.conf.set("spark.sql.shuffle.partitions", str(n))
     own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    every = max(1, min(checkpoint_every, SHUFFLED_EDGES // max(n_edges, 1)))
     e = own.read.schema(stored.schema).parquet(*{f.rsplit("/", 1)[0] for f in stored.inputFiles()}) if n_edges else \
         own.createDataFrame([], stored.schema)
     heavy_at = max(EDGES_PER_PARTITION, -(-n_edges // n))
@@ -79,7 +85,7 @@ def pagerank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float | No
             summed = F.sum("c")
             new_rank = summed if damping is None else F.lit(1.0 - damping) + F.lit(damping) * summed
             ranks = contrib.groupBy("node").agg(new_rank.alias("rank"))
-            if r % checkpoint_every == 0 or r == rounds:
+            if r % every == 0 or r == rounds:
                 ranks = shared_table(ranks, "ranks")
                 if written is not None:
                     drop_shared(written)

@@ -348,3 +348,19 @@ def test_sgd_separates_and_settles_and_skips_odd_rows(spark):
     scored = df.where("label is not null and x = x").select("label", model.margin().alias("score"))
     assert L.auc_roc(scored).collect()[0].auc == 1.0
     assert L.train_svm_sgd(df.limit(0), ["x"], iterations=3).weights == (0.0,)
+
+
+def test_pagerank_rounds_leave_no_shuffle_files(spark, monkeypatch):
+    """Files of a round go with the next write; with many edges every round is written."""
+    from tessera.operators import graph as G
+    e = spark.range(600).selectExpr("id % 60 src", "(id * 7 + id % 11) % 60 dst").where("src <> dst")
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    few, made = sorted(map(tuple, G.pagerank(e, 40).collect())), []
+    monkeypatch.setattr(G, "SHUFFLED_EDGES", 0)
+    plain = G.shared_table
+    monkeypatch.setattr(G, "shared_table", lambda df, name: made.append(name) or plain(df, name))
+    before = files()
+    every = sorted(map(tuple, G.pagerank(e, 40).collect()))
+    assert made.count("ranks") == 40
+    assert files() - before < 40                         # two or more a round before
+    assert [n for n, _ in every] == [n for n, _ in few] and all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(every, few))
