@@ -232,3 +232,20 @@ def test_stream_through_similarity_sink(spark, scratch):
     assert lists.join(partners, ["item", "neighbour"], "left_anti").count() == 0
     counts = {r.item: r.cnt for r in sink.table(spark, "items").read().collect()}
     assert {r.item: r.cnt for r in SIM.recent_item_counts(ev).collect()}.items() <= counts.items()
+
+
+def test_state_function_makes_one_frame_per_changed_key(monkeypatch):
+    """It is called for every key of every batch: no frames are made, sorted or joined on the way."""
+    upd = ST._make_update(2, 2, ttl_ms=1000)
+    base = {"item": 1, "id": None, "rating": None, "partner": None, "score": None, "n": None, "first_us": None}
+    rows = pd.DataFrame([dict(base, kind="rating", ts_us=k, id=k, rating=r) for k, r in ((1, 4.0), (2, None), (3, 5.0))]
+                        + [dict(base, kind="pair", ts_us=2, partner=p, score=s, n=1) for p, s in ((7, 1.0), (8, 2.0), (7, 1.5), (9, 0.5))])
+    made, plain = [], pd.DataFrame.__init__
+    monkeypatch.setattr(pd.DataFrame, "__init__", lambda self, *a, **k: made.append(1) or plain(self, *a, **k))
+    st = _State()
+    for n in (1, 2):
+        made.clear()
+        out = list(upd((1, 0), [rows], st))
+        assert len(made) == len(out) == 1
+    assert out[0]["ids"][0] == [3, 3] and out[0]["partners"][0] == [7, 8] and out[0]["scores"][0] == [5.0, 4.0] and out[0]["ns"][0] == [4, 2]
+    assert st.timer == 1000
