@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tessera.plans.registry import query
-from tessera.plans.views import ratings, view
+from tessera.plans.views import ratings, sized_edges, view
 from tessera.session import checkpoint_dir, owned
 from tessera.sources import libsvm as LS
 from tessera.sources import store as ST
@@ -97,9 +97,8 @@ SELECT '(' || CAST(src AS VARCHAR) || ',' || CAST(dst AS VARCHAR) || ',0.'
        || lpad(CAST((src * 31 + dst) % 1000 AS VARCHAR), 3, '0') || ')' FROM edges WHERE src < dst"""
 
 
-def similarity_lines(spark, sf):
+def similarity_lines(e):
     """``(i,j,sim)`` lines from the co-purchase edges, some lines twice."""
-    e = view(spark, sf, "edges")
     txt = F.concat(F.lit("("), F.col("src").cast("string"), F.lit(","), F.col("dst").cast("string"), F.lit(",0."),
                    F.lpad(((F.col("src") * 31 + F.col("dst")) % 1000).cast("string"), 3, "0"), F.lit(")"))
     # one pass over the edges: lines with src < dst are emitted twice
@@ -125,7 +124,8 @@ def s6_read_libsvm(spark, sf):
 WITH l AS ({_SIM_LINES_SQL}), f AS (SELECT string_split(regexp_replace("value", '[()]', '', 'g'), ',') AS f FROM l)
 SELECT DISTINCT CAST(f[1] AS BIGINT) AS i, CAST(f[2] AS BIGINT) AS j, CAST(f[3] AS DOUBLE) AS sim FROM f""")
 def s7_read_similarity(spark, sf):
-    return TX.read_similarity(similarity_lines(spark, sf))
+    e, tasks = sized_edges(spark, sf)
+    return TX.read_similarity(similarity_lines(e), tasks=tasks)
 
 
 @query("s8_range_scan_sum", oracle="""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import has_error, is_numeric, java_split
+from tessera.operators.skew import dealt
 
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
@@ -58,12 +59,11 @@ def rows_to_items(df: DataFrame, columns=None, name: str = "items") -> DataFrame
     return df.select(F.concat_ws(" ", *[F.concat(F.lit(f"{c}:"), F.col(c).cast("string")) for c in cols]).alias(name))
 
 
-def read_similarity(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``(i,j,sim)`` lines -> distinct ``(i long, j long, sim double)``."""
+def read_similarity(lines: DataFrame, col: str = "value", tasks: int | None = None) -> DataFrame:
+    """``(i,j,sim)`` lines -> distinct ``(i long, j long, sim double)``, in ``tasks`` partitions if given."""
     f = F.split(F.regexp_replace(F.col(col), r"[()]", ""), ",")
-    return (lines.select(F.get(f, 0).cast("long").alias("i"), F.get(f, 1).cast("long").alias("j"),
-                         F.get(f, 2).cast("double").alias("sim"))
-            .distinct())
+    rows = lines.select(F.get(f, 0).cast("long").alias("i"), F.get(f, 1).cast("long").alias("j"), F.get(f, 2).cast("double").alias("sim"))
+    return dealt(rows, tasks, "i", "j", "sim").distinct()
 
 
 def scan_whole_files(spark: SparkSession, path: str) -> DataFrame:

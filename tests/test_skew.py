@@ -152,3 +152,24 @@ def test_copies_of_the_small_side_are_not_broadcast(spark):
     df = S.replicated_salt_join(big, small, "k", copies=50)
     assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
     assert as_set(df) == as_set(big.join(small, "k"))
+
+
+def test_large_tables_are_cut_by_rows(spark, monkeypatch):
+    """Join, aggregate and distinct of the shared views get partitions by their rows; the rows are the same."""
+    from tessera.operators import skew
+    from tessera.plans import registry
+    from tests.conftest import SF_SMALL
+    registry.load_all()
+    assert skew.tasks_for(spark, skew.TASK_ROWS) is None
+    assert skew.tasks_for(spark, 100 * skew.TASK_ROWS + 1) == 101
+    names = ("s7_read_similarity", "m1_to_matrix", "m2_transpose", "m3_matmul")
+    rows = lambda name: sorted(map(tuple, registry.QUERIES[name](spark, SF_SMALL).collect()))
+    whole = {name: rows(name) for name in names}
+    monkeypatch.setattr(skew, "TASK_ROWS", 200)
+    n = -(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 200)
+    plan = registry.QUERIES["m1_to_matrix"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert f", {n}), REPARTITION_BY_NUM" in plan
+    plan = registry.QUERIES["s7_read_similarity"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 4                  # both sides of the pair join, both distincts
+    for name in names:
+        assert rows(name) == whole[name], name
