@@ -364,3 +364,40 @@ def test_pagerank_rounds_leave_no_shuffle_files(spark, monkeypatch):
     assert made.count("ranks") == 40
     assert files() - before < 40                         # two or more a round before
     assert [n for n, _ in every] == [n for n, _ in few] and all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(every, few))
+
+
+def _plain_pagerank(rows, rounds, damping=None):
+    links = {}
+    for s, d in set(rows):
+        if s is not None:
+            links.setdefault(s, []).append(d)
+    ranks = {s: 1.0 for s in links}
+    for _ in range(rounds):
+        new = {}
+        for s, targets in links.items():
+            if s in ranks:
+                for d in targets:
+                    new[d] = new.get(d, 0.0) + ranks[s] / len(targets)
+        ranks = {k: v if damping is None else 1 - damping + damping * v for k, v in new.items()}
+    return ranks
+
+
+def test_pagerank_rounds_move_packed_sums_not_edges(spark, monkeypatch):
+    """What a round writes is a row per two blocks at most, and equals the plain rule: drop-outs, sinks, hot sources and targets, nulls."""
+    from tessera.operators import graph as G
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 80), rnd.randint(0, 90)) for _ in range(900)] + [(0, d) for d in range(1, 300)] + [(d, 0) for d in range(100, 300)]
+    rows += [(1000 + k, 1001 + k) for k in range(4)] + [(7, 7), (7, 7), (500, 501), (501, 500)]
+    for odd, settings in ((rows, {}), (rows, {"damping": 0.85}), (rows + [(3, None), (None, 4), (None, None)], {"rounds": 3})):
+        for per in (60, 10 ** 9):
+            made, plain = [], G.shared_table
+            with monkeypatch.context() as m:
+                m.setattr(G, "SHUFFLED_EDGES", 0)
+                m.setattr(G, "EDGES_PER_PARTITION", per)
+                m.setattr(G, "shared_table", lambda df, name: (made.append((name, t := plain(df, name), t.count() if name == "ranks" else 0)) or t))
+                settings = {"rounds": 6, **settings}
+                got = {r.node: r.rank for r in G.pagerank(spark.createDataFrame(odd, "src long, dst long"), partitions=5, **settings).collect()}
+            want = _plain_pagerank(odd, settings["rounds"], settings.get("damping"))
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+            written = [n for name, _, n in made if name == "ranks"]
+            assert len(written) == settings["rounds"] and max(written[:-1]) <= 5 * 5
