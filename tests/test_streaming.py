@@ -249,3 +249,36 @@ def test_state_function_makes_one_frame_per_changed_key(monkeypatch):
         assert len(made) == len(out) == 1
     assert out[0]["ids"][0] == [3, 3] and out[0]["partners"][0] == [7, 8] and out[0]["scores"][0] == [5.0, 4.0] and out[0]["ns"][0] == [4, 2]
     assert st.timer == 1000
+
+
+def test_a_bucket_of_keys_does_as_its_keys(spark, scratch):
+    """One call and one stored state for many keys; each keeps its own lists, time to go and start afresh."""
+    rnd, keys = random.Random(4), [(i, s) for i in range(6) for s in range(2)]
+    one, many = ST._make_update(3, 2, ttl_ms=1000), ST._make_buckets(3, 2, ttl_ms=1000)
+    states, bucket, mark = {k: _State() for k in keys}, _State(), 0
+    as_rows = lambda frames: sorted(str(tuple(r)) for f in frames for r in f.itertuples(index=False))
+    for _ in range(60):
+        now = mark * 1000 + rnd.randint(0, 900_000)
+        rows = []
+        for item, salt in rnd.sample(keys, rnd.randint(0, 4)):
+            kind = rnd.choice(["rating", "pair", "touch"])
+            rows += [{"item": item, "salt": salt, "kind": kind, "ts_us": now + k, "first_us": now if kind == "touch" else None, "id": rnd.randint(1, 9) if kind == "rating" else None,
+                      "rating": rnd.choice([1.0, 2.5, None]) if kind == "rating" else None, "partner": rnd.randint(1, 5) if kind == "pair" else None,
+                      "score": 1.5 if kind == "pair" else None, "n": 1 if kind == "pair" else None} for k in range(rnd.randint(1, 5))]
+        for st in (*states.values(), bucket):
+            st.getCurrentWatermarkMs = lambda w=mark: w
+        frame = pd.DataFrame(rows, columns=["item", "salt", "kind", "ts_us", "first_us", "id", "rating", "partner", "score", "n"])
+        want = []
+        for k, st in states.items():
+            own = frame[(frame["item"] == k[0]) & (frame["salt"] == k[1])]
+            st.hasTimedOut = not len(own) and st.exists and st.timer < mark
+            if len(own) or st.hasTimedOut:
+                want += list(one(k, [own], st))
+        bucket.hasTimedOut = not rows and bucket.exists and bucket.timer < mark
+        got = list(many((0,), [frame.iloc[:3], frame.iloc[3:]] if len(rows) > 3 else [frame], bucket)) if rows or bucket.hasTimedOut else []
+        assert as_rows(got) == as_rows(want) and len(got) <= 1
+        assert bucket.exists == any(s.exists for s in states.values())
+        mark += rnd.choice([0, 100, 700])
+    ev, pe = events(spark, *small_world())
+    q = run(spark, scratch, ST.stream_rows(ev, pe), buckets=3)
+    assert state_rows(q) == 3 and state_of(spark, scratch) == twins(ev, pe)      # 160 keys
