@@ -82,3 +82,43 @@ def test_meetings_of_marked_entries_are_the_join(spark, piece_rows, block_pairs)
         met = x.join(y, "k").where("i < j" + (" and (pa or pb)" if either else "")).where("pmod(i, 7) >= pmod(j, 7)")
         want = met.groupBy("i", "j").agg(F.expr("sum(a * b)").alias("v"), F.expr("count(1)").alias("n"))
         assert _rows(C.pair_meetings(r, keep, either, piece_rows, block_pairs)) == _rows(want)
+
+
+def test_parts_of_the_sums_are_read_one_after_the_other(spark, monkeypatch):
+    """All pairs are in one part each; T2 over the parts is T2 over all, and what a part shuffled is gone before the next."""
+    from tessera.streaming import similarity as SIM
+    odd = [(None, 1, 2.0), (1, 977, None), (3, 2 ** 60, 4.0), (3, -2 ** 60, 5.0), *[(9, x, 1.5) for x in range(40)], *[(u, 11, 2.0) for u in range(30)]]
+    r = _entries(spark, 30, 25, 400, extra=odd)
+    monkeypatch.setattr(C, "PART_PAIRS", 900)
+    parts = C.pair_sum_parts(r, "least", 7, 1, 50)
+    rows = [_rows(p) for p in parts]
+    assert len(parts) > 2 and sorted(x for p in rows for x in p) == _rows(_plain(r, "least"))
+    assert max(map(len, rows)) < sum(map(len, rows)) and all(not {x[0] for x in a} & {x[0] for x in b} for a in rows for b in rows if a is not b)
+    as_events = lambda p: p.selectExpr("i item_i", "j item_j", "v rating", "n n_ij")
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    before, kept, plain = files(), [], SIM.shared_table
+    monkeypatch.setattr(SIM, "shared_table", lambda df, name: (plain(df, name), kept.append(files()))[0])
+    best = SIM.recent_partner_scores([as_events(p) for p in parts], 4, summed=True)
+    assert len(kept) == len(parts) and max(kept) <= before
+    assert sorted(map(str, best.collect())) == sorted(map(str, SIM.recent_partner_scores(as_events(_plain(r, "least")), 4, ordered=True).select(*best.columns).collect()))
+
+
+def test_steps_of_a_list_take_two_bytes_a_pair(spark):
+    """Lists of 40 of 20,000 items with ratings to 50: the packed rows of all their pairs."""
+    g = random.Random(2)
+    rows = [(u, i, float(g.randint(1, 50))) for u in range(300) for i in g.sample(range(20000), 40)]
+    lists = [(sorted(x for x in rows if x[0] == u)) for u in range(300)]
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"it": [[x[1] for x in u] for u in lists], "r": [[x[2] for x in u] for u in lists],
+                                        "it2": pa.array([None] * 300, pa.list_(pa.int64())), "r2": pa.array([None] * 300, pa.list_(pa.float64()))})
+    size = sum(len(row[c]) for out in C._deal(4, {})([batch]) for row in out.to_pylist() for c in C._FIELDS)
+    assert size < 2.6 * 300 * 40 * 39 / 2
+
+
+def test_gram_computes_its_ratings_once(spark):
+    """The diagonal reads the stored entries: no aggregate of the ratings is left in the plan of the sums."""
+    r = _entries(spark, 30, 25, 400).groupBy(F.col("k").alias("user"), F.col("it").alias("item")).agg(F.max("r").alias("rating"))
+    g = M.item_gram(r, with_count=True)
+    assert "max(" not in g._jdf.queryExecution().optimizedPlan().toString()
+    x, y = r.selectExpr("user", "item i", "rating a"), r.selectExpr("user", "item j", "rating b")
+    assert _rows(g) == _rows(x.join(y, "user").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("v"), F.count(F.lit(1)).alias("n")))
